@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from oracle_queries import MATRIX_MONTHS, ORACLE  # noqa: E402
-from sample_feeds import event_stream_columns, raw_events, raw_orders, raw_users  # noqa: E402
+from sample_feeds import RAW_FEEDS, event_stream_columns, raw_events, raw_orders, raw_users  # noqa: E402
 from tallyroom.operators import audit, quality  # noqa: E402
 from tallyroom.operators.cohorts import cohort_curves, cohort_kpis, cohort_matrix  # noqa: E402
 from tallyroom.operators.funnel import funnel_counts, funnel_summary, step_conversion  # noqa: E402
@@ -26,13 +26,8 @@ from tallyroom.operators.revenue import (  # noqa: E402
 from tallyroom.operators.series import rolling_mean  # noqa: E402
 from tallyroom.operators.sessions import assign_sessions, gap_sessions  # noqa: E402
 from tallyroom.operators.staging import parse_orders, parse_users, stage_orders  # noqa: E402
-from tallyroom.plans.checks import (  # noqa: E402
-    accepted_checks,
-    business_checks,
-    not_null_checks,
-    unique_checks,
-)
-from tallyroom.plans.models import Models, build_models  # noqa: E402
+from tallyroom.plans.checks import BUSINESS_CHECKS, accepted_checks, not_null_checks, unique_checks  # noqa: E402
+from tallyroom.plans.models import Models  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,7 +35,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 
 
 def _models(spark: SparkSession, sf_dir: str) -> Models:
-    return build_models(raw_users(spark, sf_dir), raw_orders(spark, sf_dir), raw_events(spark, sf_dir))
+    return Models(lambda table: RAW_FEEDS[table](spark, sf_dir))
 
 
 def _civil(df: DataFrame) -> DataFrame:
@@ -50,7 +45,7 @@ def _civil(df: DataFrame) -> DataFrame:
 
 
 def _model(name: str) -> Query:
-    return lambda spark, sf_dir: _civil(_models(spark, sf_dir).tables()[name])
+    return lambda spark, sf_dir: _civil(_models(spark, sf_dir).table(name))
 
 
 def _revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,13 +97,13 @@ def _run(select: Callable[[Models], list[quality.Check]]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         models = _models(spark, sf_dir)
         checks = select(models)
-        return quality.run_checks({c.table: models.tables()[c.table] for c in checks}, checks)
+        return quality.run_checks({c.table: models.table(c.table) for c in checks}, checks)
 
     return query
 
 
 def _business(check: str) -> Query:
-    return _run(lambda models: [c for c in business_checks(models) if c.check == check])
+    return _run(lambda models: [BUSINESS_CHECKS[check](models)])
 
 
 def _sample(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -120,3 +120,6 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_stream_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The click feed as it is before any session id exists."""
     return _table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+
+
+RAW_FEEDS = {"users": raw_users, "orders": raw_orders, "events": raw_events}

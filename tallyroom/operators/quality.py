@@ -173,14 +173,17 @@ def unique_check(table: str, df: DataFrame, column: str) -> RowsCheck:
     return RowsCheck("unique", table, column, unique(df, column))
 
 
-def _result(check: Check, count: Column) -> Column:
-    return F.struct(
-        F.lit(check.check).alias("check"),
-        F.lit(check.table).alias("table"),
-        F.lit(check.column).cast("string").alias("column"),
-        count.cast("bigint").alias("violations"),
-        (count == 0).alias("passed"),
-    )
+def _result_rows(counted: DataFrame, checks: Sequence[Check], columns: Sequence[str]) -> DataFrame:
+    """One row per check from a single row of violation counts, one column each."""
+
+    def text(value: str | None) -> str:
+        return "cast(null as string)" if value is None else f"'{value}'"
+
+    rows = [
+        f"{text(check.check)}, {text(check.table)}, {text(check.column)}, {count}, {count} = 0"
+        for check, count in zip(checks, columns)
+    ]
+    return counted.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) as (check, table, column, violations, passed)")
 
 
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
@@ -193,13 +196,12 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Data
     for table, df in tables.items():
         rules = [c for c in checks if isinstance(c, RowRule) and c.table == table]
         if rules:
-            counted = df.agg(*[F.count_if(rule.violated).alias(f"rule_{i}") for i, rule in enumerate(rules)])
-            rows = [_result(rule, F.col(f"rule_{i}")) for i, rule in enumerate(rules)]
-            results.append(counted.select(F.inline(F.array(*rows))))
+            columns = [f"rule_{i}" for i in range(len(rules))]
+            counted = df.agg(*[F.count_if(rule.violated).alias(c) for rule, c in zip(rules, columns)])
+            results.append(_result_rows(counted, rules, columns))
     for check in checks:
         if isinstance(check, RowsCheck):
-            counted = check.rows.agg(F.count(F.lit(1)).alias("n"))
-            results.append(counted.select(F.inline(F.array(_result(check, F.col("n"))))))
+            results.append(_result_rows(check.rows.agg(F.count(F.lit(1)).alias("n")), [check], ["n"]))
         elif check.table not in tables:
             raise ValueError(f"no table named {check.table!r} for check {check.check!r}")
     return reduce(DataFrame.unionAll, results)

@@ -1,5 +1,5 @@
 from .build import build_marts, read_mart, refresh_revenue
 from .checks import standard_checks
-from .models import Models, build_models
+from .models import MODEL_NAMES, Models
 
-__all__ = ["Models", "build_marts", "build_models", "read_mart", "refresh_revenue", "standard_checks"]
+__all__ = ["MODEL_NAMES", "Models", "build_marts", "read_mart", "refresh_revenue", "standard_checks"]

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,11 +13,16 @@ from ..operators.staging import stage_orders, stage_orders_since
 from ..session import apply_required_conf
 from ..sources.store import materialise, publish_version, read_published, scratch_dir
 from .checks import standard_checks
-from .models import Models, build_models
+from .models import MODEL_NAMES, Models
 
 MARTS = ("fct_revenue_trends", "monthly_cohort_retention", "funnel_summary")
 CHECK_RESULTS = "dq_results"
 
+# Read by several models, so computed once and stored.
+SHARED_MODELS = ("stg_users", "stg_orders", "int_sessionized_events")
+# Read again by several checks.
+CHECKED_MODELS = ("int_user_first_purchase", *MARTS)
+
 
 def build_marts(
     spark: SparkSession,
@@ -38,23 +42,18 @@ def build_marts(
     """
     apply_required_conf(spark)
     scratch = scratch_dir(spark, root)
-    models = build_models(
-        raw["users"],
-        raw["orders"],
-        raw["events"],
+    stored = {*SHARED_MODELS, *(CHECKED_MODELS if with_checks else ())}
+    models = Models(
+        raw.__getitem__,
         existing_revenue=None if full_refresh else read_published(spark, root, "fct_revenue_trends"),
         lookback_days=lookback_days,
         full_refresh=full_refresh,
-        keep=lambda name, df: materialise(df, f"{scratch}/{name}"),
+        keep=lambda name, df: materialise(df, f"{scratch}/{name}") if name in stored else df,
     )
+    outputs = {name: models.table(name) for name in (*MARTS, *extra_tables)}
     if with_checks:
-        # The checks read the marts several times over.
-        stored = {n: materialise(df, f"{scratch}/{n}") for n, df in models.tables().items() if n in (*MARTS, "int_user_first_purchase")}
-        models = replace(models, **stored)
-    tables = models.tables()
-    outputs = {name: tables[name] for name in (*MARTS, *extra_tables)}
-    if with_checks:
-        outputs[CHECK_RESULTS] = run_checks(tables, standard_checks(models))
+        checked = {name: models.table(name) for name in MODEL_NAMES}
+        outputs[CHECK_RESULTS] = run_checks(checked, standard_checks(models))
     return publish_version(outputs, root), models
 
 

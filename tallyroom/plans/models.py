@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, fields
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -14,49 +14,76 @@ from ..operators.revenue import LOOKBACK_DAYS, revenue_trends
 from ..operators.sessions import sessionize
 from ..operators.staging import stage_events, stage_orders, stage_users
 
+MODEL_NAMES = (
+    "stg_users",
+    "stg_orders",
+    "stg_events",
+    "int_user_first_purchase",
+    "int_sessionized_events",
+    "fct_revenue_trends",
+    "monthly_cohort_retention",
+    "funnel_summary",
+)
+
 
-@dataclass(frozen=True)
 class Models:
-    """Every model, lazily; field names are the published table names."""
-
-    stg_users: DataFrame
-    stg_orders: DataFrame
-    stg_events: DataFrame
-    int_user_first_purchase: DataFrame
-    int_sessionized_events: DataFrame
-    fct_revenue_trends: DataFrame
-    monthly_cohort_retention: DataFrame
-    funnel_summary: DataFrame
-
-    def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
-
-
-def build_models(
-    raw_users: DataFrame,
-    raw_orders: DataFrame,
-    raw_events: DataFrame,
-    existing_revenue: DataFrame | None = None,
-    lookback_days: int = LOOKBACK_DAYS,
-    full_refresh: bool = False,
-    keep: Callable[[str, DataFrame], DataFrame] = lambda _name, df: df,
-) -> Models:
-    """All models from the raw tables.
-
-    ``keep`` is called on each table that several models read and may return a
-    stored copy; by default everything stays lazy.
+    """Every model as a lazy DataFrame, planned when first asked for.
+
+    ``raw`` returns the raw table ``users``, ``orders`` or ``events`` by name.
+    Attribute names are the published table names.  ``keep`` is called with
+    the name and plan of each model and may return a stored copy for the
+    models that follow to read; by default nothing is stored.
     """
-    users = keep("stg_users", stage_users(raw_users))
-    orders = keep("stg_orders", stage_orders(raw_orders))
-    events = stage_events(raw_events)
-    sessions = keep("int_sessionized_events", sessionize(events))
-    return Models(
-        stg_users=users,
-        stg_orders=orders,
-        stg_events=events,
-        int_user_first_purchase=user_first_purchase(users, orders),
-        int_sessionized_events=sessions,
-        fct_revenue_trends=revenue_trends(orders, existing_revenue, lookback_days, full_refresh),
-        monthly_cohort_retention=cohort_retention(users, orders),
-        funnel_summary=funnel_summary(sessions),
-    )
+
+    def __init__(
+        self,
+        raw: Callable[[str], DataFrame],
+        existing_revenue: DataFrame | None = None,
+        lookback_days: int = LOOKBACK_DAYS,
+        full_refresh: bool = False,
+        keep: Callable[[str, DataFrame], DataFrame] = lambda _name, df: df,
+    ) -> None:
+        self._raw = raw
+        self._existing_revenue = existing_revenue
+        self._lookback_days = lookback_days
+        self._full_refresh = full_refresh
+        self._keep = keep
+
+    @cached_property
+    def stg_users(self) -> DataFrame:
+        return self._keep("stg_users", stage_users(self._raw("users")))
+
+    @cached_property
+    def stg_orders(self) -> DataFrame:
+        return self._keep("stg_orders", stage_orders(self._raw("orders")))
+
+    @cached_property
+    def stg_events(self) -> DataFrame:
+        return self._keep("stg_events", stage_events(self._raw("events")))
+
+    @cached_property
+    def int_user_first_purchase(self) -> DataFrame:
+        return self._keep("int_user_first_purchase", user_first_purchase(self.stg_users, self.stg_orders))
+
+    @cached_property
+    def int_sessionized_events(self) -> DataFrame:
+        return self._keep("int_sessionized_events", sessionize(self.stg_events))
+
+    @cached_property
+    def fct_revenue_trends(self) -> DataFrame:
+        mart = revenue_trends(self.stg_orders, self._existing_revenue, self._lookback_days, self._full_refresh)
+        return self._keep("fct_revenue_trends", mart)
+
+    @cached_property
+    def monthly_cohort_retention(self) -> DataFrame:
+        # The first-purchase table has the same users as staging, so cohorts need not wait for it.
+        return self._keep("monthly_cohort_retention", cohort_retention(self.stg_users, self.stg_orders))
+
+    @cached_property
+    def funnel_summary(self) -> DataFrame:
+        return self._keep("funnel_summary", funnel_summary(self.int_sessionized_events))
+
+    def table(self, name: str) -> DataFrame:
+        if name not in MODEL_NAMES:
+            raise KeyError(f"no model named {name!r}; there are {', '.join(MODEL_NAMES)}")
+        return getattr(self, name)
