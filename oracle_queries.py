@@ -306,7 +306,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         select event_id, user_id, ts,
                sum(opens) over (partition by user_id order by ts, event_id) as session_seq
         from (select event_id, user_id, ts,
-                     if(ts < lag(ts) over (partition by user_id order by ts, event_id) + interval 30 minute, 0, 1) as opens
+                     if(ts <= lag(ts) over (partition by user_id order by ts, event_id) + interval 30 minute, 0, 1) as opens
               from events where user_id is not null and ts is not null)
         """,
     ),

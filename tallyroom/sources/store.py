@@ -129,7 +129,7 @@ def publish_version(
         df.write.mode("errorifexists").parquet(_table_path(root, name, version))
 
     with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-        list(pool.map(inheritable_thread_target(write), tables.items()))
+        list(pool.map(inheritable_thread_target(spark)(write), tables.items()))
 
     entry = [(version, dt.datetime.now(dt.timezone.utc).isoformat(), sorted(tables))]
     spark.createDataFrame(entry, _MANIFEST_SCHEMA).coalesce(1).write.mode("append").json(f"{root.rstrip('/')}/{_MANIFEST}")
