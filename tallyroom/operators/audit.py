@@ -13,11 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import percent
+from .hot_keys import HOT_KEY_ROWS, join_per_key
 from .sessions import DEFAULT_STEPS, FunnelStep
 from .staging import (
     COMPLETED,
     best_attempts,
-    earliest_accounts,
     parse_events,
     parse_orders,
     parse_users,
@@ -135,20 +135,28 @@ def duplicate_conflicts(df: DataFrame, key: str, fields: Sequence[str]) -> DataF
     return kinds.withColumn("pct", percent(F.col("duplicate_sets"), all_sets))
 
 
-def duplicate_accounts(raw_users: DataFrame) -> DataFrame:
+def duplicate_accounts(raw_users: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Each dropped registration beside the one that was kept.
 
-    Pairs run from a duplicate to its survivor only, never between duplicates.
+    Pairs run from a duplicate to its survivor only, never between duplicates,
+    and only accounts that repeat enter the join.
     """
-    dated = parse_users(raw_users).filter(F.col("signup_date").isNotNull())
-    kept = earliest_accounts(dated).select(
-        "account_email",
-        F.col("user_id").alias("kept_user_id"),
-        F.col("email").alias("kept_email"),
-        F.col("signup_at").alias("kept_signup_at"),
+    dated = parse_users(raw_users).filter(F.col("signup_date").isNotNull() & F.col("account_email").isNotNull())
+    survivor = F.min(F.struct("signup_at", F.col("user_id").isNull().alias("unnumbered"), "user_id", "email"))
+    kept = (
+        dated.groupBy("account_email")
+        .agg(F.count(F.lit(1)).alias("rows_of_key"), survivor.alias("kept"))
+        .filter(F.col("rows_of_key") > 1)
+        .select(
+            "account_email",
+            "rows_of_key",
+            F.col("kept.user_id").alias("kept_user_id"),
+            F.col("kept.email").alias("kept_email"),
+            F.col("kept.signup_at").alias("kept_signup_at"),
+        )
     )
     return (
-        dated.join(kept, "account_email")
+        join_per_key(dated, kept, ["account_email"], size="rows_of_key", hot_rows=hot_rows)
         .filter(F.col("user_id") != F.col("kept_user_id"))
         .select(
             "account_email",

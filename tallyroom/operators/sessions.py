@@ -141,6 +141,8 @@ def assign_sessions(events: DataFrame, user: str, ts: str, gap: str = "30 minute
     """Every placeable event with ``session_seq`` and a ``session_id`` made of user and number.
 
     The join key is user and cell, so a heavy user spreads over many keys.
+    The cells arrive partitioned by user alone, so both sides are shuffled for
+    the join, and Spark can split a heavy cell at run time.
     """
     placed = _in_gap_cells(events, user, ts, gap)
     cells = _numbered_cells(placed, user, ts, gap).select(user, _CELL, "session_seq")

@@ -115,32 +115,43 @@ def stage_orders(raw_orders: DataFrame, column_map: Mapping[str, str] = ORDER_CO
     return best_attempts(valid_attempts(parse_orders(raw_orders, column_map)))
 
 
-# Order ids fit 16 bytes in a broadcast table, so this is at most ~64 MB.
+# Order ids take 16 bytes in a broadcast table, so this is at most ~64 MB.
 MAX_BROADCAST_ORDER_IDS = 4_000_000
 
 
-def stage_orders_since(
-    raw_orders: DataFrame,
-    since: dt.date,
-    column_map: Mapping[str, str] = ORDER_COLUMN_MAP,
-    max_broadcast_ids: int = MAX_BROADCAST_ORDER_IDS,
+def best_attempts_since(
+    attempts: DataFrame, since: dt.date, max_broadcast_ids: int = MAX_BROADCAST_ORDER_IDS
 ) -> DataFrame:
-    """``stage_orders`` restricted to orders dated ``since`` or later, for incremental runs.
+    """``best_attempts`` restricted to orders dated ``since`` or later, for incremental runs.
 
     The date filter cannot simply move below the ranking: an order's winning
     attempt may lie on the other side of ``since``.  So the ids with any
     attempt in range are found first, and only attempts of those ids are
-    ranked.  If the counted ids fit a broadcast, history is dropped map-side
-    and never shuffled; otherwise everything is ranked, which is slower but
-    just as exact and needs no assumption about the key distribution.
+    ranked.  If the counted ids fit a broadcast, history is dropped as it is
+    read and never shuffled, and their id range lets Parquet skip row groups.
+    Otherwise everything is ranked, which is slower but just as exact.
     """
-    attempts = valid_attempts(parse_orders(raw_orders, column_map))
-    recent_ids = attempts.filter((F.col("order_date") >= F.lit(since)) & F.col("order_id").isNotNull()).select("order_id").distinct()
-    if recent_ids.limit(max_broadcast_ids + 1).count() <= max_broadcast_ids:
-        identified = attempts.join(F.broadcast(recent_ids), "order_id", "left_semi")
+    in_range = F.col("order_date") >= F.lit(since)
+    recent_ids = attempts.filter(in_range & F.col("order_id").isNotNull()).select("order_id").distinct()
+    n, lowest, highest = recent_ids.agg(F.count("order_id"), F.min("order_id"), F.max("order_id")).first()
+    if 0 < n <= max_broadcast_ids:
+        nearby = attempts.filter(F.col("order_id").between(lowest, highest))
+        identified = nearby.join(F.broadcast(recent_ids), "order_id", "left_semi")
         # NULL ids compete as one group; they match no id, so they pass by the join.
         attempts = identified.unionByName(attempts.filter(F.col("order_id").isNull()))
-    return best_attempts(attempts).filter(F.col("order_date") >= F.lit(since))
+    elif n == 0:
+        attempts = attempts.filter(F.col("order_id").isNull())
+    return best_attempts(attempts).filter(in_range)
+
+
+def stage_orders_since(
+    raw_orders: DataFrame,
+    since: dt.date,
+    column_map: Mapping[str, str] = ORDER_COLUMN_MAP,
+    max_broadcast_ids: int = MAX_BROADCAST_ORDER_IDS,
+) -> DataFrame:
+    """``stage_orders`` restricted to orders dated ``since`` or later."""
+    return best_attempts_since(valid_attempts(parse_orders(raw_orders, column_map)), since, max_broadcast_ids)
 
 
 def parse_events(raw_events: DataFrame) -> DataFrame:

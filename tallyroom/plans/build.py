@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.quality import run_checks
 from ..operators.revenue import LOOKBACK_DAYS, daily_revenue, lookback_start, replace_slice, revenue_slice
-from ..operators.staging import stage_orders, stage_orders_since
+from ..operators.staging import best_attempts, best_attempts_since
 from ..session import apply_required_conf
 from ..sources.store import materialise, publish_version, read_published, scratch_dir
 from .checks import standard_checks
@@ -59,23 +59,24 @@ def build_marts(
 
 def refresh_revenue(
     spark: SparkSession,
-    raw_orders: DataFrame,
+    attempts: DataFrame,
     root: str,
     lookback_days: int = LOOKBACK_DAYS,
     full_refresh: bool = False,
 ) -> str:
     """Bring the published revenue mart up to date; returns the new version.
 
+    ``attempts`` are parsed, valid order attempts, ``valid_attempts(parse_orders(raw))``.
     An incremental run ranks only the attempts of orders seen inside the
-    look-back window, see ``stage_orders_since``.
+    look-back window, see ``best_attempts_since``.
     """
     apply_required_conf(spark)
     existing = None if full_refresh else read_published(spark, root, "fct_revenue_trends")
     if existing is None:
-        revenue = daily_revenue(stage_orders(raw_orders))
+        revenue = daily_revenue(best_attempts(attempts))
     else:
         start = lookback_start(existing, lookback_days)
-        revenue = replace_slice(existing, revenue_slice(stage_orders_since(raw_orders, start), existing, start), start)
+        revenue = replace_slice(existing, revenue_slice(best_attempts_since(attempts, start), existing, start), start)
     return publish_version({"fct_revenue_trends": revenue}, root)
 
 

@@ -54,16 +54,23 @@ def read_raw_csv(
     column_map: Mapping[str, str] | None = None,
     mode: str = "FAILFAST",
     check_header: bool = False,
+    multiline: bool = False,
 ) -> DataFrame:
     """CSV with a header line; columns are matched by position, empty fields are NULL.
 
     A value that does not fit its type fails the job.  ``check_header`` also
     compares the header with the schema, which positional matching ignores.
+    ``multiline`` admits line breaks inside quoted fields, at the price that a
+    file can no longer be split among tasks.
     """
     rows = (
         spark.read.schema(schema)
         .option("header", True)
         .option("mode", mode)
+        .option("escape", '"')
+        # Only an unquoted empty field is NULL; a quoted one is an empty text.
+        .option("nullValue", "\u0000")
+        .option("multiLine", multiline)
         .option("enforceSchema", not check_header)
         .csv(path)
     )
@@ -87,7 +94,7 @@ def read_raw_tables(spark: SparkSession, csv_paths: Mapping[str, str]) -> dict[s
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str], mode: str = "errorifexists") -> None:
     """Only ``columns`` are written, in that order; NULL becomes an empty field."""
-    df.select(*columns).write.mode(mode).option("header", True).option("emptyValue", "").csv(path)
+    df.select(*columns).write.mode(mode).option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
 
 
 def quarantine(df: DataFrame, casts: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:

@@ -1,8 +1,9 @@
 """Daily revenue kept current from a stream of order attempts.
 
-The stream is appended to a log of attempts; the best attempt per order is
-chosen when the log is read.  Nothing already written is rewritten, so a batch
-costs its own size plus the look-back window, whatever the history holds.
+Parsed attempts are appended to a log, and the best attempt per order is chosen
+when the log is read, so nothing already written is rewritten.  The log holds
+typed dates and ids: a refresh skips the row groups outside the look-back
+window and the id range it touches, and shuffles only the orders it touches.
 A feed can add orders but not delete them; days are zeroed for deletions only
 when the mart is refreshed from a snapshot.
 """
@@ -13,12 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.revenue import LOOKBACK_DAYS
+from ..operators.staging import parse_orders, valid_attempts
 from ..plans.build import refresh_revenue
 from ..session import apply_required_conf
 
 
 def attempts_log(spark: SparkSession, root: str) -> DataFrame:
-    """Every order attempt received so far."""
+    """Every valid order attempt received so far, parsed."""
     return spark.read.parquet(f"{root.rstrip('/')}/order_attempts").drop("batch")
 
 
@@ -37,7 +39,7 @@ def run_order_feed(
 
     def absorb(batch: DataFrame, batch_id: int) -> None:
         spark = apply_required_conf(batch.sparkSession)
-        batch.write.mode("overwrite").parquet(f"{root.rstrip('/')}/order_attempts/batch={batch_id}")
+        valid_attempts(parse_orders(batch)).write.mode("overwrite").parquet(f"{root.rstrip('/')}/order_attempts/batch={batch_id}")
         refresh_revenue(spark, attempts_log(spark, root), root, lookback_days)
 
     return (

@@ -15,6 +15,7 @@ from tallyroom.operators.revenue import (
     revenue_trends,
 )
 from tallyroom.operators.series import rolling_mean
+from tallyroom.operators.staging import parse_orders, valid_attempts
 from tallyroom.plans import build_marts, read_mart, refresh_revenue
 from tallyroom.sources import read_published
 
@@ -127,6 +128,10 @@ def iso(rows):
     return [(i, u, f"{d}T12:00:00Z", v, s) for i, u, d, v, s in rows]
 
 
+def attempts(raw):
+    return valid_attempts(parse_orders(raw))
+
+
 @pytest.fixture
 def root(tmp_path):
     return str(tmp_path / "marts")
@@ -135,14 +140,14 @@ def root(tmp_path):
 def test_published_mart_heals_a_deleted_day(spark, rows, root):
     """Build, delete the newest day at the source, refresh twice: the day stays as zeros and reconciles."""
     raw = raw_orders(spark, *iso(ORDERS))
-    refresh_revenue(spark, raw, root)
+    refresh_revenue(spark, attempts(raw), root)
     target_day = latest_active_day(read_published(spark, root, "fct_revenue_trends")).first().order_date
     remaining = raw.filter(F.col("order_date").substr(1, 10) != str(target_day))
     for _ in range(2):
-        refresh_revenue(spark, remaining, root)
+        refresh_revenue(spark, attempts(remaining), root)
         mart = read_published(spark, root, "fct_revenue_trends")
         assert as_text(rows(mart))[-1] == (str(target_day), "0.00", "0", "0", "0.00")
-    refresh_revenue(spark, remaining, root, full_refresh=True)
+    refresh_revenue(spark, attempts(remaining), root, full_refresh=True)
     assert read_published(spark, root, "fct_revenue_trends").filter(F.col("order_date") == F.lit(target_day)).isEmpty()
 
 

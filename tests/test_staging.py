@@ -5,7 +5,15 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tallyroom.operators.staging import stage_events, stage_orders, stage_orders_since, stage_users
+from tallyroom.operators.staging import (
+    best_attempts_since,
+    parse_orders,
+    stage_events,
+    stage_orders,
+    stage_orders_since,
+    stage_users,
+    valid_attempts,
+)
 
 from .builders import raw_events, raw_orders, raw_users
 
@@ -123,10 +131,22 @@ def test_orders_since_equals_full_staging(spark, rows, limit):
     assert [r[0] for r in expected] == [2, 3]
 
 
-def test_orders_since_keeps_history_out_of_the_shuffle(spark):
-    raw = raw_orders(spark, (1, 7, "2023-01-09T00:00:00Z", "9.00", "completed"))
-    plan = stage_orders_since(raw, date(2023, 1, 10))._jdf.queryExecution().executedPlan().toString()
+def test_orders_since_reads_and_shuffles_only_what_it_touches(spark, tmp_path):
+    log = str(tmp_path / "log")
+    raw = raw_orders(
+        spark, (10, 7, "2023-01-09T00:00:00Z", "9.00", "completed"), (20, 7, "2023-01-10T00:00:00Z", "9.00", "completed")
+    )
+    valid_attempts(parse_orders(raw)).write.parquet(log)
+    staged = best_attempts_since(spark.read.parquet(log), date(2023, 1, 10))
+    plan = staged._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "GreaterThanOrEqual(order_id,20)" in plan and "LessThanOrEqual(order_id,20)" in plan
+    assert [r.order_id for r in staged.collect()] == [20]
+
+
+def test_orders_since_with_nothing_recent(spark):
+    raw = raw_orders(spark, (10, 7, "2023-01-09T00:00:00Z", "9.00", "completed"), (None, 7, "2023-01-08T00:00:00Z", "9.00", "completed"))
+    assert stage_orders_since(raw, date(2023, 1, 10)).isEmpty()
 
 
 def test_events_need_user_and_session_and_keep_repeats(spark, rows):
