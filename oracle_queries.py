@@ -675,7 +675,12 @@ ORACLE: dict[str, str] = {
             (
                 "users",
                 "dropped_duplicate_account",
-                "(select count(*) from parsed_users where signup_date is not null) - (select count(*) from stg_users)",
+                "(select count(account_email) - count(distinct account_email) from parsed_users where signup_date is not null)",
+            ),
+            (
+                "users",
+                "dropped_null_email",
+                "(select greatest(count(*) - 1, 0) from parsed_users where signup_date is not null and account_email is null)",
             ),
             ("users", "kept", "(select count(*) from stg_users)"),
             ("orders", "raw", "(select count(*) from parsed_orders)"),
@@ -687,7 +692,12 @@ ORACLE: dict[str, str] = {
             (
                 "orders",
                 "dropped_retry",
-                "(select count(*) from parsed_orders where order_value > 0) - (select count(*) from stg_orders)",
+                "(select count(order_id) - count(distinct order_id) from parsed_orders where order_value > 0)",
+            ),
+            (
+                "orders",
+                "dropped_null_order_id",
+                "(select greatest(count(*) - 1, 0) from parsed_orders where order_value > 0 and order_id is null)",
             ),
             ("orders", "kept", "(select count(*) from stg_orders)"),
             ("orders", "kept_orphaned_user", _orphans("stg_orders", "stg_users")),

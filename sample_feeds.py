@@ -13,107 +13,85 @@ from pyspark.sql import functions as F
 
 from tallyroom.session import apply_required_conf
 
+# Declared, so that reading starts without a job that looks at file footers.
+SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string",
+}
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     apply_required_conf(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _table(spark, sf_dir, "orders")
-    key = F.col("o_orderkey")
-    base = orders.select(
-        key.alias("order_id"),
-        F.when(key % 67 == 0, F.col("o_custkey") + 1_000_000).otherwise(F.col("o_custkey")).alias("user_id"),
-        F.timestamp_add("SECOND", key % 86_400, F.col("o_orderdate")).alias("ordered_ts"),
-        F.when(key % 125 == 0, F.lit(0.0))
-        .when(key % 125 == 1, -F.col("o_totalprice"))
-        .otherwise(F.col("o_totalprice"))
-        .cast("decimal(12,2)")
-        .alias("order_amount"),
-        F.when(F.col("o_orderstatus") == "F", "completed")
-        .when(F.col("o_orderstatus") == "O", "pending")
-        .when(key % 2 == 0, "returned")
-        .otherwise("cancelled")
-        .alias("order_status"),
-    )
-    # Four kinds of retry, one in a hundred orders: a retry is a second row
-    # made from the first, so the base is exploded, not read twice.
-    order_id, kind = F.col("order_id"), F.col("order_id") % 400
-    attempts = F.when(order_id % 100 == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
-    retry = F.col("is_retry")
-    flipped = F.when(F.col("order_status") == "completed", "pending").otherwise("completed")
-    rows = base.withColumn("is_retry", F.explode(attempts)).select(
-        "order_id",
-        "user_id",
-        F.when(retry & (kind == 100), F.timestamp_add("SECOND", F.lit(90), F.col("ordered_ts")))
-        .otherwise(F.col("ordered_ts"))
-        .alias("ordered_ts"),
-        F.when(retry & (kind == 200), (F.col("order_amount") * F.expr("1.15BD")).cast("decimal(12,2)"))
-        .when(retry & (kind == 300), F.lit(0).cast("decimal(12,2)"))
-        .otherwise(F.col("order_amount"))
-        .alias("order_amount"),
-        F.when(retry & (kind == 0), flipped)
-        .when(retry & (kind == 300), "cancelled")
-        .otherwise(F.col("order_status"))
-        .alias("order_status"),
+    """One in a hundred orders is followed by a retry, of four kinds.
+
+    A retry is a second row made from the first, so rows are exploded and the
+    table is read once.
+    """
+    base = _table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey as order_id",
+        "if(o_orderkey % 67 = 0, o_custkey + 1000000, o_custkey) as user_id",
+        "timestampadd(second, o_orderkey % 86400, o_orderdate) as ordered_ts",
+        """cast(case o_orderkey % 125 when 0 then 0 when 1 then -o_totalprice else o_totalprice end
+                as decimal(12,2)) as amount""",
+        """case o_orderstatus when 'F' then 'completed' when 'O' then 'pending'
+                else if(o_orderkey % 2 = 0, 'returned', 'cancelled') end as status""",
+        "explode(if(o_orderkey % 100 = 0, array(-1L, o_orderkey % 400), array(-1L))) as retry",
     )
-    return rows.select(
+    return base.selectExpr(
         "order_id",
         "user_id",
-        F.date_format("ordered_ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("order_date"),
-        "order_amount",
-        "order_status",
+        """date_format(if(retry = 100, timestampadd(second, 90, ordered_ts), ordered_ts),
+                       "yyyy-MM-dd'T'HH:mm:ss'Z'") as order_date""",
+        "cast(case retry when 200 then amount * 1.15 when 300 then 0 else amount end as decimal(12,2)) as order_amount",
+        """case retry when 0 then if(status = 'completed', 'pending', 'completed')
+                      when 300 then 'cancelled' else status end as order_status""",
     )
 
 
 def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signups precede the first order; some customers register again, misspelt, nine days later.
+
+    A missing signup is blank for even customers and NULL for odd ones.
+    """
     first_orders = _table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_order"))
-    customers = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    key = F.col("c_custkey")
-    provider = F.element_at(
-        F.array(*[F.lit(d) for d in ("gmail.com", "yahoo.com", "hotmail.com", "outlook.com")]), (key % 4).cast("int") + 1
-    )
-    misspelt = F.element_at(
-        F.array(*[F.lit(d) for d in ("GMIAL.com ", "yaho.com", "hotmal.com", "outlok.com")]), (key % 4).cast("int") + 1
-    )
-    dot = F.when(key % 4 == 0, "").otherwise(".")
-    dated = customers.join(first_orders, key == F.col("o_custkey"), "left").withColumn(
-        "signup_ts",
-        F.when(key % 67 != 5, F.timestamp_add("DAY", -(1 + key % 45), F.col("first_order"))),
+    customers = _table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
+    base = customers.join(first_orders, "o_custkey", "left").selectExpr(
+        "o_custkey as key",
+        "c_name as first_name",
+        "if(o_custkey % 67 = 3, '', cast(c_nationkey as string)) as country",
+        "if(o_custkey % 67 = 5, null, timestampadd(day, -(1 + o_custkey % 45), first_order)) as signup_ts",
+        "explode(if(o_custkey % 25 = 1 or o_custkey % 100 = 0, array(false, true), array(false))) as again",
     )
-    copies = F.when((key % 25 == 1) | (key % 100 == 0), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
-    copy = F.col("is_copy")
-    signup = F.when(copy, F.timestamp_add("DAY", F.lit(9), F.col("signup_ts"))).otherwise(F.col("signup_ts"))
-    # A missing signup is blank for even customers and NULL for odd ones.
-    blank = F.when(key % 2 == 0, "")
-    return dated.withColumn("is_copy", F.explode(copies)).select(
-        (key + F.when(copy, 500_000).otherwise(0)).alias("user_id"),
-        F.col("c_name").alias("first_name"),
-        F.concat(F.lit("c"), key.cast("string")).alias("last_name"),
-        F.when(copy, F.concat(F.lit("Cust"), dot, key.cast("string"), F.lit("@"), misspelt))
-        .otherwise(F.concat(F.lit("cust."), key.cast("string"), F.lit("@"), provider))
-        .alias("email"),
-        F.when(key % 67 == 3, "").otherwise(F.col("c_nationkey").cast("string")).alias("country"),
-        F.coalesce(F.date_format(signup, "yyyy-MM-dd HH:mm:ss"), blank).alias("signup_date"),
+    return base.selectExpr(
+        "key + if(again, 500000, 0) as user_id",
+        "first_name",
+        "concat('c', key) as last_name",
+        """if(again,
+              concat('Cust', if(key % 4 = 0, '', '.'), key, '@',
+                     elt(cast(key % 4 as int) + 1, 'GMIAL.com ', 'yaho.com', 'hotmal.com', 'outlok.com')),
+              concat('cust.', key, '@',
+                     elt(cast(key % 4 as int) + 1, 'gmail.com', 'yahoo.com', 'hotmail.com', 'outlook.com'))) as email""",
+        "country",
+        """coalesce(date_format(if(again, timestampadd(day, 9, signup_ts), signup_ts), 'yyyy-MM-dd HH:mm:ss'),
+                    if(key % 2 = 0, '', null)) as signup_date""",
     )
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _table(spark, sf_dir, "events")
-    user, event = F.col("user_id"), F.col("event_id")
-    session = F.concat(F.lit("s_"), user.cast("string"), F.lit("_"), F.date_format("ts", "yyyy-MM-dd"))
-    return events.select(
+    """A session is a user's day; some events have no session, some users are unknown."""
+    return _table(spark, sf_dir, "events").selectExpr(
         "event_id",
-        F.when(event % 97 == 0, user + 1_000_000).otherwise(user).alias("user_id"),
-        F.when(event % 211 != 0, session).alias("session_id"),
-        F.when(F.col("event_type") == "view", " Page_View")
-        .when(F.col("event_type") == "click", "add_to_cart")
-        .otherwise(F.col("event_type"))
-        .alias("event_name"),
-        F.col("ts").cast("string").alias("event_timestamp"),
-        F.when(user % 3 == 0, "Mobile").when(user % 3 == 1, "desktop ").otherwise("tablet").alias("device_type"),
-        F.concat(F.lit("/p/"), (event % 8).cast("string")).alias("page_url"),
+        "if(event_id % 97 = 0, user_id + 1000000, user_id) as user_id",
+        "if(event_id % 211 = 0, null, concat('s_', user_id, '_', date_format(ts, 'yyyy-MM-dd'))) as session_id",
+        "case event_type when 'view' then ' Page_View' when 'click' then 'add_to_cart' else event_type end as event_name",
+        "cast(ts as string) as event_timestamp",
+        "case user_id % 3 when 0 then 'Mobile' when 1 then 'desktop ' else 'tablet' end as device_type",
+        "concat('/p/', event_id % 8) as page_url",
     )
 
 

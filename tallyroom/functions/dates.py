@@ -9,14 +9,17 @@ from pyspark.sql.types import DataType, StringType
 from .text import blank_to_null
 
 
-def parse_instant(value: Column, source_type: DataType, assume_utc: bool = False) -> Column:
+def parse_instant(value: Column, source_type: DataType, assume_utc: bool = False, exact_format: str | None = None) -> Column:
     """Raw text (or an already typed column) to an instant.
 
     ``assume_utc`` is for text without an offset, e.g. ``2023-01-05 10:00:00``.
+    ``exact_format`` accepts only text of that pattern, in the session time zone.
     """
     if not isinstance(source_type, StringType):
         return value.cast("timestamp")
     text = blank_to_null(value)
+    if exact_format is not None:
+        return F.to_timestamp(text, exact_format)
     return (F.concat(text, F.lit(" UTC")) if assume_utc else text).cast("timestamp")
 
 

@@ -208,9 +208,29 @@ def _stage_rows(totals: DataFrame, table: str, outcomes: Sequence[str]) -> DataF
     return totals.select(F.inline(F.array(*rows)))
 
 
+USER_OUTCOMES = ("raw", "dropped_no_signup_date", "dropped_duplicate_account", "dropped_null_email", "kept")
+ORDER_OUTCOMES = (
+    "raw",
+    "dropped_non_positive_value",
+    "dropped_retry",
+    "dropped_null_order_id",
+    "kept",
+    "kept_orphaned_user",
+)
+EVENT_OUTCOMES = ("raw", "dropped_no_user_or_session", "kept", "kept_orphaned_user")
+
+
+def _surplus(rows_of_group: str, of_groups: Column) -> Column:
+    """Rows beyond the one kept, summed over the groups for which ``of_groups`` holds."""
+    surplus = F.greatest(F.col(rows_of_group) - 1, F.lit(0))
+    return F.coalesce(F.sum(F.when(of_groups, surplus)), F.lit(0))
+
+
 def attrition(raw_users: DataFrame, raw_orders: DataFrame, raw_events: DataFrame) -> DataFrame:
     """Rows in, rows out and the reason for each loss, per raw table.
 
+    Rows without an email or order id compete as one group, so all but one of
+    them are lost; they are reported apart from real duplicates.
     ``kept_orphaned_user`` rows stay in staging and daily revenue but have no
     staged user, so they take no part in cohorts or lifetime value.
     """
@@ -223,11 +243,12 @@ def attrition(raw_users: DataFrame, raw_orders: DataFrame, raw_events: DataFrame
         .agg(
             _row_total().alias("raw"),
             F.coalesce(F.sum(F.col("rows_of_key") - F.col("dated")), F.lit(0)).alias("dropped_no_signup_date"),
-            F.coalesce(F.sum(F.greatest(F.col("dated") - 1, F.lit(0))), F.lit(0)).alias("dropped_duplicate_account"),
+            _surplus("dated", F.col("account_email").isNotNull()).alias("dropped_duplicate_account"),
+            _surplus("dated", F.col("account_email").isNull()).alias("dropped_null_email"),
             F.count_if(F.col("dated") > 0).alias("kept"),
         )
     )
-    users = _stage_rows(per_account, "users", ["raw", "dropped_no_signup_date", "dropped_duplicate_account", "kept"])
+    users = _stage_rows(per_account, "users", USER_OUTCOMES)
 
     parsed_orders = parse_orders(raw_orders)
     valid = valid_attempts(parsed_orders)
@@ -237,16 +258,13 @@ def attrition(raw_users: DataFrame, raw_orders: DataFrame, raw_events: DataFrame
         .agg(
             _row_total().alias("raw"),
             F.coalesce(F.sum(F.col("rows_of_key") - F.col("valid")), F.lit(0)).alias("dropped_non_positive_value"),
-            F.coalesce(F.sum(F.greatest(F.col("valid") - 1, F.lit(0))), F.lit(0)).alias("dropped_retry"),
+            _surplus("valid", F.col("order_id").isNotNull()).alias("dropped_retry"),
+            _surplus("valid", F.col("order_id").isNull()).alias("dropped_null_order_id"),
             F.count_if(F.col("valid") > 0).alias("kept"),
         )
     )
     order_orphans = _orphan_total(_rows_per_key(best_attempts(valid), "user_id"), staged_users)
-    orders = _stage_rows(
-        per_order.withColumn("kept_orphaned_user", order_orphans),
-        "orders",
-        ["raw", "dropped_non_positive_value", "dropped_retry", "kept", "kept_orphaned_user"],
-    )
+    orders = _stage_rows(per_order.withColumn("kept_orphaned_user", order_orphans), "orders", ORDER_OUTCOMES)
 
     parsed_events = parse_events(raw_events)
     identified = F.col("user_id").isNotNull() & F.col("session_id").isNotNull()
@@ -256,9 +274,5 @@ def attrition(raw_users: DataFrame, raw_orders: DataFrame, raw_events: DataFrame
         F.count_if(identified).alias("kept"),
     )
     event_orphans = _orphan_total(_rows_per_key(parsed_events.filter(identified), "user_id"), staged_users)
-    events = _stage_rows(
-        event_totals.withColumn("kept_orphaned_user", event_orphans),
-        "events",
-        ["raw", "dropped_no_user_or_session", "kept", "kept_orphaned_user"],
-    )
+    events = _stage_rows(event_totals.withColumn("kept_orphaned_user", event_orphans), "events", EVENT_OUTCOMES)
     return users.unionAll(orders).unionAll(events)

@@ -11,7 +11,14 @@ from ..operators.quality import run_checks
 from ..operators.revenue import LOOKBACK_DAYS, daily_revenue, lookback_start, replace_slice, revenue_slice
 from ..operators.staging import best_attempts, best_attempts_since
 from ..session import apply_required_conf
-from ..sources.store import materialise, publish_version, read_published, scratch_dir
+from ..sources.store import (
+    materialise,
+    publish_version,
+    read_months,
+    read_published,
+    scratch_dir,
+    write_months,
+)
 from .checks import standard_checks
 from .models import MODEL_NAMES, Models
 
@@ -80,6 +87,30 @@ def refresh_revenue(
     return publish_version({"fct_revenue_trends": revenue}, root)
 
 
+def refresh_revenue_months(
+    spark: SparkSession,
+    attempts: DataFrame,
+    target: str,
+    lookback_days: int = LOOKBACK_DAYS,
+    full_refresh: bool = False,
+) -> None:
+    """``refresh_revenue`` for a mart kept as one month-partitioned table at ``target``.
+
+    Only the months the look-back window touches are rewritten.  The new rows
+    are stored aside first, because they derive from the months they replace.
+    """
+    apply_required_conf(spark)
+    existing = None if full_refresh else read_months(spark, target)
+    if existing is None:
+        write_months(daily_revenue(best_attempts(attempts)), "order_date", target, replace_all=True)
+        return
+    start = lookback_start(existing, lookback_days)
+    touched_months = existing.filter(F.col("order_date") >= F.lit(start.replace(day=1)))
+    recomputed = revenue_slice(best_attempts_since(attempts, start), existing, start)
+    revenue = replace_slice(touched_months, recomputed, start)
+    write_months(materialise(revenue, f"{scratch_dir(spark, target.rstrip('/') + '_scratch')}/revenue"), "order_date", target)
+
+
 def read_mart(
     spark: SparkSession, root: str, mart: str, columns: Sequence[str] | None = None, order_by: Sequence[str] = ()
 ) -> DataFrame:

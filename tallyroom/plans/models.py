@@ -87,3 +87,8 @@ class Models:
         if name not in MODEL_NAMES:
             raise KeyError(f"no model named {name!r}; there are {', '.join(MODEL_NAMES)}")
         return getattr(self, name)
+
+    def register_views(self, prefix: str = "") -> None:
+        """Make every model queryable by name in SQL; views are evaluated when read."""
+        for name in MODEL_NAMES:
+            self.table(name).createOrReplaceTempView(f"{prefix}{name}")

@@ -16,6 +16,8 @@ SCALE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    # Capturing the Python call site of every column doubles plan-building time.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Lets gap sessions merge on the map side before their shuffle.
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
 }

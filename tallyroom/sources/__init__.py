@@ -13,6 +13,7 @@ from .store import (
     guarded_write,
     materialise,
     publish_version,
+    read_months,
     read_published,
     scratch_dir,
     write_months,
@@ -27,6 +28,7 @@ __all__ = [
     "materialise",
     "publish_version",
     "quarantine",
+    "read_months",
     "read_published",
     "read_raw_csv",
     "read_raw_parquet",

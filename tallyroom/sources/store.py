@@ -136,17 +136,24 @@ def publish_version(
     return version
 
 
-def write_months(df: DataFrame, day: str, target: str) -> None:
+def write_months(df: DataFrame, day: str, target: str, replace_all: bool = False) -> None:
     """Replace whole months of a month-partitioned Parquet table, leaving other months alone.
 
     ``df`` must hold complete months and must not read ``target`` lazily.
-    Rows are rebalanced by month so that each month is a few well-sized files.
+    ``replace_all`` also removes the months ``df`` does not have.  Rows are
+    rebalanced by month so that each month is a few well-sized files.
     """
     (
         df.withColumn("month", F.date_format(day, "yyyy-MM"))
         .hint("rebalance", "month")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
         .partitionBy("month")
         .parquet(target)
     )
+
+
+def read_months(spark: SparkSession, target: str) -> DataFrame | None:
+    """A table written by ``write_months``, or None if there is none."""
+    stored = _read_if_present(spark, target)
+    return None if stored is None else stored.drop("month")

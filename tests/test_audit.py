@@ -141,12 +141,18 @@ def test_sample_is_ordered(spark):
 
 
 def test_attrition_adds_up(spark):
+    more_users = users(spark).unionByName(raw_users(spark, (8, None, "2023-03-01 00:00:00"), (9, None, "2023-04-01 00:00:00")))
+    more_orders = orders(spark).unionByName(
+        raw_orders(spark, (None, 1, "2023-01-07T10:00:00Z", "5.00", "completed"), (None, 1, "2023-01-08T10:00:00Z", "5.00", "completed"))
+    )
     got = {}
-    for r in audit.attrition(users(spark), orders(spark), events(spark)).collect():
+    for r in audit.attrition(more_users, more_orders, events(spark)).collect():
         got.setdefault(r.table, {})[r.outcome] = r.row_count
     assert got == {
-        "users": {"raw": 7, "dropped_no_signup_date": 2, "dropped_duplicate_account": 2, "kept": 3},
-        "orders": {"raw": 8, "dropped_non_positive_value": 3, "dropped_retry": 2, "kept": 3, "kept_orphaned_user": 2},
+        "users": {"raw": 9, "dropped_no_signup_date": 2, "dropped_duplicate_account": 2, "dropped_null_email": 2, "kept": 3},
+        "orders": {
+            "raw": 10, "dropped_non_positive_value": 3, "dropped_retry": 2, "dropped_null_order_id": 1, "kept": 4, "kept_orphaned_user": 2,
+        },
         "events": {"raw": 5, "dropped_no_user_or_session": 2, "kept": 3, "kept_orphaned_user": 2},
     }
     for table in got.values():

@@ -3,9 +3,19 @@ from decimal import ROUND_HALF_UP, Decimal
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tallyroom.functions import blank_to_null, canonical_email, clean_label, mean_to_cents, month_number, percent, whole_seconds
+from tallyroom.functions import (
+    blank_to_null,
+    canonical_email,
+    clean_label,
+    mean_to_cents,
+    month_number,
+    parse_instant,
+    percent,
+    whole_seconds,
+)
 
 
 @pytest.mark.parametrize(
@@ -99,3 +109,12 @@ def test_wall_clock_seconds_ignore_the_session_zone(spark):
 def test_month_number_ignores_days(spark):
     df = spark.sql("select date'2022-11-30' a, date'2024-02-01' b")
     assert df.select(month_number(F.col("a"), F.col("b"))).first()[0] == 15
+
+
+def test_exact_format_rejects_other_text(spark):
+    iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+    df = spark.createDataFrame([("2023-01-05T10:00:00Z", "2023-01-05 10:00:00")], "good string, bad string")
+    text = df.schema["good"].dataType
+    assert df.select(F.unix_seconds(parse_instant(F.col("good"), text, exact_format=iso))).first()[0] == 1672912800
+    with pytest.raises(PySparkException):
+        df.select(parse_instant(F.col("bad"), text, exact_format=iso)).collect()

@@ -16,8 +16,8 @@ from tallyroom.operators.revenue import (
 )
 from tallyroom.operators.series import rolling_mean
 from tallyroom.operators.staging import parse_orders, valid_attempts
-from tallyroom.plans import build_marts, read_mart, refresh_revenue
-from tallyroom.sources import read_published
+from tallyroom.plans import Models, build_marts, read_mart, refresh_revenue, refresh_revenue_months
+from tallyroom.sources import read_months, read_published
 
 from .builders import raw_events, raw_orders, raw_users, revenue_mart, staged_orders
 
@@ -151,6 +151,31 @@ def test_published_mart_heals_a_deleted_day(spark, rows, root):
     assert read_published(spark, root, "fct_revenue_trends").filter(F.col("order_date") == F.lit(target_day)).isEmpty()
 
 
+def test_month_partitioned_mart_rewrites_only_touched_months(spark, rows, tmp_path):
+    target = str(tmp_path / "by_month")
+    early = (9, 9, "2022-11-05", "3.00", "completed")
+    raw = raw_orders(spark, *iso((*ORDERS, early)))
+    refresh_revenue_months(spark, attempts(raw), target)
+    november = sorted(p.name for p in (tmp_path / "by_month" / "month=2022-11").iterdir())
+
+    changed = raw_orders(spark, *iso((*ORDERS[:4], early, (6, 3, "2023-01-04", "8.00", "completed"), (7, 3, "2022-11-06", "9.00", "completed"))))
+    refresh_revenue_months(spark, attempts(changed), target)
+    assert as_text(rows(read_months(spark, target), "order_date", "total_revenue")) == [
+        ("2022-11-05", "3.00"), ("2023-01-01", "15.11"), ("2023-01-02", "0.00"), ("2023-01-04", "8.00"), ("2023-01-10", "0.00"),
+    ]
+    assert sorted(p.name for p in (tmp_path / "by_month" / "month=2022-11").iterdir()) == november
+
+    refresh_revenue_months(spark, attempts(changed.filter("order_id < 9")), target, full_refresh=True)
+    assert as_text(rows(read_months(spark, target), "order_date"))[0] == ("2022-11-06",)
+
+
+def test_models_as_views(spark):
+    raw = {"orders": raw_orders(spark, *iso(ORDERS)), "users": raw_users(spark, (1, "a@x.com", "2022-12-20 00:00:00")), "events": raw_events(spark)}
+    Models(raw.__getitem__).register_views("v_")
+    assert str(spark.sql("select sum(total_revenue) from v_fct_revenue_trends").first()[0]) == "19.11"
+    assert spark.sql("select count(*) from v_funnel_summary").first()[0] == 3
+
+
 def test_build_marts_full_then_incremental(spark, rows, root):
     raw = {
         "users": raw_users(spark, (1, "a@x.com", "2022-12-20 00:00:00"), (2, "b@x.com", "2023-01-01 08:00:00")),
