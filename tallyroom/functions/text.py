@@ -42,8 +42,9 @@ def canonical_email(
     """
     local = F.split_part(email, F.lit("@"), F.lit(1))
     domain = F.split_part(email, F.lit("@"), F.lit(2))
-    canonical = F.when(email.isNull(), email)
-    for provider, spellings in aliases.items():
-        mailbox = F.replace(local, F.lit("."), F.lit("")) if provider in dot_blind else local
-        canonical = canonical.when(domain.isin(*spellings), F.concat(mailbox, F.lit("@" + provider)))
-    return canonical.otherwise(email)
+    provider_of = F.create_map(
+        *[F.lit(text) for provider, spellings in aliases.items() for spelling in spellings for text in (spelling, provider)]
+    )
+    provider = F.try_element_at(provider_of, domain)
+    mailbox = F.when(provider.isin(*dot_blind), F.replace(local, F.lit("."), F.lit(""))).otherwise(local)
+    return F.when(provider.isNull(), email).otherwise(F.concat(mailbox, F.lit("@"), provider))

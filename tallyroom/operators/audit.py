@@ -51,11 +51,20 @@ def _row_total() -> Column:
     return F.coalesce(F.sum("rows_of_key"), F.lit(0)).cast("bigint")
 
 
-def _orphan_total(per_user: DataFrame, users: DataFrame) -> Column:
-    """Scalar: rows of users that are not in ``users``; a NULL user is no orphan."""
-    known = users.select("user_id").distinct()
-    missing = per_user.filter(F.col("user_id").isNotNull()).join(known, "user_id", "left_anti")
-    return missing.agg(_row_total()).scalar()
+def _per_user(df: DataFrame, users: DataFrame, *measures: Column) -> DataFrame:
+    """Totals per user of ``df``, with ``orphaned`` set for users not in ``users``; a NULL user is no orphan."""
+    totals = df.groupBy("user_id").agg(F.count(F.lit(1)).alias("rows_of_key"), *measures)
+    known = users.select("user_id").distinct().withColumn("known", F.lit(True))
+    orphaned = F.col("known").isNull() & F.col("user_id").isNotNull()
+    return totals.join(known, "user_id", "left").withColumn("orphaned", orphaned)
+
+
+def _orphan_total() -> Column:
+    return F.coalesce(F.sum(F.when(F.col("orphaned"), F.col("rows_of_key"))), F.lit(0)).cast("bigint")
+
+
+def _total(measure: str) -> Column:
+    return F.coalesce(F.sum(measure), F.lit(0)).cast("bigint").alias(measure)
 
 
 def audit_users(raw_users: DataFrame) -> DataFrame:
@@ -87,25 +96,23 @@ def audit_orders(raw_orders: DataFrame, raw_users: DataFrame) -> DataFrame:
         .agg(F.count_if(F.col("rows_of_key") > 1))
         .scalar()
     )
-    totals = parsed.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(F.col("order_value") <= 0).alias("non_positive_value"),
-    ).select(
-        "*",
-        _orphan_total(_rows_per_key(parsed, "user_id"), raw_users).alias("orphaned_user"),
-        repeated_ids.alias("duplicate_order_ids"),
+    non_positive = F.count_if(F.col("order_value") <= 0).alias("non_positive_value")
+    totals = (
+        _per_user(parsed, raw_users, non_positive)
+        .agg(_row_total().alias("total_rows"), _orphan_total().alias("orphaned_user"), _total("non_positive_value"))
+        .withColumn("duplicate_order_ids", repeated_ids)
     )
     return _metric_rows(totals, "total_rows", ["orphaned_user", "non_positive_value", "duplicate_order_ids"])
 
 
 def audit_events(raw_events: DataFrame, raw_users: DataFrame, steps: Sequence[FunnelStep] = DEFAULT_STEPS) -> DataFrame:
     """Rows, events of unknown users, and the share of each funnel event."""
-    parsed = parse_events(raw_events)
-    totals = parsed.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        *[F.count_if(F.col("event_name") == step.event).alias(step.event) for step in steps],
-    ).select("*", _orphan_total(_rows_per_key(parsed, "user_id"), raw_users).alias("orphaned_user"))
-    return _metric_rows(totals, "total_rows", ["orphaned_user", *[step.event for step in steps]])
+    names = [step.event for step in steps]
+    counts = [F.count_if(F.col("event_name") == name).alias(name) for name in names]
+    totals = _per_user(parse_events(raw_events), raw_users, *counts).agg(
+        _row_total().alias("total_rows"), _orphan_total().alias("orphaned_user"), *[_total(name) for name in names]
+    )
+    return _metric_rows(totals, "total_rows", ["orphaned_user", *names])
 
 
 def duplicate_conflicts(df: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
@@ -263,16 +270,14 @@ def attrition(raw_users: DataFrame, raw_orders: DataFrame, raw_events: DataFrame
             F.count_if(F.col("valid") > 0).alias("kept"),
         )
     )
-    order_orphans = _orphan_total(_rows_per_key(best_attempts(valid), "user_id"), staged_users)
+    order_orphans = _per_user(best_attempts(valid), staged_users).agg(_orphan_total()).scalar()
     orders = _stage_rows(per_order.withColumn("kept_orphaned_user", order_orphans), "orders", ORDER_OUTCOMES)
 
-    parsed_events = parse_events(raw_events)
     identified = F.col("user_id").isNotNull() & F.col("session_id").isNotNull()
-    event_totals = parsed_events.agg(
-        F.count(F.lit(1)).alias("raw"),
-        F.count_if(~identified).alias("dropped_no_user_or_session"),
-        F.count_if(identified).alias("kept"),
-    )
-    event_orphans = _orphan_total(_rows_per_key(parsed_events.filter(identified), "user_id"), staged_users)
-    events = _stage_rows(event_totals.withColumn("kept_orphaned_user", event_orphans), "events", EVENT_OUTCOMES)
+    per_user = _per_user(parse_events(raw_events), staged_users, F.count_if(identified).alias("kept"))
+    kept_orphans = F.coalesce(F.sum(F.when(F.col("orphaned"), F.col("kept"))), F.lit(0))
+    event_totals = per_user.agg(
+        _row_total().alias("raw"), _total("kept"), kept_orphans.alias("kept_orphaned_user")
+    ).withColumn("dropped_no_user_or_session", F.col("raw") - F.col("kept"))
+    events = _stage_rows(event_totals, "events", EVENT_OUTCOMES)
     return users.unionAll(orders).unionAll(events)

@@ -160,6 +160,8 @@ def test_attrition_adds_up(spark):
 
 
 def test_orphan_probe_joins_totals_not_rows(spark):
-    plan = audit.audit_orders(orders(spark), users(spark))._jdf.queryExecution().optimizedPlan().toString()
-    anti = plan[plan.index("LeftAnti") :].splitlines()
-    assert "Aggregate [user_id" in anti[1]
+    plan = audit.audit_events(events(spark), users(spark))._jdf.queryExecution().optimizedPlan().toString()
+    joined = plan[plan.index("Join LeftOuter") :].splitlines()
+    assert "Aggregate [user_id" in joined[1]
+    # One pass over the events, one over the users.
+    assert plan.count("LogicalRDD") == 2
