@@ -49,8 +49,8 @@ def parse_users(
         "last_name",
         email.alias("email"),
         blank_to_null(F.col("country")).alias("country"),
-        parse_instant(F.col("signup_date"), signup_type, assume_utc=True).alias("signup_at"),
-        parse_civil_date(F.col("signup_date"), signup_type).alias("signup_date"),
+        parse_instant(F.col("signup_date"), signup_type, assume_utc=True, blank_is_null=True).alias("signup_at"),
+        parse_civil_date(F.col("signup_date"), signup_type, blank_is_null=True).alias("signup_date"),
         canonical_email(email, aliases, dot_blind).alias("account_email"),
     )
 
@@ -163,7 +163,7 @@ def parse_events(raw_events: DataFrame) -> DataFrame:
         "session_id",
         clean_label(F.col("event_name")).alias("event_name"),
         # Client wall clock, deliberately not aligned with the UTC orders.
-        parse_local(F.col("event_timestamp"), time_type).alias("event_at"),
+        parse_local(F.col("event_timestamp")).alias("event_at"),
         parse_civil_date(F.col("event_timestamp"), time_type).alias("event_date"),
         clean_label(F.col("device_type")).alias("device_type"),
         "page_url",

@@ -105,10 +105,17 @@ def test_orders_result_does_not_depend_on_input_order(spark, rows):
     assert rows(stage_orders(raw_orders(spark, *data))) == rows(stage_orders(raw_orders(spark, *reversed(data)).repartition(7)))
 
 
-def test_bad_date_fails_the_job(spark):
-    raw = raw_orders(spark, (1, 7, "yesterday", "9.00", "pending"))
+@pytest.mark.parametrize("text", ["yesterday", "", "2023-02-30T00:00:00Z"])
+def test_bad_date_fails_the_job(spark, text):
     with pytest.raises(PySparkException):
-        stage_orders(raw).collect()
+        stage_orders(raw_orders(spark, (1, 7, text, "9.00", "pending"))).collect()
+    with pytest.raises(PySparkException):
+        stage_events(raw_events(spark, (1, 5, "s", "purchase", text))).collect()
+
+
+def test_spaces_around_times_are_harmless(spark):
+    assert stage_orders(raw_orders(spark, (1, 7, " 2023-01-01T10:00:00Z ", "9.00", "pending"))).first().order_date == date(2023, 1, 1)
+    assert stage_events(raw_events(spark, (1, 5, "s", "purchase", " 2023-01-01 10:00:00 "))).first().event_at == datetime(2023, 1, 1, 10)
 
 
 @pytest.mark.parametrize("limit", [1_000, 1])
