@@ -17,6 +17,7 @@ from ..sources.store import (
     read_months,
     read_published,
     scratch_dir,
+    side_by_side,
     write_months,
 )
 from .checks import standard_checks
@@ -26,9 +27,10 @@ MARTS = ("fct_revenue_trends", "monthly_cohort_retention", "funnel_summary")
 CHECK_RESULTS = "dq_results"
 
 # Read by several models, so computed once and stored.
-SHARED_MODELS = ("stg_users", "stg_orders", "int_sessionized_events")
-# Read again by several checks.
-CHECKED_MODELS = ("int_user_first_purchase", *MARTS)
+SHARED_MODELS = ("stg_users", "stg_orders")
+# Read again by the checks; the second group derives from the first.
+CHECKED_BASE_MODELS = ("int_sessionized_events",)
+CHECKED_DERIVED_MODELS = ("int_user_first_purchase", *MARTS)
 
 
 def build_marts(
@@ -39,29 +41,33 @@ def build_marts(
     lookback_days: int = LOOKBACK_DAYS,
     with_checks: bool = False,
     extra_tables: Sequence[str] = (),
-) -> tuple[str, Models]:
-    """Run every model and publish the marts under one new version.
+) -> str:
+    """Run every model, publish the marts under one new version and return it.
 
-    Staged users, staged orders and sessions feed several models, so they are
-    written once to shared storage and read back.  ``with_checks`` also
-    publishes the check results as a table; ``extra_tables`` publishes further
-    models by name.
+    Tables that several models read are written once to shared storage and
+    read back.  ``with_checks`` also publishes the check results as a table;
+    ``extra_tables`` publishes further models by name.
     """
     apply_required_conf(spark)
-    scratch = scratch_dir(spark, root)
-    stored = {*SHARED_MODELS, *(CHECKED_MODELS if with_checks else ())}
-    models = Models(
-        raw.__getitem__,
-        existing_revenue=None if full_refresh else read_published(spark, root, "fct_revenue_trends"),
-        lookback_days=lookback_days,
-        full_refresh=full_refresh,
-        keep=lambda name, df: materialise(df, f"{scratch}/{name}") if name in stored else df,
-    )
-    outputs = {name: models.table(name) for name in (*MARTS, *extra_tables)}
+    waves = [SHARED_MODELS]
     if with_checks:
-        checked = {name: models.table(name) for name in MODEL_NAMES}
-        outputs[CHECK_RESULTS] = run_checks(checked, standard_checks(models))
-    return publish_version(outputs, root), models
+        waves = [(*SHARED_MODELS, *CHECKED_BASE_MODELS), CHECKED_DERIVED_MODELS]
+    stored = {name for wave in waves for name in wave}
+    with scratch_dir(spark, root) as scratch:
+        models = Models(
+            raw.__getitem__,
+            existing_revenue=None if full_refresh else read_published(spark, root, "fct_revenue_trends"),
+            lookback_days=lookback_days,
+            full_refresh=full_refresh,
+            keep=lambda name, df: materialise(df, f"{scratch}/{name}") if name in stored else df,
+        )
+        for wave in waves:
+            side_by_side(spark, models.table, wave)
+        outputs = {name: models.table(name) for name in (*MARTS, *extra_tables)}
+        if with_checks:
+            checked = {name: models.table(name) for name in MODEL_NAMES}
+            outputs[CHECK_RESULTS] = run_checks(checked, standard_checks(models))
+        return publish_version(outputs, root)
 
 
 def refresh_revenue(
@@ -108,7 +114,8 @@ def refresh_revenue_months(
     touched_months = existing.filter(F.col("order_date") >= F.lit(start.replace(day=1)))
     recomputed = revenue_slice(best_attempts_since(attempts, start), existing, start)
     revenue = replace_slice(touched_months, recomputed, start)
-    write_months(materialise(revenue, f"{scratch_dir(spark, target.rstrip('/') + '_scratch')}/revenue"), "order_date", target)
+    with scratch_dir(spark, f"{target.rstrip('/')}_aside") as scratch:
+        write_months(materialise(revenue, f"{scratch}/revenue"), "order_date", target)
 
 
 def read_mart(

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Collection, Mapping
+from collections.abc import Callable, Collection, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
@@ -52,14 +53,20 @@ def guarded_write(
     df.write.mode("overwrite").parquet(target)
 
 
-def scratch_dir(spark: SparkSession, fallback_root: str) -> str:
-    """A fresh folder for intermediate tables that every executor can reach.
+@contextmanager
+def scratch_dir(spark: SparkSession, fallback_root: str) -> Iterator[str]:
+    """A fresh folder for intermediate tables that every executor can reach, removed at the end.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``; where it
     is unset the folder lies beside the published tables.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or f"{fallback_root.rstrip('/')}/scratch"
-    return f"{shared.rstrip('/')}/tallyroom-{uuid.uuid4().hex}"
+    folder = f"{shared.rstrip('/')}/tallyroom-{uuid.uuid4().hex}"
+    try:
+        yield folder
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, path: str) -> DataFrame:
@@ -72,6 +79,13 @@ def materialise(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def side_by_side(spark: SparkSession, task: Callable[[str], object], names: Iterable[str]) -> None:
+    """Submit one job per name from its own thread, so that short jobs fill the gaps of long ones."""
+    names = list(names)
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+        list(pool.map(inheritable_thread_target(spark)(task), names))
+
+
 def _manifest_rows(spark: SparkSession, root: str) -> DataFrame | None:
     return _read_if_present(spark, f"{root.rstrip('/')}/{_MANIFEST}", "json", _MANIFEST_SCHEMA)
 
@@ -124,13 +138,9 @@ def publish_version(
                 raise TargetNotEmptyError(f"{name} already has published rows; pass replace=True to supersede them")
     version = _next_version(current_version(spark, root))
 
-    def write(item: tuple[str, DataFrame]) -> None:
-        name, df = item
-        df.write.mode("errorifexists").parquet(_table_path(root, name, version))
-
-    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-        list(pool.map(inheritable_thread_target(spark)(write), tables.items()))
-
+    side_by_side(
+        spark, lambda name: tables[name].write.mode("errorifexists").parquet(_table_path(root, name, version)), tables
+    )
     entry = [(version, dt.datetime.now(dt.timezone.utc).isoformat(), sorted(tables))]
     spark.createDataFrame(entry, _MANIFEST_SCHEMA).coalesce(1).write.mode("append").json(f"{root.rstrip('/')}/{_MANIFEST}")
     return version

@@ -1,4 +1,6 @@
 from decimal import Decimal
+from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException, PySparkException
@@ -160,13 +162,23 @@ def test_months_are_replaced_alone(spark, rows, tmp_path):
     assert [(str(a), b) for a, b in rows(got, "d", "v")] == [("2023-01-01", 1), ("2023-02-05", 2)]
 
 
-def test_scratch_lies_in_the_clusters_shared_folder(spark, rows):
+def test_scratch_lies_in_the_clusters_shared_folder_and_is_removed(spark, rows):
     shared = spark.conf.get("spark.checkpoint.dir")
-    folder = scratch_dir(spark, "/elsewhere")
-    assert folder.startswith(shared) and folder != scratch_dir(spark, "/elsewhere")
-    stored = materialise(spark.createDataFrame([(1, "a")], "k int, v string"), f"{folder}/t")
-    assert rows(stored) == [(1, "a")]
-    assert "Scan parquet" in stored._jdf.queryExecution().executedPlan().toString() or "FileScan parquet" in stored._jdf.queryExecution().executedPlan().toString()
+    with scratch_dir(spark, "/elsewhere") as folder, scratch_dir(spark, "/elsewhere") as other:
+        assert folder.startswith(shared) and folder != other
+        stored = materialise(spark.createDataFrame([(1, "a")], "k int, v string"), f"{folder}/t")
+        assert rows(stored) == [(1, "a")]
+        assert "FileScan parquet" in stored._jdf.queryExecution().executedPlan().toString()
+    assert not Path(folder).exists() and Path(shared).exists()
+
+
+def test_scratch_falls_back_beside_the_target(spark, tmp_path):
+    no_shared_folder = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), _jvm=spark._jvm, _jsc=spark._jsc)
+    with pytest.raises(RuntimeError), scratch_dir(no_shared_folder, str(tmp_path)) as folder:
+        assert folder.startswith(str(tmp_path))
+        materialise(spark.range(1), f"{folder}/t")
+        raise RuntimeError("a failing run")
+    assert not Path(folder).exists()
 
 
 def test_shuffle_partitions_grow_with_the_data():
