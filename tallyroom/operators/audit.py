@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import percent
-from .hot_keys import HOT_KEY_ROWS, join_per_key
+from .hot_keys import join_per_key
 from .sessions import DEFAULT_STEPS, FunnelStep
 from .staging import (
     COMPLETED,
@@ -142,7 +142,7 @@ def duplicate_conflicts(df: DataFrame, key: str, fields: Sequence[str]) -> DataF
     return kinds.withColumn("pct", percent(F.col("duplicate_sets"), all_sets))
 
 
-def duplicate_accounts(raw_users: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def duplicate_accounts(raw_users: DataFrame) -> DataFrame:
     """Each dropped registration beside the one that was kept.
 
     Pairs run from a duplicate to its survivor only, never between duplicates,
@@ -156,14 +156,13 @@ def duplicate_accounts(raw_users: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> Da
         .filter(F.col("rows_of_key") > 1)
         .select(
             "account_email",
-            "rows_of_key",
             F.col("kept.user_id").alias("kept_user_id"),
             F.col("kept.email").alias("kept_email"),
             F.col("kept.signup_at").alias("kept_signup_at"),
         )
     )
     return (
-        join_per_key(dated, kept, ["account_email"], size="rows_of_key", hot_rows=hot_rows)
+        join_per_key(dated, kept, ["account_email"])
         .filter(F.col("user_id") != F.col("kept_user_id"))
         .select(
             "account_email",

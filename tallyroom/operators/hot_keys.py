@@ -7,24 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# With this many rows a key still fits one join task with ease, and at most
-# (rows / HOT_KEY_ROWS) keys can have more: ten thousand in ten billion rows.
-HOT_KEY_ROWS = 1_000_000
+_COMPANION = "__key_hash"
 
 
-def join_per_key(
-    rows: DataFrame, per_key: DataFrame, keys: Sequence[str], size: str, hot_rows: int = HOT_KEY_ROWS
-) -> DataFrame:
-    """Inner join of ``rows`` with ``per_key``, which has one row per key and the key's row count in ``size``.
+def join_per_key(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join ``rows`` with ``per_key``, an aggregation by ``keys``, so that hot keys can be split.
 
-    Rows of hot keys are joined where they are read, against a broadcast of
-    the hot keys; all other rows are joined by shuffle.  Run-time skew
-    splitting does not cover this, because ``per_key`` is usually an
-    aggregation whose shuffle the join reuses.
+    Spark splits an oversized join partition at run time only if both sides
+    were shuffled for that join.  An aggregation by the same key would lend its
+    own shuffle instead and pin a hot key, or all NULL keys of an outer join,
+    to one task.  The hash as a second key rules that out; the price is to
+    shuffle ``per_key`` once more, one row per key.
     """
-    keys = list(keys)
-    hot = per_key.filter(F.col(size) > hot_rows)
-    at_rest = rows.join(F.broadcast(hot), keys)
-    others = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
-    shuffled = others.join(per_key.filter(F.col(size) <= hot_rows), keys)
-    return at_rest.unionByName(shuffled)
+    companion = F.xxhash64(*keys)
+    joined = rows.withColumn(_COMPANION, companion).join(
+        per_key.withColumn(_COMPANION, companion), [*keys, _COMPANION], how
+    )
+    return joined.drop(_COMPANION)

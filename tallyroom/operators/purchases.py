@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .hot_keys import join_per_key
 from .staging import COMPLETED
 
 LIFETIME_MONEY = "decimal(24,2)"
@@ -37,7 +38,7 @@ def purchase_totals(orders: DataFrame) -> DataFrame:
 
 def user_first_purchase(users: DataFrame, orders: DataFrame) -> DataFrame:
     """Every staged user with acquisition and purchase metrics; non-buyers have zeros."""
-    return users.join(purchase_totals(orders), "user_id", "left").select(
+    return join_per_key(users, purchase_totals(orders), ["user_id"], "left").select(
         "user_id",
         "signup_at",
         "signup_date",

@@ -61,9 +61,14 @@ def retention_range_rule() -> Column:
 
 
 def purchase_before_signup(first_purchases: DataFrame, users: DataFrame) -> DataFrame:
-    """First purchases not strictly after the signup instant."""
+    """First purchases not strictly after the signup instant.
+
+    Of several users under one id the latest signup decides, so a repeated id
+    does not multiply rows.
+    """
     bought = first_purchases.filter(F.col("first_purchase_date").isNotNull())
-    signups = users.select("user_id", F.col("signup_at").alias("registered_at"), F.col("signup_date").alias("registered_on"))
+    latest = F.max(F.struct(F.col("signup_at").alias("registered_at"), F.col("signup_date").alias("registered_on")))
+    signups = users.groupBy("user_id").agg(latest.alias("signup")).select("user_id", "signup.*")
     return (
         bought.join(signups, "user_id")
         .filter(F.col("first_purchase_at") <= F.col("registered_at"))

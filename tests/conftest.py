@@ -30,3 +30,27 @@ def rows():
         return sorted((tuple(r) for r in picked.collect()), key=lambda r: tuple((v is None, str(v)) for v in r))
 
     return collect
+
+
+@pytest.fixture
+def tiny_skew_limits(spark):
+    """Run-time skew handling at the size of a test."""
+    limits = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in limits}
+    for k, v in limits.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.fixture
+def final_plan():
+    """The physical plan after execution."""
+    return lambda df: df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]

@@ -102,19 +102,17 @@ def test_duplicates_are_paired_with_their_survivor_only(spark, rows):
     assert rows(got, "account_email", "kept_user_id", "duplicate_user_id") == [("ab@gmail.com", 1, 2), ("ab@gmail.com", 1, 3)]
 
 
-def test_rows_of_a_hot_account_are_not_shuffled(spark, rows):
-    """A third of the users share one address; hot or not, the pairs are the same."""
-    hot = F.when(F.col("id") % 3 == 0, F.lit("hot@gmail.com")).otherwise(F.concat((F.col("id") % 700).cast("string"), F.lit("@x.com")))
-    many = spark.range(0, 3_000, 1, 4).select(
+def test_a_hot_account_is_split_at_run_time(spark, tiny_skew_limits, final_plan):
+    """A third of the users share one address."""
+    hot = F.when(F.col("id") % 3 == 0, F.lit("hot@gmail.com")).otherwise(F.concat((F.col("id") % 20_000).cast("string"), F.lit("@x.com")))
+    many = spark.range(0, 60_000, 1, 8).select(
         F.col("id").alias("user_id"), F.lit("F").alias("first_name"), F.lit("L").alias("last_name"), hot.alias("email"),
         F.lit("US").alias("country"), F.lit("2023-01-01 00:00:00").alias("signup_date"),
     )
-    split, plain = audit.duplicate_accounts(many, hot_rows=100), audit.duplicate_accounts(many, hot_rows=10**9)
-    assert rows(split) == rows(plain)
-    hot_pairs = [r for r in split.collect() if r.account_email == "hot@gmail.com"]
-    assert len(hot_pairs) == 999 and {r.kept_user_id for r in hot_pairs} == {0}
-    plan = split._jdf.queryExecution().executedPlan().toString()
-    assert "LeftAnti" in plan and "BroadcastHashJoin" in plan
+    pairs = audit.duplicate_accounts(many)
+    hot_pairs = [r for r in pairs.collect() if r.account_email == "hot@gmail.com"]
+    assert len(hot_pairs) == 19_999 and {r.kept_user_id for r in hot_pairs} == {0}
+    assert "skew=true" in final_plan(pairs)
 
 
 def test_signups_per_month(spark, rows):

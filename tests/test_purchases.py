@@ -74,3 +74,26 @@ def test_matches_two_pass_definition(spark, rows):
         "total_orders_count", F.col("total_lifetime_value"),
     )
     assert rows(got) == rows(expected)
+
+
+def test_users_without_an_id_are_split_at_run_time(spark, tiny_skew_limits, final_plan):
+    """A third of the users have no id; none of them matches an order."""
+    users = spark.range(0, 60_000, 1, 8).select(
+        F.when(F.col("id") % 3 != 0, F.col("id")).alias("user_id"),
+        F.col("id").cast("timestamp").alias("signup_at"),
+        F.lit("2023-01-01").cast("date").alias("signup_date"),
+    )
+    orders = spark.range(0, 3_000, 1, 4).select(
+        F.col("id").alias("order_id"),
+        F.when(F.col("id") % 2 == 0, F.col("id")).alias("user_id"),
+        F.col("id").cast("timestamp").alias("ordered_at"),
+        F.lit("2023-02-01").cast("date").alias("order_date"),
+        F.lit("1.00").cast("decimal(12,2)").alias("order_value"),
+        F.lit("completed").alias("order_status"),
+    )
+    result = user_first_purchase(users, orders)
+    collected = result.collect()
+    assert len(collected) == 60_000
+    assert sum(r.has_purchased for r in collected) == 1_000
+    assert not any(r.has_purchased for r in collected if r.user_id is None)
+    assert "skew=true" in final_plan(result)

@@ -38,6 +38,14 @@ def test_purchase_at_the_signup_instant_is_a_violation(spark, rows):
     assert rows(q.purchase_before_signup(same, users), "user_id") == [(2,), (3,)]
 
 
+def test_a_repeated_user_id_does_not_multiply_violations(spark):
+    users = staged_users(spark, (1, "2023-01-05"), (1, "2023-01-09"), (1, "2023-02-01"))
+    orders = staged_orders(spark, (1, 1, "2023-01-06", "1.00", "completed"))
+    first = user_first_purchase(users, orders)
+    assert first.count() == 3
+    assert q.purchase_before_signup(first, users).count() == 3
+
+
 def test_first_purchase_must_be_completed(spark, rows):
     users = staged_users(spark, (1, "2023-01-01"), (2, "2023-01-01"))
     orders = staged_orders(spark, (1, 1, "2023-01-06", "1.00", "completed"), (2, 2, "2023-01-06", "1.00", "completed"))

@@ -135,33 +135,19 @@ def test_gap_sessions_agree_with_session_window(spark, rows):
     assert rows(ours, "user_id", "session_start_at", "session_end_at", "total_events_count") == rows(window, "user_id", "a", "b", "n")
 
 
-def test_a_hot_cell_is_split_at_run_time(spark):
+def test_a_hot_cell_is_split_at_run_time(spark, tiny_skew_limits, final_plan):
     """A third of all events fall on one user within one minute."""
-    small = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.shuffle.partitions": "16",
-    }
-    before = {k: spark.conf.get(k) for k in small}
     hot = F.col("id") % 3 == 0
     events = spark.range(0, 60_000, 1, 8).select(
         F.col("id").alias("event_id"),
         F.when(hot, 0).otherwise(F.col("id") % 997 + 1).alias("user_id"),
         F.timestamp_add("SECOND", F.when(hot, F.col("id") % 60).otherwise(F.col("id") * 37 % 86_400), F.expr("timestamp_ntz'2024-01-01'")).alias("ts"),
     )
-    for k, v in small.items():
-        spark.conf.set(k, v)
-    try:
-        assigned = assign_sessions(events, "user_id", "ts")
-        collected = assigned.collect()
-        assert len(collected) == 60_000
-        assert {r.session_seq for r in collected if r.user_id == 0} == {1}
-        assert "skew=true" in assigned._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
+    assigned = assign_sessions(events, "user_id", "ts")
+    collected = assigned.collect()
+    assert len(collected) == 60_000
+    assert {r.session_seq for r in collected if r.user_id == 0} == {1}
+    assert "skew=true" in final_plan(assigned)
 
 
 def test_unplaceable_events_are_left_out(spark):
