@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import sys
+import tempfile
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from oracle_queries import MATRIX_MONTHS, ORACLE  # noqa: E402
-from sample_feeds import RAW_FEEDS, event_stream_columns, raw_events, raw_orders, raw_users  # noqa: E402
+from sample_feeds import RAW_FEEDS, click_feed, raw_events, raw_orders, raw_users  # noqa: E402
 from tallyroom.operators import audit, quality  # noqa: E402
 from tallyroom.operators.cohorts import cohort_curves, cohort_kpis, cohort_matrix  # noqa: E402
 from tallyroom.operators.funnel import funnel_counts, funnel_summary, step_conversion  # noqa: E402
@@ -28,6 +30,8 @@ from tallyroom.operators.sessions import assign_sessions, gap_sessions  # noqa:
 from tallyroom.operators.staging import parse_orders, parse_users, stage_orders  # noqa: E402
 from tallyroom.plans.checks import BUSINESS_CHECKS, accepted_checks, not_null_checks, unique_checks  # noqa: E402
 from tallyroom.plans.models import Models  # noqa: E402
+from tallyroom.sources.store import read_published  # noqa: E402
+from tallyroom.streaming import run_order_feed, stream_gap_sessions  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -112,6 +116,31 @@ def _sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _civil(bad.select("order_id", "user_id", "ordered_at", "order_value", "order_status"))
 
 
+def _stream_root(spark: SparkSession) -> str:
+    """A fresh folder for a stream's checkpoint and output, on the cluster's shared storage."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tallyroom-")
+    return f"{shared.rstrip('/')}/tallyroom-stream-{uuid.uuid4().hex}"
+
+
+def _order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _stream_root(spark)
+    run_order_feed(raw_orders(spark, sf_dir, as_stream=True), root, f"{root}/checkpoint").awaitTermination()
+    return read_published(spark, root, "fct_revenue_trends")
+
+
+def _session_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _stream_root(spark)
+    closed = stream_gap_sessions(click_feed(spark, sf_dir, as_stream=True), "user_id", "ts")
+    (
+        closed.writeStream.outputMode("append")
+        .option("checkpointLocation", f"{root}/checkpoint")
+        .trigger(availableNow=True)
+        .start(f"{root}/sessions", format="parquet")
+        .awaitTermination()
+    )
+    return spark.read.schema(closed.schema).parquet(f"{root}/sessions")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Daily revenue from raw orders: parse, filter, resolve retries, aggregate."""
     return _revenue(spark, SMOKE_DIR)
@@ -168,8 +197,10 @@ def queries() -> dict[str, Query]:
         "weekend_share": lambda s, d: audit.weekend_share(stage_orders(raw_orders(s, d))),
         "attrition": lambda s, d: audit.attrition(raw_users(s, d), raw_orders(s, d), raw_events(s, d)),
         "sample_non_positive_orders": _sample,
-        "gap_sessions": lambda s, d: gap_sessions(event_stream_columns(s, d), "user_id", "ts"),
-        "gap_session_events": lambda s, d: assign_sessions(event_stream_columns(s, d), "user_id", "ts"),
+        "gap_sessions": lambda s, d: gap_sessions(click_feed(s, d), "user_id", "ts"),
+        "order_feed_revenue": _order_feed,
+        "session_feed": _session_feed,
+        "gap_session_events": lambda s, d: assign_sessions(click_feed(s, d), "user_id", "ts"),
     }
 
 

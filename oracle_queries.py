@@ -726,6 +726,16 @@ ORACLE: dict[str, str] = {
         from gap_events group by user_id, session_seq
         """,
     ),
+    "order_feed_revenue": sql(("revenue",), f"select {REVENUE} from revenue"),
+    # A session is emitted once the watermark, an hour behind the newest event, has passed its gap.
+    "session_feed": sql(
+        ("gap_events",),
+        """
+        select user_id, min(ts) as session_start_at, max(ts) as session_end_at, count(*) as total_events_count
+        from gap_events group by user_id, session_seq
+        having max(ts) + interval 30 minute <= (select max(ts) from events) - interval 1 hour
+        """,
+    ),
     "gap_session_events": sql(
         ("gap_events",),
         """

@@ -21,18 +21,20 @@ SCHEMAS = {
 }
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def _table(spark: SparkSession, sf_dir: str, name: str, as_stream: bool = False) -> DataFrame:
     apply_required_conf(spark)
+    if as_stream:
+        return spark.readStream.schema(SCHEMAS[name]).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_orders(spark: SparkSession, sf_dir: str, as_stream: bool = False) -> DataFrame:
     """One in a hundred orders is followed by a retry, of four kinds.
 
     A retry is a second row made from the first, so rows are exploded and the
     table is read once.
     """
-    base = _table(spark, sf_dir, "orders").selectExpr(
+    base = _table(spark, sf_dir, "orders", as_stream).selectExpr(
         "o_orderkey as order_id",
         "if(o_orderkey % 67 = 0, o_custkey + 1000000, o_custkey) as user_id",
         "timestampadd(second, o_orderkey % 86400, o_orderdate) as ordered_ts",
@@ -95,9 +97,9 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_stream_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+def click_feed(spark: SparkSession, sf_dir: str, as_stream: bool = False) -> DataFrame:
     """The click feed as it is before any session id exists."""
-    return _table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    return _table(spark, sf_dir, "events", as_stream).select("event_id", "user_id", "ts")
 
 
 RAW_FEEDS = {"users": raw_users, "orders": raw_orders, "events": raw_events}

@@ -5,19 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import apply_required_conf
+
 
 def stream_gap_sessions(events: DataFrame, user: str, ts: str, gap: str = "30 minutes", late_by: str = "1 hour") -> DataFrame:
     """Sessions that can no longer grow, from a streaming frame of events.
 
     The same rule as ``operators.sessions.gap_sessions``.  State per user is
     the open sessions, not their events; events later than ``late_by`` are
-    dropped by the watermark.
+    dropped by the watermark.  A watermark needs an instant, so wall-clock
+    times are read as UTC, where no hour repeats or is missing, and returned
+    as wall-clock times.
     """
-    window = F.session_window(ts, gap)
+    kind = events.schema[ts].dataType
+    apply_required_conf(events.sparkSession)
+    timed = events.filter(F.col(user).isNotNull()).withColumn(ts, F.col(ts).cast("timestamp"))
     return (
-        events.filter(F.col(user).isNotNull())
-        .withWatermark(ts, late_by)
-        .groupBy(user, window.alias("session"))
-        .agg(F.min(ts).alias("session_start_at"), F.max(ts).alias("session_end_at"), F.count(F.lit(1)).alias("total_events_count"))
-        .drop("session")
+        timed.withWatermark(ts, late_by)
+        .groupBy(user, F.session_window(ts, gap).alias("session"))
+        .agg(F.min(ts).alias("start"), F.max(ts).alias("end"), F.count(F.lit(1)).alias("total_events_count"))
+        .select(
+            user,
+            F.col("start").cast(kind).alias("session_start_at"),
+            F.col("end").cast(kind).alias("session_end_at"),
+            "total_events_count",
+        )
     )

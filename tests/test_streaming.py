@@ -1,5 +1,7 @@
 from datetime import datetime, timedelta
 
+import pytest
+
 from tallyroom.operators.revenue import daily_revenue
 from tallyroom.operators.sessions import gap_sessions
 from tallyroom.operators.staging import best_attempts
@@ -47,17 +49,18 @@ def test_a_retried_batch_counts_once(spark, rows, tmp_path):
     assert [str(r[1]) for r in rows(read_published(spark, root, "fct_revenue_trends"))] == ["5.00"]
 
 
-def test_streamed_sessions_equal_the_batch(spark, rows, tmp_path):
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_streamed_sessions_equal_the_batch(spark, rows, tmp_path, kind):
     inbox, base = str(tmp_path / "events"), datetime(2024, 1, 1)
     events = [(u, base + timedelta(minutes=7 * i + (40 if i % 5 == 0 else 0))) for u in (1, 2) for i in range(30)]
     # One far later event moves the watermark past every session above.
     events.append((9, base + timedelta(days=3)))
-    schema = "user_id bigint, ts timestamp"
+    schema = f"user_id bigint, ts {kind}"
     spark.createDataFrame(events, schema).coalesce(1).write.parquet(inbox)
     sessions = stream_gap_sessions(spark.readStream.schema(schema).parquet(inbox), "user_id", "ts")
     query = (
         sessions.writeStream.format("memory")
-        .queryName("sessions_out")
+        .queryName(f"sessions_{kind}")
         .outputMode("append")
         .option("checkpointLocation", str(tmp_path / "checkpoint"))
         .trigger(availableNow=True)
@@ -66,4 +69,4 @@ def test_streamed_sessions_equal_the_batch(spark, rows, tmp_path):
     query.awaitTermination(120)
     columns = ["user_id", "session_start_at", "session_end_at", "total_events_count"]
     batch = gap_sessions(spark.read.parquet(inbox).filter("user_id <> 9"), "user_id", "ts")
-    assert rows(spark.table("sessions_out"), *columns) == rows(batch, *columns)
+    assert rows(spark.table(f"sessions_{kind}"), *columns) == rows(batch, *columns)
