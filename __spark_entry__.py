@@ -28,9 +28,18 @@ from tallyroom.operators.revenue import (  # noqa: E402
 from tallyroom.operators.series import rolling_mean  # noqa: E402
 from tallyroom.operators.sessions import assign_sessions, gap_sessions  # noqa: E402
 from tallyroom.operators.staging import parse_orders, parse_users, stage_orders  # noqa: E402
+from tallyroom.plans.build import read_mart, refresh_revenue, refresh_revenue_months  # noqa: E402
 from tallyroom.plans.checks import BUSINESS_CHECKS, accepted_checks, not_null_checks, unique_checks  # noqa: E402
 from tallyroom.plans.models import Models  # noqa: E402
-from tallyroom.sources.store import read_published  # noqa: E402
+from tallyroom.sources import (  # noqa: E402
+    RAW_ORDERS_SCHEMA,
+    publish_version,
+    read_months,
+    read_published,
+    read_raw_csv,
+    write_csv,
+    write_months,
+)
 from tallyroom.streaming import run_order_feed, stream_gap_sessions  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,20 +125,45 @@ def _sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _civil(bad.select("order_id", "user_id", "ordered_at", "order_value", "order_status"))
 
 
-def _stream_root(spark: SparkSession) -> str:
-    """A fresh folder for a stream's checkpoint and output, on the cluster's shared storage."""
+def _output_root(spark: SparkSession) -> str:
+    """A fresh folder for what a query writes, on the cluster's shared storage."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tallyroom-")
-    return f"{shared.rstrip('/')}/tallyroom-stream-{uuid.uuid4().hex}"
+    return f"{shared.rstrip('/')}/tallyroom-output-{uuid.uuid4().hex}"
+
+
+def _load_csv_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw orders written as a CSV extract and loaded back by position."""
+    extract = f"{_output_root(spark)}/orders_csv"
+    write_csv(raw_orders(spark, sf_dir), extract, RAW_ORDERS_SCHEMA.names)
+    return _civil(stage_orders(read_raw_csv(spark, extract, RAW_ORDERS_SCHEMA)))
+
+
+def _revenue_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incremental scenario through the versioned store."""
+    root = _output_root(spark)
+    target, orders = _incremental_inputs(spark, sf_dir)
+    publish_version({"fct_revenue_trends": target}, root, replace=False)
+    refresh_revenue(spark, orders, root)
+    return read_mart(spark, root, "fct_revenue_trends")
+
+
+def _revenue_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incremental scenario through a month-partitioned table."""
+    table = f"{_output_root(spark)}/revenue"
+    target, orders = _incremental_inputs(spark, sf_dir)
+    write_months(target, "order_date", table)
+    refresh_revenue_months(spark, orders, table)
+    return read_months(spark, table)
 
 
 def _order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _stream_root(spark)
+    root = _output_root(spark)
     run_order_feed(raw_orders(spark, sf_dir, as_stream=True), root, f"{root}/checkpoint").awaitTermination()
     return read_published(spark, root, "fct_revenue_trends")
 
 
 def _session_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _stream_root(spark)
+    root = _output_root(spark)
     closed = stream_gap_sessions(click_feed(spark, sf_dir, as_stream=True), "user_id", "ts")
     (
         closed.writeStream.outputMode("append")
@@ -198,6 +232,9 @@ def queries() -> dict[str, Query]:
         "attrition": lambda s, d: audit.attrition(raw_users(s, d), raw_orders(s, d), raw_events(s, d)),
         "sample_non_positive_orders": _sample,
         "gap_sessions": lambda s, d: gap_sessions(click_feed(s, d), "user_id", "ts"),
+        "load_csv_orders": _load_csv_orders,
+        "revenue_published": _revenue_published,
+        "revenue_by_month": _revenue_by_month,
         "order_feed_revenue": _order_feed,
         "session_feed": _session_feed,
         "gap_session_events": lambda s, d: assign_sessions(click_feed(s, d), "user_id", "ts"),

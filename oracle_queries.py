@@ -726,6 +726,9 @@ ORACLE: dict[str, str] = {
         from gap_events group by user_id, session_seq
         """,
     ),
+    "load_csv_orders": sql(("stg_orders",), "select * from stg_orders"),
+    "revenue_published": sql(("merged",), f"select {REVENUE} from merged"),
+    "revenue_by_month": sql(("merged",), f"select {REVENUE} from merged"),
     "order_feed_revenue": sql(("revenue",), f"select {REVENUE} from revenue"),
     # A session is emitted once the watermark, an hour behind the newest event, has passed its gap.
     "session_feed": sql(

@@ -58,7 +58,8 @@ def test_null_event_time_makes_flags_unknown(spark):
 
 
 def test_first_device_alphabetically(spark):
-    staged = stage_events(raw_events(spark, (1, 1, "a", "page_view", "2023-01-01 10:00:00", "Tablet"), (2, 1, "a", "page_view", "2023-01-01 10:00:00", " desktop")))
+    at = "2023-01-01 10:00:00"
+    staged = stage_events(raw_events(spark, (1, 1, "a", "page_view", at, "Tablet"), (2, 1, "a", "page_view", at, " desktop")))
     assert sessionize(staged).first().device_type == "desktop"
 
 
@@ -141,7 +142,9 @@ def test_a_hot_cell_is_split_at_run_time(spark, tiny_skew_limits, final_plan):
     events = spark.range(0, 60_000, 1, 8).select(
         F.col("id").alias("event_id"),
         F.when(hot, 0).otherwise(F.col("id") % 997 + 1).alias("user_id"),
-        F.timestamp_add("SECOND", F.when(hot, F.col("id") % 60).otherwise(F.col("id") * 37 % 86_400), F.expr("timestamp_ntz'2024-01-01'")).alias("ts"),
+        F.timestamp_add(
+            "SECOND", F.when(hot, F.col("id") % 60).otherwise(F.col("id") * 37 % 86_400), F.expr("timestamp_ntz'2024-01-01'")
+        ).alias("ts"),
     )
     assigned = assign_sessions(events, "user_id", "ts")
     collected = assigned.collect()
