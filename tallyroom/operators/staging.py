@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -115,33 +115,37 @@ def stage_orders(raw_orders: DataFrame, column_map: Mapping[str, str] = ORDER_CO
     return best_attempts(valid_attempts(parse_orders(raw_orders, column_map)))
 
 
-# Order ids take 16 bytes in a broadcast table, so this is at most ~64 MB.
-MAX_BROADCAST_ORDER_IDS = 4_000_000
+# An id takes about 50 bytes in a broadcast hash table, so this is at most ~100 MB.
+MAX_BROADCAST_ORDER_IDS = 2_000_000
 
 
 def best_attempts_since(
-    attempts: DataFrame, since: dt.date, max_broadcast_ids: int = MAX_BROADCAST_ORDER_IDS
+    attempts: DataFrame,
+    since: dt.date,
+    max_broadcast_ids: int = MAX_BROADCAST_ORDER_IDS,
+    keep: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """``best_attempts`` restricted to orders dated ``since`` or later, for incremental runs.
 
     The date filter cannot simply move below the ranking: an order's winning
     attempt may lie on the other side of ``since``.  So the ids with any
-    attempt in range are found first, and only attempts of those ids are
-    ranked.  If the counted ids fit a broadcast, history is dropped as it is
-    read and never shuffled, and their id range lets Parquet skip row groups.
-    Otherwise everything is ranked, which is slower but just as exact.
+    attempt in range are found first, and history is cut down to the range of
+    those ids, which Parquet can skip row groups by and which is narrow where
+    ids grow with time.  If the counted ids also fit a broadcast, other orders
+    inside the range are dropped before the shuffle too.
+
+    The ids are needed twice, to count and to join; ``keep`` may store them in
+    between so that the attempts are searched only once.
     """
-    in_range = F.col("order_date") >= F.lit(since)
-    recent_ids = attempts.filter(in_range & F.col("order_id").isNotNull()).select("order_id").distinct()
+    in_range, unnumbered = F.col("order_date") >= F.lit(since), F.col("order_id").isNull()
+    recent_ids = keep(attempts.filter(in_range & ~unnumbered).select("order_id").distinct())
     n, lowest, highest = recent_ids.agg(F.count("order_id"), F.min("order_id"), F.max("order_id")).first()
-    if 0 < n <= max_broadcast_ids:
-        nearby = attempts.filter(F.col("order_id").between(lowest, highest))
-        identified = nearby.join(F.broadcast(recent_ids), "order_id", "left_semi")
-        # NULL ids compete as one group; they match no id, so they pass by the join.
-        attempts = identified.unionByName(attempts.filter(F.col("order_id").isNull()))
-    elif n == 0:
-        attempts = attempts.filter(F.col("order_id").isNull())
-    return best_attempts(attempts).filter(in_range)
+    # Attempts without an id compete as one group and are always kept.
+    nearby = attempts.filter(F.col("order_id").between(lowest, highest) | unnumbered)
+    if n <= max_broadcast_ids:
+        touched = F.broadcast(recent_ids.withColumn("touched", F.lit(True)))
+        nearby = nearby.join(touched, "order_id", "left").filter(F.col("touched") | unnumbered).drop("touched")
+    return best_attempts(nearby).filter(in_range)
 
 
 def stage_orders_since(

@@ -86,11 +86,12 @@ def refresh_revenue(
     apply_required_conf(spark)
     existing = None if full_refresh else read_published(spark, root, "fct_revenue_trends")
     if existing is None:
-        revenue = daily_revenue(best_attempts(attempts))
-    else:
-        start = lookback_start(existing, lookback_days)
-        revenue = replace_slice(existing, revenue_slice(best_attempts_since(attempts, start), existing, start), start)
-    return publish_version({"fct_revenue_trends": revenue}, root)
+        return publish_version({"fct_revenue_trends": daily_revenue(best_attempts(attempts))}, root)
+    start = lookback_start(existing, lookback_days)
+    with scratch_dir(spark, root) as scratch:
+        orders = best_attempts_since(attempts, start, keep=lambda ids: materialise(ids, f"{scratch}/recent_ids"))
+        revenue = replace_slice(existing, revenue_slice(orders, existing, start), start)
+        return publish_version({"fct_revenue_trends": revenue}, root)
 
 
 def refresh_revenue_months(
@@ -112,9 +113,9 @@ def refresh_revenue_months(
         return
     start = lookback_start(existing, lookback_days)
     touched_months = existing.filter(F.col("order_date") >= F.lit(start.replace(day=1)))
-    recomputed = revenue_slice(best_attempts_since(attempts, start), existing, start)
-    revenue = replace_slice(touched_months, recomputed, start)
     with scratch_dir(spark, f"{target.rstrip('/')}_aside") as scratch:
+        orders = best_attempts_since(attempts, start, keep=lambda ids: materialise(ids, f"{scratch}/recent_ids"))
+        revenue = replace_slice(touched_months, revenue_slice(orders, existing, start), start)
         write_months(materialise(revenue, f"{scratch}/revenue"), "order_date", target)
 
 

@@ -149,6 +149,11 @@ def test_orders_since_reads_and_shuffles_only_what_it_touches(spark, tmp_path):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert "GreaterThanOrEqual(order_id,20)" in plan and "LessThanOrEqual(order_id,20)" in plan
     assert [r.order_id for r in staged.collect()] == [20]
+    # Too many ids for a broadcast: still only their range is read.
+    ranged = best_attempts_since(spark.read.parquet(log), date(2023, 1, 10), max_broadcast_ids=0)
+    plan = ranged._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "GreaterThanOrEqual(order_id,20)" in plan
+    assert [r.order_id for r in ranged.collect()] == [20]
 
 
 def test_orders_since_with_nothing_recent(spark):
