@@ -38,6 +38,9 @@ def test_query(spark, duck, name):
     assert normal(result.columns, result.collect()) == want
     # A check or report that returns nothing would compare equal to anything empty.
     assert want
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "NestedLoopJoin", "Python", "Pandas"):
+        assert unwanted not in plan
 
 
 def test_entry(spark):
