@@ -38,18 +38,20 @@ def month_spine(cohorts: DataFrame, last_day: DataFrame) -> DataFrame:
 def cohort_activity(users: DataFrame, orders: DataFrame) -> DataFrame:
     """Buyers per cohort and calendar month.
 
-    Orders are reduced to distinct (user, month) before they meet the cohorts,
-    so a user with very many orders reaches the join as one row per month.
-    Both sides are then unique per user and month, which makes the distinct
-    count a plain count.
+    Orders are first reduced to one row per user holding the set of months
+    with a purchase, which is bounded by the calendar.  The sets merge
+    map-side, so a user with very many orders is a single row per task, and
+    their shuffle by user also serves the join.  Users and months are then
+    unique, which makes the distinct count a plain count.
     """
     active_months = (
         orders.filter(F.col("order_status") == COMPLETED)
-        .select("user_id", month_start(F.col("order_date")).alias("activity_month"))
-        .distinct()
+        .groupBy("user_id")
+        .agg(F.collect_set(month_start(F.col("order_date"))).alias("months"))
     )
     return (
         active_months.join(user_cohorts(users), "user_id")
+        .select("cohort_month", F.explode("months").alias("activity_month"))
         .groupBy("cohort_month", "activity_month")
         .agg(F.count(F.lit(1)).alias("active_users"))
     )
