@@ -180,7 +180,19 @@ def entry(spark: SparkSession) -> DataFrame:
     return _revenue(spark, SMOKE_DIR)
 
 
-def queries() -> dict[str, Query]:
+def _llm() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the text operators and their pipeline, if they are installed."""
+    try:
+        import corpus_pipeline
+        from tallyroom.llm.queries import ORACLE as sql
+        from tallyroom.llm.queries import QUERIES
+    except ImportError:
+        return {}, {}
+    pipeline_sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return QUERIES | {"pipeline": corpus_pipeline.run}, sql | pipeline_sql
+
+
+def _core_queries() -> dict[str, Query]:
     return {
         "stg_users": _model("stg_users"),
         "stg_orders": _model("stg_orders"),
@@ -241,5 +253,9 @@ def queries() -> dict[str, Query]:
     }
 
 
+def queries() -> dict[str, Query]:
+    return _core_queries() | _llm()[0]
+
+
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return ORACLE | _llm()[1]

@@ -5,7 +5,9 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import _core_queries as queries
+from __spark_entry__ import entry
+from oracle_queries import ORACLE
 
 SF_DIR = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="test data is not installed")
@@ -25,13 +27,13 @@ def normal(columns, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(queries()) == set(ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query(spark, duck, name):
     result = queries()[name](spark, str(SF_DIR))
-    expected = duck.execute(oracle_sql()[name])
+    expected = duck.execute(ORACLE[name])
     columns = [d[0] for d in expected.description]
     assert sorted(columns) == sorted(result.columns)
     want = normal(columns, expected.fetchall())
