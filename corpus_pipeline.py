@@ -10,14 +10,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyroom.llm.common import shared_path, table
+from tallyroom.llm.common import Shared, shared_path, table
 from tallyroom.llm.language_id import fit, keep_identified, learnable
 from tallyroom.llm.line_quality import keep_quality
 from tallyroom.llm.mixing import mix
-from tallyroom.llm.piece_codec import broadcast_pieces, round_trip
+from tallyroom.llm.piece_codec import Pieces, round_trip
 from tallyroom.llm.simhash_dedup import keep_one_of_each
 
-PIECES = "piece_bpe_32k.model"
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +37,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return round_trip(docs, broadcast_pieces(spark, public_tokenizers.path(PIECES)))
+    return round_trip(docs, Shared(spark, Pieces(public_tokenizers.path(PIECE_MODEL))))
 
 
 STAGES = [

@@ -4,16 +4,21 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zlib
 from collections.abc import Callable, Iterator
+from functools import cached_property
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 #: Documents are handled inside a task in slices of about this many characters.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
+#: New words are worked out so many at a time.
+AT_ONCE = 20_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,11 +77,36 @@ def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[i
         yield start, texts
 
 
-def ragged(flat: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
+def column_slices(column: pa.Array) -> Iterator[list[str | None]]:
+    """The texts of a column, some millions of characters at a time."""
+    texts, size = [], 0
+    for text in column:
+        texts.append(text.as_py())
+        size += len(texts[-1] or "")
+        if size > SLICE_CHARS:
+            yield texts
+            texts, size = [], 0
+    if texts:
+        yield texts
+
+
+def crc32s(lists: pa.ListArray) -> pa.Array:
+    """Unsigned crc32 of lists of ids as little-endian unsigned 32-bit integers."""
+    return pa.array([zlib.crc32(ids.values.to_numpy().astype("<u4")) if ids.is_valid else None for ids in lists], pa.int64())
+
+
+@F.arrow_udf(LongType())
+def ids_crc32(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """A column function: ids to their crc32."""
+    for column in columns:
+        yield crc32s(column)
+
+
+def ragged(flat: np.ndarray | pa.Array, lengths: np.ndarray) -> pa.ListArray:
     """An Arrow list per length, cut from ``flat`` in order."""
     offsets = np.zeros(len(lengths) + 1, np.int32)
     np.cumsum(lengths, out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+    return pa.ListArray.from_arrays(pa.array(offsets), flat if isinstance(flat, pa.Array) else pa.array(flat))
 
 
 def per_list(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -92,6 +122,27 @@ def small_side(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
 
 
+class Shared:
+    """An object sent to the executors once, which each worker keeps with all that it remembers.
+
+    Only the object's plain attributes are broadcast; its class travels with the
+    function that uses it.
+    """
+
+    def __init__(self, spark: SparkSession, value: object):
+        kind = type(value)
+        plain = {k: v for k, v in vars(value).items() if not isinstance(getattr(kind, k, None), cached_property)}
+        self.kind, self.sent = kind, spark.sparkContext.broadcast(plain)
+
+    @property
+    def value(self):
+        here = vars(self.sent)
+        if "_rebuilt" not in here:
+            here["_rebuilt"] = self.kind.__new__(self.kind)
+            vars(here["_rebuilt"]).update(self.sent.value)
+        return here["_rebuilt"]
+
+
 class WordTable:
     """Remembers an integer sequence for each word seen, so that a frequent word is worked out once.
 
@@ -100,7 +151,7 @@ class WordTable:
     afresh, which bounds its memory and changes no result.
     """
 
-    def __init__(self, make: Callable[[list], tuple[np.ndarray, np.ndarray]], limit: int = 800_000, dtype=np.int32):
+    def __init__(self, make: Callable[[list], tuple[np.ndarray, np.ndarray]], limit: int = 300_000, dtype=np.int32):
         self.make, self.limit, self.dtype = make, limit, dtype
         self._clear()
 
@@ -116,12 +167,12 @@ class WordTable:
         missing = np.flatnonzero(index < 0).tolist()
         if missing:
             fresh = list({words[i] for i in missing})
-            flat, lengths = self.make(fresh)
-            starts = len(self.flat) + np.cumsum(lengths) - lengths
+            made = [self.make(fresh[i : i + AT_ONCE]) for i in range(0, len(fresh), AT_ONCE)]
+            flat, lengths = (np.concatenate([m[k] for m in made]) for k in (0, 1))
             self.at.update(zip(fresh, range(len(self.at), len(self.at) + len(fresh)), strict=True))
+            self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
             self.flat = np.concatenate([self.flat, flat.astype(self.dtype)])
             self.lengths = np.concatenate([self.lengths, lengths.astype(np.int64)])
-            self.starts = np.concatenate([self.starts, starts.astype(np.int64)])
             index[missing] = [self.at[words[i]] for i in missing]
         return index
 

@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_CHARS, WordTable, fold_of, per_list
+from .common import Shared, WordTable, column_slices, fold_of, per_list
 
 UNKNOWN = "und"
 LONGEST_GRAM = 5
@@ -93,7 +93,7 @@ class Model:
 
     @cached_property
     def seen(self) -> WordTable:
-        """The vectors of words met so far; it lives as long as the worker keeps the broadcast."""
+        """The vectors of words met so far; it lives as long as the worker keeps the model."""
         return WordTable(self.vectors, dtype=np.float32)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
@@ -143,13 +143,13 @@ def fit(labelled: DataFrame, max_documents: int = MAX_DOCUMENTS, max_words: int
 
 def predictor(spark, model: Model):
     """A column function: text to ``struct<lang string, score double>``, over whole texts."""
-    shared = spark.sparkContext.broadcast(model)
+    shared = Shared(spark, model)
 
     @F.arrow_udf("lang string, score double")
     def predict(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
             langs, scores = [], [np.zeros(0)]
-            for texts in slices(column):
+            for texts in column_slices(column):
                 found, score = shared.value.predict(texts)
                 langs += found
                 scores.append(score)
@@ -158,18 +158,6 @@ def predictor(spark, model: Model):
     return predict
 
 
-def slices(column: pa.Array) -> Iterator[list[str | None]]:
-    texts, size = [], 0
-    for text in column:
-        texts.append(text.as_py())
-        size += len(texts[-1] or "")
-        if size > SLICE_CHARS:
-            yield texts
-            texts, size = [], 0
-    if texts:
-        yield texts
-
-
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id``, ``held_out``, ``lang_pred`` and ``score`` of every row."""
     found = predictor(docs.sparkSession, model)

@@ -17,7 +17,6 @@ result.  Texts of any length are encoded whole.
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 from functools import cached_property
 
@@ -26,10 +25,8 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
-from .common import WordTable, per_list, ragged
-from .language_id import slices
+from .common import Shared, WordTable, column_slices, crc32s, per_list, ragged
 
 MARKER = "▁"
 UNKNOWN_TEXT = " ⁇ "
@@ -117,7 +114,7 @@ class Pieces:
 
     @cached_property
     def table(self) -> WordTable:
-        """The parts met so far; it lives as long as the worker keeps the broadcast."""
+        """The parts met so far; it lives as long as the worker keeps the pieces."""
         return WordTable(self.encode_parts)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -221,65 +218,64 @@ class Pieces:
         return text[1:] if text[:1] == " " else text
 
 
-def _null_where(lists: pa.ListArray, nulls: np.ndarray) -> pa.Array:
-    return pa.compute.if_else(pa.array(nulls), pa.nulls(len(lists), lists.type), lists)
+def _encoded(pieces: Pieces, texts: list[str | None]) -> pa.ListArray:
+    ids, lengths = pieces.encode([t or "" for t in texts])
+    lists = ragged(ids, lengths)
+    return pa.compute.if_else(pa.array([t is None for t in texts]), pa.nulls(len(texts), lists.type), lists)
 
 
-def broadcast_pieces(spark, path: str):
-    """The model, read by the driver and sent to the executors; its size is that of the vocabulary."""
-    return spark.sparkContext.broadcast(Pieces(path))
+def _decoded(pieces: Pieces, lists: pa.ListArray) -> list[str | None]:
+    return [pieces.decode(ids.values.to_numpy()) if ids.is_valid else None for ids in lists]
 
 
-def encoder(shared):
-    """A column function: text to its ids, by broadcast pieces."""
+def encoder(shared: Shared):
+    """A column function: text to its ids, by shared ``Pieces``, whose size is that of the vocabulary."""
 
     @F.arrow_udf("array<int>")
     def encode(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
-            out = [ragged(np.zeros(0, np.int32), np.zeros(0, np.int64))]
-            for texts in slices(column):
-                ids, lengths = shared.value.encode([t or "" for t in texts])
-                out.append(_null_where(ragged(ids, lengths), np.array([t is None for t in texts])))
-            yield pa.concat_arrays(out)
+            yield pa.concat_arrays([_encoded(shared.value, texts) for texts in column_slices(column)] or [pa.array([], pa.list_(pa.int32()))])
 
     return encode
 
 
-def decoder(shared):
-    """A column function: ids to their text, by broadcast pieces."""
+def decoder(shared: Shared):
+    """A column function: ids to their text, by shared ``Pieces``."""
 
     @F.arrow_udf("string")
     def decode(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
-            yield pa.array([shared.value.decode(ids.values.to_numpy()) if ids.is_valid else None for ids in column], pa.string())
+            yield pa.array(_decoded(shared.value, column), pa.string())
 
     return decode
 
 
-@F.arrow_udf(LongType())
-def ids_crc32(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """Unsigned crc32 of ids as little-endian unsigned 32-bit integers."""
-    for column in columns:
-        yield pa.array([zlib.crc32(ids.values.to_numpy().astype("<u4")) if ids.is_valid else None for ids in column], pa.int64())
+def _round_trips(shared: Shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first = 0
+            for texts in column_slices(batch.column("text")):
+                ids = _encoded(shared.value, texts)
+                same = [d == (t and t.replace(MARKER, " ")) for d, t in zip(_decoded(shared.value, ids), texts, strict=True)]
+                doc_ids = batch.column("doc_id").slice(first, len(texts))
+                first += len(texts)
+                yield pa.RecordBatch.from_arrays([doc_ids, crc32s(ids), pa.array(same), ids], ["doc_id", "ids_crc32", "round_trip", "ids"])
 
+    return run
 
-def encode(docs: DataFrame, shared) -> DataFrame:
+
+def encode(docs: DataFrame, shared: Shared) -> DataFrame:
     """``doc_id``, ``text`` and its ``ids``."""
     return docs.select("doc_id", "text", encoder(shared)("text").alias("ids"))
 
 
-def decode(encoded: DataFrame, shared) -> DataFrame:
+def decode(encoded: DataFrame, shared: Shared) -> DataFrame:
     """``doc_id``, ``text`` and ``ids`` of the rows with the ids' text as ``decoded``."""
     return encoded.select("doc_id", "text", "ids", decoder(shared)("ids").alias("decoded"))
 
 
-def round_trip(docs: DataFrame, shared) -> DataFrame:
-    """Per document the ids, their number, their crc32, and if they decode to the text."""
-    rows = decode(encode(docs, shared), shared)
-    return rows.select(
-        "doc_id",
-        F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_ids"),
-        ids_crc32("ids").alias("ids_crc32"),
-        F.col("decoded").eqNullSafe(F.translate("text", MARKER, " ")).alias("round_trip"),
-        "ids",
-    )
+def round_trip(docs: DataFrame, shared: Shared) -> DataFrame:
+    """Per document its ids, their number and crc32, and if they decode to the text; encoded and decoded in one pass."""
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = keyed.mapInArrow(_round_trips(shared), "doc_id long, ids_crc32 long, round_trip boolean, ids array<int>")
+    return rows.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_ids"), "ids_crc32", "round_trip", "ids")

@@ -76,3 +76,26 @@ select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as
        cast(words_left as bigint) as words_left
 from figures
 """
+
+EMBEDDINGS = """
+with recursive vectors as (
+  select row_number() over () as row, vec_id, cast(embedding as double[]) as v from embeddings
+), good as (
+  select row, vec_id, v from vectors
+  where len(v) > 0 and len(list_filter(v, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(v, lambda x: x <> 0)) > 0
+), links as materialized (
+  select a.row, b.row as other, b.vec_id as other_id from good a join good b on a.row <> b.row and len(a.v) = len(b.v)
+  where list_cosine_similarity(a.v, b.v) >= 0.95
+), reach(row, other) as (
+  select row, row from good
+  union
+  select r.row, l.other from reach r join links l on r.other = l.row
+), components as (
+  select r.row, min(g.vec_id) as component_id from reach r join good g on g.row = r.other group by r.row
+), counts as (
+  select row, count(*) as n_links from links group by row
+)
+select vec_id, cast(coalesce(n_links, 0) as bigint) as n_links, coalesce(component_id, vec_id) as component_id,
+       vec_id is not distinct from coalesce(component_id, vec_id) as kept
+from vectors left join counts using (row) left join components using (row)
+"""

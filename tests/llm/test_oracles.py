@@ -1,0 +1,134 @@
+"""The registered queries on the smallest tables, against DuckDB or plain Python."""
+
+import math
+import zlib
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+import public_tokenizers
+import pytest
+import tiktoken
+import xxhash
+from tokenizers import Tokenizer
+
+import __spark_entry__ as registered
+from tallyroom.llm import queries
+from tallyroom.llm.components import spanning_links
+from tests.test_oracle import normal
+
+SF_DIR = Path("/root/testdata/sf0.001")
+pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="test data is not installed")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for path in SF_DIR.glob("*.parquet"):
+        connection.execute(f"create view {path.stem} as select * from '{path}'")
+    return connection
+
+
+@pytest.fixture(scope="module")
+def documents(duck):
+    return duck.execute("select doc_id, text, lang, source from documents order by doc_id").fetchall()
+
+
+def run(spark, name):
+    return queries.QUERIES[name](spark, str(SF_DIR))
+
+
+def fold(doc_id, folds):
+    return zlib.crc32(str(doc_id).encode()) % folds
+
+
+def test_all_are_registered():
+    names = registered.queries()
+    assert set(queries.QUERIES) | {"pipeline"} <= set(names)
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_sql(spark, duck, name):
+    result, expected = run(spark, name), duck.execute(queries.ORACLE[name])
+    columns = [d[0] for d in expected.description]
+    assert sorted(columns) == sorted(result.columns)
+    want = normal(columns, expected.fetchall())
+    assert want and normal(result.columns, result.collect()) == want
+
+
+def test_token_ids(spark, documents):
+    library = Tokenizer.from_file(public_tokenizers.path(queries.WORDS))
+    start, want = 0, []
+    for doc_id, text, *_ in documents:
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 2]
+        want.append((doc_id, start, len(ids), zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))))
+        start += len(ids)
+    assert sorted(tuple(r) for r in run(spark, "op1_token_orc").collect()) == want
+
+
+def test_edit_counts(spark, documents):
+    ranks = queries.ByteTokenizer(public_tokenizers.path(queries.BYTES), public_tokenizers.PATTERN).ranks
+    library = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    found = {r["doc_id"]: r for r in run(spark, "op4_edit_counts").collect()}
+    saved = 0
+    for doc_id, text, *_ in documents:
+        spot, n = zlib.crc32(str(doc_id).encode()), len(text)
+        edited = text
+        for at, remove, insert in ((spot % (n + 1), 7, ""), ((spot >> 5) % (n + 1), 0, " " + text[:20]), ((spot >> 11) % (n + 1), 40, "\n2024 ")):
+            edited = edited[: min(at, len(edited))] + insert + edited[min(at, len(edited)) + remove :]
+        assert found[doc_id]["n_tokens_before"] == len(library.encode_ordinary(text))
+        assert found[doc_id]["n_tokens"] == len(library.encode_ordinary(edited))
+        saved += found[doc_id]["encoded_chars"] < n
+    assert saved > len(documents) / 3  # the rest are about as short as the stretches
+
+
+def test_languages(spark, documents):
+    found = {r["doc_id"]: r for r in run(spark, "op5_language_id").collect()}
+    held_out = [(found[i]["lang_pred"], lang) for i, _, lang, _ in documents if fold(i, 4) == 2]
+    assert [found[i]["held_out"] for i, *_ in documents] == [fold(i, 4) == 2 for i, *_ in documents]
+    assert sum(a == b for a, b in held_out) >= 0.95 * len(held_out)
+    assert all(0 <= r["score"] <= 1 for r in found.values())
+
+
+def fingerprint(text):
+    words = (text or "").encode().lower().split()
+    shingles = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def grouped(rows):
+    """(doc_id, fingerprint) to each id's smallest linked id, by comparing all pairs."""
+    links = [(a, b) for a, fa in rows for b, fb in rows if a < b and (fa ^ fb).bit_count() <= 3]
+    roots = dict(spanning_links(links))
+    return {i: roots.get(i, i) for i, _ in rows}
+
+
+def test_fingerprints(spark, documents):
+    rows = [(i, fingerprint(t)) for i, t, *_ in documents]
+    components = grouped(rows)
+    want = sorted((i, f"{f:016x}", components[i]) for i, f in rows)
+    assert sorted(tuple(r) for r in run(spark, "op7_simhash_dedup").collect()) == want
+    assert len(set(components.values())) < len(rows)
+
+
+def test_language_model(spark, documents):
+    tokens = {i: [*(t or "").encode().lower().split(), None] for i, t, *_ in documents}
+    counts = Counter(w for i, ws in tokens.items() if fold(i, 5) != 1 for w in ws)
+    total, room = sum(counts.values()), sum(counts.values()) + 0.5 * (len(counts) + 1)
+    found = run(spark, "op8_bloom_lm").collect()
+    assert len(found) == len(documents)
+    better = 0
+    for r in found:
+        words = tokens[r["doc_id"]]
+        assert (r["held_out"], r["n_tokens"], r["train_tokens"]) == (fold(r["doc_id"], 5) == 1, len(words), total)
+        assert r["n_known"] == sum(counts[w] > 0 for w in words)
+        assert r["base_score"] == pytest.approx(sum(math.log10((counts[w] + 0.5) / room) for w in words))
+        better += r["score"] > r["base_score"]
+    assert better > 0.8 * len(found)
+    assert sum(r["score"] - r["base_score"] for r in found if r["held_out"]) > 0
+
+
+def test_pieces(spark, documents):
+    assert all(r["round_trip"] and r["n_ids"] > 0 for r in run(spark, "op6_piece_codec").collect())
