@@ -4,15 +4,15 @@ For each host the paths form a tree.  Level by level a segment stays literal
 only if enough pages have it and its share of bad labels differs significantly
 from that of its siblings together; variable segments (ids, file names) and
 branches that behave alike become the wildcard.  A path's template is what is
-left of it.  A template is rejected if its share of bad labels, smoothed towards
-the share of all labels, reaches the limit.
+left of it.  A template with labels is rejected if its share of bad labels,
+smoothed towards the share of all labels, reaches the limit.
 
 All of it is grouped counts and joins; a host with any number of pages is
 combined before each shuffle, and its rows are split at run time in joins.
 
 Defined results: a null url, or one without ``://``, has an empty host and path
 and is one host of its own.  A page without a label counts as a page, not as
-good or bad; without any labels nothing is rejected.  Paths deeper than
+good or bad; a template without labels is allowed.  Paths deeper than
 ``MAX_DEPTH`` are cut there, as if the rest were a wildcard.  Repeated rows each
 count and each get a row.  Extra columns are ignored, whatever their names; an
 empty table gives an empty result.
@@ -112,7 +112,7 @@ def judge_templates(rows: DataFrame, prior_weight: float = PRIOR_WEIGHT, reject_
     labelled, bad = per_template.agg(F.coalesce(F.sum("labelled"), F.lit(0)), F.coalesce(F.sum("bad_pages"), F.lit(0))).first()
     prior = bad / labelled if labelled else 0.0
     share = (F.col("bad_pages") + prior_weight * F.lit(prior)) / (F.col("labelled") + prior_weight)
-    verdict = F.when(share >= reject_at, "block").otherwise("allow")
+    verdict = F.when((F.col("labelled") > 0) & (share >= reject_at), "block").otherwise("allow")
     return per_template.withColumn("bad_share", share).withColumn("template_verdict", verdict)
 
 
@@ -177,7 +177,7 @@ with judged as (
   select coalesce(sum(bad_pages) / nullif(sum(labelled), 0), 0) as prior from templates
 ), verdicts as (
   select host, template,
-         case when (bad_pages + {PRIOR_WEIGHT}::double * prior) / (labelled + {PRIOR_WEIGHT}::double) >= {REJECT_AT}::double
+         case when labelled > 0 and (bad_pages + {PRIOR_WEIGHT}::double * prior) / (labelled + {PRIOR_WEIGHT}::double) >= {REJECT_AT}::double
               then 'block' else 'allow' end as template_verdict
   from templates, totals
 )

@@ -18,7 +18,7 @@ from tallyroom.llm.embedding_dedup import near_duplicate_vectors
 from tallyroom.llm.language_id import fit, grams_of, identify
 from tallyroom.llm.line_quality import keep_quality, line_verdicts, repeat_words
 from tallyroom.llm.mixing import mix, mix_sizes
-from tallyroom.llm.piece_codec import Pieces, double_array
+from tallyroom.llm.piece_codec import LONE, Pieces, double_array
 from tallyroom.llm.simhash_dedup import links, simhashes
 from tallyroom.llm.token_orc import TextTokenizer, read_token_ids, write_token_ids
 from tallyroom.llm.url_templates import judge_templates, path_templates
@@ -217,7 +217,7 @@ def test_pieces_whole_or_cut(pieces):
     texts = [SENTENCE * 3, "a" * 500, "  two  blanks ", "x\n\ny z\n", "▁ marker", "\t \n"] + ["".join(rng.choice("ab é\n") for _ in range(300)) for _ in range(20)]
     for text in texts:
         ids, _ = pieces.encode([text])
-        whole, _ = pieces.encode_parts([" " + text.replace("▁", " ")])
+        whole, _ = pieces.encode_parts([LONE + "▁" + text.replace(" ", "▁")])
         worth = lambda path: sum(float(pieces.scores[i]) for i in path)
         assert worth(ids) == pytest.approx(worth(whole), rel=1e-9)
         assert pieces.decode(ids) == pieces.decode(whole) == text.replace("▁", " ")
@@ -272,10 +272,10 @@ def test_rare_words_are_joined(spark):
 
 
 def test_frequent_lines_go(spark):
-    body = lambda i: "\n".join(f"{SENTENCE} {i} {j}" for j in range(6))
+    body = lambda i: "\n".join(" ".join(f"w{i}x{j}x{k}" for k in range(12)) for j in range(6))
     rows = [(i, f"{body(i)}\n  COMMON   line number one\t", None, "a") for i in range(30)]
     rows += [(100 + i, f"common line number one\n{body(100 + i)}", None, "b") for i in range(5)]
-    rows += [(200 + i, "\n".join(f"Boiler plate {k} " + SENTENCE for k in range(5)) + f"\nown {i}", None, "c") for i in range(30)]
+    rows += [(200 + i, "\n".join(" ".join(f"boiler{j}x{k}" for k in range(12)) for j in range(5)) + f"\nown {i}", None, "c") for i in range(30)]
     found = {r["doc_id"]: r for r in line_verdicts(docs(spark, *rows)).collect()}
     assert [found[i]["n_words"] - found[i]["words_left"] for i in (0, 1, 29, 100)] == [0, 4, 4, 0]
     assert all(found[i]["kept"] for i in [*range(30), 100, 200]) and not any(found[i]["kept"] for i in range(201, 230))
