@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import sys
-import tempfile
-import uuid
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from oracle_queries import MATRIX_MONTHS, ORACLE  # noqa: E402
-from sample_feeds import RAW_FEEDS, click_feed, raw_events, raw_orders, raw_users  # noqa: E402
+from oracle_queries import ORACLE  # noqa: E402
+from sample_feeds import DEFECTS, RAW_FEEDS, click_feed, nulled, raw_events, raw_orders, raw_users  # noqa: E402
 from tallyroom.operators import audit, quality  # noqa: E402
 from tallyroom.operators.cohorts import cohort_curves, cohort_kpis, cohort_matrix  # noqa: E402
 from tallyroom.operators.funnel import funnel_counts, funnel_summary, step_conversion  # noqa: E402
@@ -27,20 +26,37 @@ from tallyroom.operators.revenue import (  # noqa: E402
 )
 from tallyroom.operators.series import rolling_mean  # noqa: E402
 from tallyroom.operators.sessions import assign_sessions, gap_sessions  # noqa: E402
-from tallyroom.operators.staging import parse_orders, parse_users, stage_orders  # noqa: E402
-from tallyroom.plans.build import read_mart, refresh_revenue, refresh_revenue_months  # noqa: E402
+from tallyroom.operators.staging import (  # noqa: E402
+    best_attempts_since,
+    parse_orders,
+    parse_users,
+    stage_orders,
+    valid_attempts,
+)
+from tallyroom.plans.build import build_marts, read_mart, refresh_revenue, refresh_revenue_months  # noqa: E402
 from tallyroom.plans.checks import BUSINESS_CHECKS, accepted_checks, not_null_checks, unique_checks  # noqa: E402
 from tallyroom.plans.models import Models  # noqa: E402
 from tallyroom.sources import (  # noqa: E402
+    RAW_EVENTS_SCHEMA,
     RAW_ORDERS_SCHEMA,
+    RAW_USERS_SCHEMA,
+    delete_folder,
+    materialise,
     publish_version,
     read_months,
     read_published,
     read_raw_csv,
+    read_raw_tables,
     write_csv,
     write_months,
 )
-from tallyroom.streaming import run_order_feed, stream_gap_sessions  # noqa: E402
+from tallyroom.streaming import (  # noqa: E402
+    all_sessions,
+    logged_events,
+    run_order_feed,
+    run_session_log,
+    stream_gap_sessions,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,8 +86,11 @@ def _retention(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _incremental_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """A mart built from an earlier load, and a later snapshot that lost the mart's last day."""
-    orders = stage_orders(raw_orders(spark, sf_dir))
+    """A mart built from an earlier load, and a later snapshot that lost the mart's last day.
+
+    Both derive from the staged orders, which are stored, so that the raw table is parsed and ranked once.
+    """
+    orders = materialise(stage_orders(raw_orders(spark, sf_dir)), f"{_output_root(spark, 'incremental')}/stg_orders")
     last_day = orders.agg(F.max("order_date")).scalar()
     earlier = orders.filter((F.col("order_date") <= F.date_sub(last_day, 10)) & (F.col("order_id") % 13 != 0))
     target = daily_revenue(earlier)
@@ -106,9 +125,26 @@ def _parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return differences.withColumn("differs_in", F.array_join("differs_in", ","))
 
 
-def _run(select: Callable[[Models], list[quality.Check]]) -> Query:
+class _Seeded(Models):
+    """Models whose results are broken before they are checked."""
+
+    int_sessionized_events = property(lambda self: DEFECTS["int_sessionized_events"](Models.int_sessionized_events.func(self)))
+    int_user_first_purchase = property(lambda self: DEFECTS["int_user_first_purchase"](Models.int_user_first_purchase.func(self)))
+    fct_revenue_trends = property(lambda self: DEFECTS["fct_revenue_trends"](Models.fct_revenue_trends.func(self)))
+    monthly_cohort_retention = property(lambda self: DEFECTS["monthly_cohort_retention"](Models.monthly_cohort_retention.func(self)))
+    funnel_summary = property(lambda self: DEFECTS["funnel_summary"](Models.funnel_summary.func(self)))
+
+
+def _stored_models(spark: SparkSession, sf_dir: str, name: str) -> Models:
+    """Models that store the tables several others read, so each raw table is parsed once."""
+    root, stored = _output_root(spark, name), ("stg_users", "stg_orders", "stg_events", "int_sessionized_events")
+    keep = lambda model, df: materialise(df, f"{root}/{model}") if model in stored else df
+    return Models(lambda table: RAW_FEEDS[table](spark, sf_dir), keep=keep)
+
+
+def _run(select: Callable[[Models], list[quality.Check]], store_as: str = "") -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        models = _models(spark, sf_dir)
+        models = _stored_models(spark, sf_dir, store_as) if store_as else _models(spark, sf_dir)
         checks = select(models)
         return quality.run_checks({c.table: models.table(c.table) for c in checks}, checks)
 
@@ -119,28 +155,52 @@ def _business(check: str) -> Query:
     return _run(lambda models: [BUSINESS_CHECKS[check](models)])
 
 
+def _seeded(check: str) -> Query:
+    """A business check on results that violate it."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        models = _Seeded(lambda table: RAW_FEEDS[table](spark, sf_dir))
+        rule = BUSINESS_CHECKS[check](models)
+        return quality.run_checks({rule.table: getattr(models, rule.table)}, [rule])
+
+    return query
+
+
+def _seeded_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The null and listing checks on tables with nulls and an unlisted step."""
+    models = _stored_models(spark, sf_dir, "dq_columns_seeded")
+    checks = [*not_null_checks(), *accepted_checks()]
+    tables = {c.table: nulled(c.table, models.table(c.table)) for c in checks}
+    return quality.run_checks(tables, checks)
+
+
 def _sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["order_id", "ordered_at", "order_value", "order_status"]
     bad = audit.sample_rows(parse_orders(raw_orders(spark, sf_dir)), F.col("order_value") <= 0, columns, 5)
     return _civil(bad.select("order_id", "user_id", "ordered_at", "order_value", "order_status"))
 
 
-def _output_root(spark: SparkSession) -> str:
-    """A fresh folder for what a query writes, on the cluster's shared storage."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tallyroom-")
-    return f"{shared.rstrip('/')}/tallyroom-output-{uuid.uuid4().hex}"
+def _output_root(spark: SparkSession, name: str) -> str:
+    """The folder for what a query writes, on storage that driver and executors share.
+
+    Each session has one per query; what an earlier call left there is removed.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    root = f"{shared.rstrip('/')}/tallyroom-output/{spark.sparkContext.applicationId}/{name}"
+    delete_folder(spark, root)
+    return root
 
 
 def _load_csv_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw orders written as a CSV extract and loaded back by position."""
-    extract = f"{_output_root(spark)}/orders_csv"
+    extract = f"{_output_root(spark, 'load_csv_orders')}/orders_csv"
     write_csv(raw_orders(spark, sf_dir), extract, RAW_ORDERS_SCHEMA.names)
     return _civil(stage_orders(read_raw_csv(spark, extract, RAW_ORDERS_SCHEMA)))
 
 
 def _revenue_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The incremental scenario through the versioned store."""
-    root = _output_root(spark)
+    root = _output_root(spark, "revenue_published")
     target, orders = _incremental_inputs(spark, sf_dir)
     publish_version({"fct_revenue_trends": target}, root, replace=False)
     refresh_revenue(spark, orders, root)
@@ -149,7 +209,7 @@ def _revenue_published(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _revenue_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The incremental scenario through a month-partitioned table."""
-    table = f"{_output_root(spark)}/revenue"
+    table = f"{_output_root(spark, 'revenue_by_month')}/revenue"
     target, orders = _incremental_inputs(spark, sf_dir)
     write_months(target, "order_date", table)
     refresh_revenue_months(spark, orders, table)
@@ -157,13 +217,13 @@ def _revenue_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _output_root(spark)
+    root = _output_root(spark, "order_feed_revenue")
     run_order_feed(raw_orders(spark, sf_dir, as_stream=True), root, f"{root}/checkpoint").awaitTermination()
     return read_published(spark, root, "fct_revenue_trends")
 
 
 def _session_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _output_root(spark)
+    root = _output_root(spark, "session_feed")
     closed = stream_gap_sessions(click_feed(spark, sf_dir, as_stream=True), "user_id", "ts")
     (
         closed.writeStream.outputMode("append")
@@ -175,6 +235,105 @@ def _session_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(closed.schema).parquet(f"{root}/sessions")
 
 
+def _deliver(spark: SparkSession, rows: DataFrame, part: Column, inbox: str, run: Callable[[DataFrame], None], parts: int = 3) -> None:
+    """Deliver ``rows`` in ``parts`` batches, each with rows of every date, and run the feed after each."""
+    for number in range(parts):
+        rows.filter(part == number).write.mode("append").parquet(inbox)
+        run(spark.readStream.schema(rows.schema).parquet(inbox))
+
+
+def _order_feed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries out of date order; the attempts of one order arrive in different ones."""
+    root = _output_root(spark, "order_feed_batches")
+    feed = lambda rows: run_order_feed(rows, f"{root}/feed", f"{root}/checkpoint").awaitTermination()
+    orders = raw_orders(spark, sf_dir)
+    _deliver(spark, orders, F.pmod(F.xxhash64("order_id", "order_status", "order_amount"), F.lit(3)), f"{root}/inbox", feed)
+    return read_published(spark, f"{root}/feed", "fct_revenue_trends")
+
+
+def _session_log(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, DataFrame]:
+    root, clicks = _output_root(spark, name), click_feed(spark, sf_dir)
+    feed = lambda rows: run_session_log(rows, f"{root}/feed", f"{root}/checkpoint", "user_id", "ts").awaitTermination()
+    _deliver(spark, clicks, F.pmod(F.col("event_id"), F.lit(3)), f"{root}/inbox", feed)
+    return f"{root}/feed", clicks
+
+
+def _session_feed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every session, closed and open, of a feed that came out of time order."""
+    root, clicks = _session_log(spark, sf_dir, "session_feed_batches")
+    return all_sessions(spark, root, clicks.schema, "user_id", "ts")
+
+
+def _session_feed_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events that came after the watermark, by batch."""
+    root, clicks = _session_log(spark, sf_dir, "session_feed_late")
+    return logged_events(spark, root, clicks.schema).groupBy("batch").agg(
+        F.count(F.lit(1)).alias("events"), F.count_if("late").alias("late_events")
+    )
+
+
+def _build(mart: str, name: str) -> Query:
+    """All marts built from an earlier load, then built again, incrementally, on all orders."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = _output_root(spark, name)
+        raw = {table: feed(spark, sf_dir) for table, feed in RAW_FEEDS.items()}
+        earlier = raw | {"orders": raw["orders"].filter(F.col("order_id") % 13 != 0)}
+        build_marts(spark, earlier, root)
+        build_marts(spark, raw, root, with_checks=mart == "dq_results")
+        return read_mart(spark, root, mart)
+
+    return query
+
+
+def _deletion_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish from raw attempts, lose the newest active day at the source, refresh twice, compare with the source."""
+    root = _output_root(spark, "deletion_recovery")
+    attempts = materialise(valid_attempts(parse_orders(raw_orders(spark, sf_dir))), f"{root}/attempts")
+    refresh_revenue(spark, attempts, f"{root}/marts")
+    lost = latest_active_day(read_published(spark, f"{root}/marts", "fct_revenue_trends")).first()["order_date"]
+    remaining = attempts.filter(F.col("order_date") != F.lit(lost))
+    for _ in range(2):
+        refresh_revenue(spark, remaining, f"{root}/marts")
+    mart = read_mart(spark, f"{root}/marts", "fct_revenue_trends")
+    staged = best_attempts_since(remaining, dt.date(1970, 1, 1))
+    wrong = quality.revenue_mismatches(mart, staged).select("order_date", F.lit(True).alias("differs"))
+    return mart.join(wrong, "order_date", "left").withColumn("differs", F.coalesce("differs", F.lit(False)))
+
+
+def _attempts_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw attempts with retries on both sides of the cut: every fifth order was also tried three days earlier."""
+    attempts = valid_attempts(parse_orders(raw_orders(spark, sf_dir)))
+    earlier = attempts.filter(F.col("order_id") % 5 == 0).withColumns(
+        {
+            "ordered_at": F.col("ordered_at") - F.expr("interval 3 days"),
+            "order_date": F.date_sub("order_date", 3),
+            "order_status": F.when(F.col("order_id") % 10 == 0, "completed").otherwise("pending"),
+        }
+    )
+    both = attempts.unionByName(earlier)
+    since = both.agg(F.date_sub(F.max("order_date"), 30)).first()[0]
+    return _civil(best_attempts_since(both, since))
+
+
+def _load_raw_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three CSV extracts loaded, published together and read back."""
+    root = _output_root(spark, "load_raw_tables")
+    schemas = {"users": RAW_USERS_SCHEMA, "orders": RAW_ORDERS_SCHEMA, "events": RAW_EVENTS_SCHEMA}
+    for table, schema in schemas.items():
+        write_csv(RAW_FEEDS[table](spark, sf_dir), f"{root}/{table}_csv", schema.names)
+    publish_version(read_raw_tables(spark, {t: f"{root}/{t}_csv" for t in schemas}), f"{root}/raw", replace=False)
+    keys = {"users": "user_id", "orders": "order_id", "events": "event_id"}
+    counts = [
+        read_published(spark, f"{root}/raw", table).agg(
+            F.lit(table).alias("table"), F.count(F.lit(1)).alias("row_count"), F.count_distinct(key).alias("distinct_keys"),
+            F.sum(key).alias("sum_of_keys"),
+        )
+        for table, key in keys.items()
+    ]
+    return counts[0].union(counts[1]).union(counts[2])
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Daily revenue from raw orders: parse, filter, resolve retries, aggregate."""
     return _revenue(spark, SMOKE_DIR)
@@ -215,11 +374,11 @@ def _core_queries() -> dict[str, Query]:
         "revenue_kpis": lambda s, d: revenue_kpis(_revenue(s, d)),
         "latest_active_day": lambda s, d: latest_active_day(_revenue(s, d)),
         "cohort_retention": _retention,
-        "cohort_matrix": lambda s, d: cohort_matrix(_retention(s, d), MATRIX_MONTHS),
+        "cohort_matrix": lambda s, d: cohort_matrix(_retention(s, d)),
         "cohort_curves": _curves,
         "cohort_kpis": lambda s, d: cohort_kpis(_retention(s, d)),
-        "dq_unique": _run(unique_checks),
-        "dq_not_null": _run(lambda _models: not_null_checks()),
+        "dq_unique": _run(unique_checks, "dq_unique"),
+        "dq_not_null": _run(lambda _models: not_null_checks(), "dq_not_null"),
         "dq_accepted": _run(lambda _models: accepted_checks()),
         "dq_session_duration": _business("session_duration"),
         "dq_causality": _business("purchase_after_signup"),
@@ -229,6 +388,15 @@ def _core_queries() -> dict[str, Query]:
         "dq_retention_range": _business("retention_range"),
         "dq_cohort_spine": _business("cohort_spine_complete"),
         "dq_funnel_monotonic": _business("funnel_monotonic"),
+        "dq_columns_seeded": _seeded_columns,
+        "dq_session_duration_seeded": _seeded("session_duration"),
+        "dq_causality_seeded": _seeded("purchase_after_signup"),
+        "dq_first_completed_seeded": _seeded("first_purchase_completed"),
+        "dq_revenue_non_negative_seeded": _seeded("revenue_non_negative"),
+        "dq_revenue_reconcile_seeded": _seeded("revenue_reconciles"),
+        "dq_retention_range_seeded": _seeded("retention_range"),
+        "dq_cohort_spine_seeded": _seeded("cohort_spine_complete"),
+        "dq_funnel_monotonic_seeded": _seeded("funnel_monotonic"),
         "dq_shared_sessions": lambda s, d: quality.unique(_models(s, d).int_sessionized_events, "session_id"),
         "revenue_parity": _parity,
         "audit_users": lambda s, d: audit.audit_users(raw_users(s, d)),
@@ -248,7 +416,17 @@ def _core_queries() -> dict[str, Query]:
         "revenue_published": _revenue_published,
         "revenue_by_month": _revenue_by_month,
         "order_feed_revenue": _order_feed,
+        "order_feed_batches": _order_feed_batches,
         "session_feed": _session_feed,
+        "session_feed_batches": _session_feed_batches,
+        "session_feed_late": _session_feed_late,
+        "build_marts_revenue": _build("fct_revenue_trends", "build_marts_revenue"),
+        "build_marts_cohorts": _build("monthly_cohort_retention", "build_marts_cohorts"),
+        "build_marts_funnel": _build("funnel_summary", "build_marts_funnel"),
+        "build_marts_checks": _build("dq_results", "build_marts_checks"),
+        "deletion_recovery": _deletion_recovery,
+        "attempts_since": _attempts_since,
+        "load_raw_tables": _load_raw_tables,
         "gap_session_events": lambda s, d: assign_sessions(click_feed(s, d), "user_id", "ts"),
     }
 

@@ -6,7 +6,31 @@ Spark plans, so that the two can disagree.
 
 from __future__ import annotations
 
-from tallyroom.plans.checks import NOT_NULL_COLUMNS, UNIQUE_COLUMN
+# The checked columns, written out here so that one left out of the suite shows.
+UNIQUE_COLUMN = {
+    "stg_users": "user_id",
+    "stg_orders": "order_id",
+    "stg_events": "event_id",
+    "int_user_first_purchase": "user_id",
+    "int_sessionized_events": "session_id",
+    "fct_revenue_trends": "order_date",
+}
+NOT_NULL_COLUMNS = {
+    "stg_users": "user_id email signup_at signup_date".split(),
+    "stg_orders": "order_id user_id ordered_at order_date order_value order_status".split(),
+    "stg_events": "event_id user_id session_id event_name event_at event_date".split(),
+    "int_user_first_purchase": (
+        "user_id signup_at signup_date total_orders_count total_lifetime_value has_purchased".split()
+    ),
+    "int_sessionized_events": (
+        "session_id user_id session_date session_start_at session_end_at session_duration_seconds total_events_count "
+        "page_view_count add_to_cart_count purchase_count has_page_view has_cart_add has_purchase has_sequential_cart "
+        "has_sequential_purchase furthest_funnel_step"
+    ).split(),
+    "monthly_cohort_retention": "cohort_month cohort_size month_number active_users retention_pct".split(),
+    "funnel_summary": "funnel_step_order funnel_step session_count step_conversion_pct overall_conversion_pct".split(),
+    "fct_revenue_trends": "order_date total_revenue order_count distinct_user_count average_order_value".split(),
+}
 
 # Name -> (tables it reads, definition).
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
@@ -92,6 +116,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                if(dom.canonical = 'gmail.com', replace(split_part(lower(trim(email)), '@', 1), '.', ''),
                   split_part(lower(trim(email)), '@', 1)) || '@' || provider as account_email
         from raw_users
+        -- fixed values: providers' spellings
         left join (values ('gmail.com', 'gmail.com'), ('googlemail.com', 'gmail.com'), ('gmial.com', 'gmail.com'),
                           ('gmai.com', 'gmail.com'), ('gamil.com', 'gmail.com'), ('yaho.com', 'yahoo.com'),
                           ('yahooo.com', 'yahoo.com'), ('yaho.co', 'yahoo.com'), ('hotmial.com', 'hotmail.com'),
@@ -300,6 +325,96 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         select * from recomputed
         """,
     ),
+    # Marts built from part of the orders, then incrementally from all of them.
+    "target13": (
+        ("stg_orders",),
+        """
+        select order_date,
+               cast(coalesce(sum(order_value) filter (order_status = 'completed'), 0) as decimal(24,2)) as total_revenue,
+               count(order_id) filter (order_status = 'completed') as order_count,
+               count(distinct user_id) filter (order_status = 'completed') as distinct_user_count,
+               {mean:sum(order_value) filter (order_status = 'completed'):count(*) filter (order_status = 'completed')}
+                 as average_order_value
+        from stg_orders where order_id % 13 <> 0 group by order_date
+        """,
+    ),
+    "merged13": (
+        ("target13", "revenue"),
+        """
+        select * from target13 where order_date < (select max(order_date) - 7 from target13)
+        union all
+        select * from revenue where order_date >= (select max(order_date) - 7 from target13)
+        """,
+    ),
+    # The newest active day lost at the source.
+    "lost_day": (("revenue",), "select max(order_date) as lost from revenue where order_count > 0"),
+    "remaining": (
+        ("parsed_orders", "lost_day"),
+        """
+        select * from parsed_orders where order_value > 0 and order_date <> (select lost from lost_day)
+        qualify 1 = row_number() over (partition by order_id
+                  order by order_status = 'completed' desc, ordered_at desc nulls first, order_value desc nulls first,
+                           order_status, user_id, order_date)
+        """,
+    ),
+    "remaining_days": (
+        ("revenue", "remaining"),
+        """
+        select order_date from revenue where order_date >= (select max(order_date) - 7 from revenue)
+        union
+        select order_date from remaining where order_date >= (select max(order_date) - 7 from revenue)
+        """,
+    ),
+    "healed": (
+        ("revenue", "remaining", "remaining_days"),
+        """
+        select * from revenue where order_date < (select max(order_date) - 7 from revenue)
+        union all
+        select d.order_date, cast(coalesce(sum(o.order_value), 0) as decimal(24,2)) as total_revenue,
+               count(o.order_id) as order_count, count(distinct o.user_id) as distinct_user_count,
+               {mean:sum(o.order_value):count(o.order_id)} as average_order_value
+        from remaining_days d left join remaining o on o.order_date = d.order_date and o.order_status = 'completed'
+        group by d.order_date
+        """,
+    ),
+    "tried_earlier": (
+        ("parsed_orders",),
+        """
+        select * from parsed_orders where order_value > 0
+        union all
+        select * replace (ordered_at - interval 3 day as ordered_at, order_date - 3 as order_date,
+                          if(order_id % 10 = 0, 'completed', 'pending') as order_status)
+        from parsed_orders where order_value > 0 and order_id % 5 = 0
+        """,
+    ),
+    # Results made to violate the checks.
+    "bad_sessions": (
+        ("sessions",),
+        """
+        select * replace (case total_events_count % 7 when 0 then -5 when 1 then 90000
+                               else session_duration_seconds end as session_duration_seconds) from sessions
+        """,
+    ),
+    "bad_first_purchase": (
+        ("first_purchase",),
+        """
+        select * replace (if(user_id % 5 = 0, first_purchase_at - interval 400 day, first_purchase_at) as first_purchase_at,
+                          if(user_id % 7 = 0, first_purchase_order_id + 1, first_purchase_order_id) as first_purchase_order_id)
+        from first_purchase
+        """,
+    ),
+    "bad_revenue": (
+        ("revenue",),
+        "select * replace (if(day(order_date) % 9 = 0, -total_revenue, total_revenue) as total_revenue) from revenue",
+    ),
+    "bad_retention": (
+        ("retention",),
+        "select * replace (if(month_number = 3, 101, retention_pct) as retention_pct) from retention where month_number % 5 <> 2",
+    ),
+    "bad_funnel": (
+        ("funnel",),
+        "select * replace (if(funnel_step_order = 3, 1000000000, session_count) as session_count) from funnel",
+    ),
     "gap_events": (
         (),
         """
@@ -357,7 +472,16 @@ MODEL_CTE = {
     "monthly_cohort_retention": "retention",
     "funnel_summary": "funnel",
 }
-MATRIX_MONTHS = 84
+NULL_KEYS = {
+    "stg_users": "user_id",
+    "stg_orders": "order_id",
+    "stg_events": "event_id",
+    "int_user_first_purchase": "user_id",
+    "int_sessionized_events": "user_id",
+    "monthly_cohort_retention": "month_number",
+    "funnel_summary": "funnel_step_order",
+    "fct_revenue_trends": "day(order_date)",
+}
 
 
 def _result(check: str, table: str, column: str | None, count: str) -> str:
@@ -393,6 +517,112 @@ def _dq_not_null() -> str:
     return sql(tuple(MODEL_CTE[t] for t in NOT_NULL_COLUMNS), " union all ".join(rows))
 
 
+def _dq_columns_seeded() -> str:
+    """Where a table's key is divisible by three, all other checked columns are missing; one step is unlisted."""
+    rows = []
+    for t, columns in NOT_NULL_COLUMNS.items():
+        for c in columns:
+            missing = "false" if c in NULL_KEYS[t] else f"{NULL_KEYS[t]} % 3 = 0"
+            rows.append(_result("not_null", t, c, f"(select count(*) from {MODEL_CTE[t]} where {c} is null or {missing})"))
+    rows.append(
+        _result("accepted_values", "funnel_summary", "funnel_step", "(select count(*) from funnel where funnel_step = 'add_to_cart')")
+    )
+    return sql(tuple(MODEL_CTE[t] for t in NOT_NULL_COLUMNS), " union all ".join(rows))
+
+
+# Name -> (check, table, CTEs, violating rows); ``<x>`` stands for the checked table, which may be replaced.
+BUSINESS = {
+    "dq_session_duration": (
+        "session_duration",
+        "int_sessionized_events",
+        ("sessions",),
+        "select 1 from <sessions> where session_duration_seconds not between 0 and 86400",
+    ),
+    "dq_causality": (
+        "purchase_after_signup",
+        "int_user_first_purchase",
+        ("first_purchase", "stg_users"),
+        """
+        select 1 from <first_purchase> f, stg_users u
+        where f.user_id = u.user_id and first_purchase_date is not null and f.first_purchase_at <= u.signup_at
+        """,
+    ),
+    "dq_first_completed": (
+        "first_purchase_completed",
+        "int_user_first_purchase",
+        ("first_purchase", "stg_orders"),
+        """
+        select 1 from <first_purchase> f join stg_orders o on o.order_id = f.first_purchase_order_id
+        where f.has_purchased and o.order_status <> 'completed'
+        """,
+    ),
+    "dq_revenue_non_negative": (
+        "revenue_non_negative",
+        "fct_revenue_trends",
+        ("revenue",),
+        "select 1 from <revenue> where least(total_revenue, average_order_value) < 0",
+    ),
+    "dq_revenue_reconcile": (
+        "revenue_reconciles",
+        "fct_revenue_trends",
+        ("revenue", "completed"),
+        """
+        select 1 from (select order_date from <revenue> union select order_date from completed)
+        left join <revenue> r using (order_date)
+        left join (select order_date, sum(order_value) as v, count(order_id) as n, count(distinct user_id) as u
+                   from completed group by order_date) c using (order_date)
+        where coalesce(total_revenue, 0) <> coalesce(v, 0) or coalesce(order_count, 0) <> coalesce(n, 0)
+           or coalesce(distinct_user_count, 0) <> coalesce(u, 0)
+        """,
+    ),
+    "dq_retention_range": (
+        "retention_range",
+        "monthly_cohort_retention",
+        ("retention",),
+        "select 1 from <retention> where retention_pct not between 0 and 100",
+    ),
+    "dq_cohort_spine": (
+        "cohort_spine_complete",
+        "monthly_cohort_retention",
+        ("retention", "user_months", "stg_orders", "stg_users"),
+        """
+        select 1 from (select distinct cohort_month,
+                         date_diff('month', cohort_month, greatest((select max(order_date) from stg_orders),
+                                                                   (select max(signup_date) from stg_users))) as last
+                       from user_months)
+        left join (select cohort_month, min(month_number) as lo, max(month_number) as hi, count(*) as n
+                   from <retention> group by 1) using (cohort_month)
+        where lo is null or lo <> 0 or hi <> last or n <> last + 1
+        """,
+    ),
+    "dq_funnel_monotonic": (
+        "funnel_monotonic",
+        "funnel_summary",
+        ("funnel",),
+        "select 1 from (select session_count > lag(session_count) over (order by funnel_step_order) as up from <funnel>) where up",
+    ),
+}
+
+
+def _business(name: str, replaced: dict[str, str]) -> str:
+    """A business check with some of its tables replaced."""
+    check, table, tables, violating = BUSINESS[name]
+    for cte in tables:
+        violating = violating.replace(f"<{cte}>", replaced.get(cte, cte))
+    return _dq(check, table, tuple(replaced.get(t, t) for t in tables), violating)
+
+
+def _seeded(name: str) -> str:
+    checked = BUSINESS[name][2][0]
+    return _business(name, {checked: f"bad_{checked}"})
+
+
+def _all_checks(replaced: dict[str, str]) -> str:
+    """All 68 results, with some tables replaced."""
+    suite = [_dq_unique(), _dq_not_null(), ORACLE["dq_accepted"], *(_business(name, replaced) for name in BUSINESS)]
+    return " union all ".join(f"(select * from ({one}))" for one in suite)
+
+
 def _metrics(tables: tuple[str, ...], total: str, metrics: dict[str, str]) -> str:
     counts = {"total_rows": total, **metrics}
     rows = [
@@ -473,8 +703,7 @@ ORACLE: dict[str, str] = {
         ("revenue",),
         f"""
         select {REVENUE} from revenue
-        where order_count > 0 and order_date >= (select max(order_date) from revenue) - 4
-        order by order_date desc limit 1
+        where order_count > 0 order by order_date desc limit 1
         """,
     ),
     "cohort_retention": sql(
@@ -482,9 +711,10 @@ ORACLE: dict[str, str] = {
     ),
     "cohort_matrix": sql(
         ("retention",),
-        "select cohort_month, "
-        + ", ".join(f"max(retention_pct) filter (month_number = {m}) as m{m}" for m in range(MATRIX_MONTHS))
-        + " from retention group by cohort_month",
+        """
+        , cells as (select cohort_month, 'm' || month_number as month, retention_pct from retention)
+        pivot cells on month using first(retention_pct) group by cohort_month
+        """,
     ),
     "cohort_curves": sql(
         ("retention",),
@@ -510,75 +740,9 @@ ORACLE: dict[str, str] = {
         "select 1 from funnel where funnel_step not in ('page_view', 'add_to_cart', 'purchase')",
         "funnel_step",
     ),
-    "dq_session_duration": _dq(
-        "session_duration",
-        "int_sessionized_events",
-        ("sessions",),
-        "select 1 from sessions where session_duration_seconds not between 0 and 86400",
-    ),
-    "dq_causality": _dq(
-        "purchase_after_signup",
-        "int_user_first_purchase",
-        ("first_purchase", "stg_users"),
-        """
-        select 1 from first_purchase f, stg_users u
-        where f.user_id = u.user_id and first_purchase_date is not null and f.first_purchase_at <= u.signup_at
-        """,
-    ),
-    "dq_first_completed": _dq(
-        "first_purchase_completed",
-        "int_user_first_purchase",
-        ("first_purchase", "stg_orders"),
-        """
-        select 1 from first_purchase f join stg_orders o on o.order_id = f.first_purchase_order_id
-        where f.has_purchased and o.order_status <> 'completed'
-        """,
-    ),
-    "dq_revenue_non_negative": _dq(
-        "revenue_non_negative",
-        "fct_revenue_trends",
-        ("revenue",),
-        "select 1 from revenue where least(total_revenue, average_order_value) < 0",
-    ),
-    "dq_revenue_reconcile": _dq(
-        "revenue_reconciles",
-        "fct_revenue_trends",
-        ("revenue", "completed"),
-        """
-        select 1 from (select order_date from revenue union select order_date from completed)
-        left join revenue r using (order_date)
-        left join (select order_date, sum(order_value) as v, count(order_id) as n, count(distinct user_id) as u
-                   from completed group by order_date) c using (order_date)
-        where coalesce(total_revenue, 0) <> coalesce(v, 0) or coalesce(order_count, 0) <> coalesce(n, 0)
-           or coalesce(distinct_user_count, 0) <> coalesce(u, 0)
-        """,
-    ),
-    "dq_retention_range": _dq(
-        "retention_range",
-        "monthly_cohort_retention",
-        ("retention",),
-        "select 1 from retention where retention_pct not between 0 and 100",
-    ),
-    "dq_cohort_spine": _dq(
-        "cohort_spine_complete",
-        "monthly_cohort_retention",
-        ("retention", "user_months", "stg_orders", "stg_users"),
-        """
-        select 1 from (select distinct cohort_month,
-                         date_diff('month', cohort_month, greatest((select max(order_date) from stg_orders),
-                                                                   (select max(signup_date) from stg_users))) as last
-                       from user_months)
-        left join (select cohort_month, min(month_number) as lo, max(month_number) as hi, count(*) as n
-                   from retention group by 1) using (cohort_month)
-        where lo is null or lo <> 0 or hi <> last or n <> last + 1
-        """,
-    ),
-    "dq_funnel_monotonic": _dq(
-        "funnel_monotonic",
-        "funnel_summary",
-        ("funnel",),
-        "select 1 from (select session_count > lag(session_count) over (order by funnel_step_order) as up from funnel) where up",
-    ),
+    **{name: _business(name, {}) for name in BUSINESS},
+    **{f"{name}_seeded": _seeded(name) for name in BUSINESS},
+    "dq_columns_seeded": _dq_columns_seeded(),
     "dq_shared_sessions": sql(
         ("sessions",),
         "select session_id, count(*) as occurrences from sessions where session_id is not null group by 1 having count(*) > 1",
@@ -645,7 +809,7 @@ ORACLE: dict[str, str] = {
         select k.account_email, k.user_id as kept_user_id, k.email as kept_email, k.signup_at as kept_signup_at,
                d.user_id as duplicate_user_id, d.email as duplicate_email, d.signup_at as duplicate_signup_at
         from account_rank k join account_rank d using (account_email)
-        where k.place = 1 and d.place > 1 and d.user_id <> k.user_id
+        where k.place = 1 and d.place > 1
         """,
     ),
     "signups_per_month": sql(
@@ -747,4 +911,54 @@ ORACLE: dict[str, str] = {
         from gap_events
         """,
     ),
+    "order_feed_batches": sql(("revenue",), f"select {REVENUE} from revenue"),
+    "session_feed_batches": sql(
+        ("gap_events",),
+        """
+        select user_id, cast(session_seq as bigint) as session_seq, min(ts) as session_start_at, max(ts) as session_end_at,
+               count(*) as total_events_count,
+               max(ts) + interval 30 minute <= (select max(ts) from events) - interval 1 hour as closed
+        from gap_events group by user_id, session_seq
+        """,
+    ),
+    "session_feed_late": """
+        select event_id % 3 as batch, count(*) as events,
+               count(*) filter (ts < (select max(e.ts) - interval 1 hour from events e where e.event_id % 3 < events.event_id % 3)) as late_events
+        from events group by 1
+    """,
+    "build_marts_revenue": sql(("merged13",), f"select {REVENUE} from merged13"),
+    "build_marts_cohorts": sql(
+        ("retention",), "select cohort_month, cohort_size, month_number, active_users, retention_pct from retention"
+    ),
+    "build_marts_funnel": sql(("funnel",), f"select {FUNNEL} from funnel"),
+    "deletion_recovery": sql(
+        ("healed", "remaining"),
+        f"""
+        select {REVENUE}, total_revenue <> coalesce(v, 0) or order_count <> coalesce(n, 0) or distinct_user_count <> coalesce(u, 0) as differs
+        from healed left join (select order_date, sum(order_value) as v, count(order_id) as n, count(distinct user_id) as u
+                               from remaining where order_status = 'completed' group by order_date) using (order_date)
+        """,
+    ),
+    "attempts_since": sql(
+        ("tried_earlier",),
+        """
+        select * from (
+          select * from tried_earlier
+          qualify 1 = row_number() over (partition by order_id
+                    order by order_status = 'completed' desc, ordered_at desc nulls first, order_value desc nulls first,
+                             order_status, user_id, order_date))
+        where order_date >= (select max(order_date) - 30 from tried_earlier)
+        """,
+    ),
+    "load_raw_tables": sql(
+        ("raw_users", "raw_orders", "raw_events"),
+        """
+        select 'users' as "table", count(*) as row_count, count(distinct user_id) as distinct_keys, cast(sum(user_id) as bigint) as sum_of_keys from raw_users
+        union all
+        select 'orders', count(*), count(distinct order_id), cast(sum(order_id) as bigint) from raw_orders
+        union all
+        select 'events', count(*), count(distinct event_id), cast(sum(event_id) as bigint) from raw_events
+        """,
+    ),
 }
+ORACLE["build_marts_checks"] = _all_checks({"revenue": "merged13"})

@@ -103,3 +103,48 @@ def click_feed(spark: SparkSession, sf_dir: str, as_stream: bool = False) -> Dat
 
 
 RAW_FEEDS = {"users": raw_users, "orders": raw_orders, "events": raw_events}
+
+
+# Key of each checked table; where the key is divisible by three, the other checked columns are made NULL.
+NULL_KEYS = {
+    "stg_users": "user_id",
+    "stg_orders": "order_id",
+    "stg_events": "event_id",
+    "int_user_first_purchase": "user_id",
+    "int_sessionized_events": "user_id",
+    "monthly_cohort_retention": "month_number",
+    "funnel_summary": "funnel_step_order",
+    "fct_revenue_trends": "day(order_date)",
+}
+
+
+def nulled(table: str, df: DataFrame) -> DataFrame:
+    """A checked table with missing values, and an unlisted funnel step."""
+    key = NULL_KEYS[table]
+    gone = F.expr(f"{key} % 3 = 0")
+    broken = df.withColumns({c: F.when(~gone, F.col(c)) for c in df.columns if c not in key})
+    if table == "funnel_summary":
+        broken = broken.withColumn("funnel_step", F.expr("if(funnel_step = 'add_to_cart', 'basket', funnel_step)"))
+    return broken
+
+
+# Results made to violate the business checks.
+DEFECTS = {
+    "int_sessionized_events": lambda df: df.withColumn(
+        "session_duration_seconds",
+        F.expr("case total_events_count % 7 when 0 then -5 when 1 then 90000 else session_duration_seconds end"),
+    ),
+    "int_user_first_purchase": lambda df: df.withColumns(
+        {
+            "first_purchase_at": F.expr("if(user_id % 5 = 0, first_purchase_at - interval 400 days, first_purchase_at)"),
+            "first_purchase_order_id": F.expr("if(user_id % 7 = 0, first_purchase_order_id + 1, first_purchase_order_id)"),
+        }
+    ),
+    "fct_revenue_trends": lambda df: df.withColumn(
+        "total_revenue", F.expr("cast(if(day(order_date) % 9 = 0, -total_revenue, total_revenue) as decimal(24,2))")
+    ),
+    "monthly_cohort_retention": lambda df: df.filter("month_number % 5 <> 2").withColumn(
+        "retention_pct", F.expr("cast(if(month_number = 3, 101, retention_pct) as decimal(9,2))")
+    ),
+    "funnel_summary": lambda df: df.withColumn("session_count", F.expr("if(funnel_step_order = 3, 1000000000, session_count)")),
+}

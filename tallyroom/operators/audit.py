@@ -25,6 +25,7 @@ from .staging import (
     valid_attempts,
 )
 
+# Fixed value: the name of the bucket.
 MISSING_MONTH = "NULL (Missing)"
 # Fixed values, Monday first, as weekday() numbers them.
 WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
@@ -142,37 +143,47 @@ def duplicate_conflicts(df: DataFrame, key: str, fields: Sequence[str]) -> DataF
     return kinds.withColumn("pct", percent(F.col("duplicate_sets"), all_sets))
 
 
+# A hot account's rows are dealt to this many tasks in a join; the kept side, one row per account, is repeated as often.
+ACCOUNT_SALTS = 32
+
+
 def duplicate_accounts(raw_users: DataFrame) -> DataFrame:
     """Each dropped registration beside the one that was kept.
 
-    Pairs run from a duplicate to its survivor only, never between duplicates,
-    and only accounts that repeat enter the join.
+    Pairs run from a duplicate to its survivor only, never between duplicates.
+    Equal registrations are counted before the join, so the kept one is told
+    apart by its whole row, and a repeated copy of it is listed as dropped.
+    Only accounts that repeat enter the join, in which an account with any
+    number of registrations is dealt to several tasks.
     """
+    place = ["signup_at", F.col("user_id").isNull().alias("unnumbered"), "user_id", "email"]
+    ties = [F.struct(F.col(c).isNull().alias("missing"), c).alias(f"{c}_order") for c in ("first_name", "last_name", "country", "signup_date")]
     dated = parse_users(raw_users).filter(F.col("signup_date").isNotNull() & F.col("account_email").isNotNull())
-    survivor = F.min(F.struct("signup_at", F.col("user_id").isNull().alias("unnumbered"), "user_id", "email"))
+    ranked = dated.select("account_email", "user_id", "email", "signup_at", F.struct(F.col("signup_at").isNull().alias("undated"), *place, *ties).alias("place"))
+    copies = ranked.groupBy(*ranked.columns).agg(F.count(F.lit(1)).alias("copies"))
     kept = (
-        dated.groupBy("account_email")
-        .agg(F.count(F.lit(1)).alias("rows_of_key"), survivor.alias("kept"))
+        ranked.groupBy("account_email")
+        .agg(F.count(F.lit(1)).alias("rows_of_key"), F.min("place").alias("kept"))
         .filter(F.col("rows_of_key") > 1)
+        .select("account_email", "kept", F.explode(F.sequence(F.lit(0), F.lit(ACCOUNT_SALTS - 1))).alias("salt"))
+    )
+    salted = copies.withColumn("salt", F.pmod(F.xxhash64("place"), F.lit(ACCOUNT_SALTS)).cast("int"))
+    dropped = F.col("copies") - F.when(F.col("place") == F.col("kept"), 1).otherwise(0)
+    return (
+        salted.join(kept, ["account_email", "salt"])
+        .withColumn("dropped", dropped)
+        .filter(F.col("dropped") > 0)
         .select(
             "account_email",
             F.col("kept.user_id").alias("kept_user_id"),
             F.col("kept.email").alias("kept_email"),
             F.col("kept.signup_at").alias("kept_signup_at"),
-        )
-    )
-    return (
-        join_per_key(dated, kept, ["account_email"])
-        .filter(F.col("user_id") != F.col("kept_user_id"))
-        .select(
-            "account_email",
-            "kept_user_id",
-            "kept_email",
-            "kept_signup_at",
             F.col("user_id").alias("duplicate_user_id"),
             F.col("email").alias("duplicate_email"),
             F.col("signup_at").alias("duplicate_signup_at"),
+            F.explode(F.sequence(F.lit(1).cast("bigint"), "dropped")).alias("copy"),
         )
+        .drop("copy")
     )
 
 

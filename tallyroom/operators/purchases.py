@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .hot_keys import join_per_key
 from .staging import COMPLETED
 
 LIFETIME_MONEY = "decimal(24,2)"
@@ -37,8 +36,15 @@ def purchase_totals(orders: DataFrame) -> DataFrame:
 
 
 def user_first_purchase(users: DataFrame, orders: DataFrame) -> DataFrame:
-    """Every staged user with acquisition and purchase metrics; non-buyers have zeros."""
-    return join_per_key(users, purchase_totals(orders), ["user_id"], "left").select(
+    """Every staged user with acquisition and purchase metrics; non-buyers have zeros.
+
+    Staged users have one row per account, so only a missing id can repeat
+    massively.  Those rows match nothing and stay out of the join, which can
+    then use the shuffle of the totals.
+    """
+    totals, known = purchase_totals(orders), F.col("user_id").isNotNull()
+    joined = users.filter(known).join(totals, "user_id", "left")
+    return joined.unionByName(users.filter(~known), allowMissingColumns=True).select(
         "user_id",
         "signup_at",
         "signup_date",

@@ -108,8 +108,9 @@ def revenue_kpis(revenue: DataFrame) -> DataFrame:
     )
 
 
-def latest_active_day(revenue: DataFrame, within_days: int = 4) -> DataFrame:
-    """The newest day with orders among the mart's last ``within_days`` days (one row at most)."""
-    recent = revenue.agg(F.date_sub(F.max("order_date"), within_days)).scalar()
-    in_reach = (F.col("order_date") >= recent) & (F.col("order_count") > 0)
-    return revenue.filter(in_reach).orderBy(F.desc_nulls_first("order_date")).limit(1)
+def latest_active_day(revenue: DataFrame, within_days: int | None = None) -> DataFrame:
+    """The newest day with orders, if asked for only among the mart's last ``within_days`` days (one row at most)."""
+    active = revenue.filter(F.col("order_count") > 0)
+    if within_days is not None:
+        active = active.filter(F.col("order_date") >= revenue.agg(F.date_sub(F.max("order_date"), within_days)).scalar())
+    return active.orderBy(F.desc_nulls_first("order_date")).limit(1)

@@ -19,6 +19,7 @@ from ..functions import (
     parse_local,
 )
 from .dedupe import keep_first
+from .hot_keys import join_per_key
 
 COMPLETED = "completed"
 MONEY = "decimal(12,2)"
@@ -115,14 +116,9 @@ def stage_orders(raw_orders: DataFrame, column_map: Mapping[str, str] = ORDER_CO
     return best_attempts(valid_attempts(parse_orders(raw_orders, column_map)))
 
 
-# An id takes about 50 bytes in a broadcast hash table, so this is at most ~100 MB.
-MAX_BROADCAST_ORDER_IDS = 2_000_000
-
-
 def best_attempts_since(
     attempts: DataFrame,
     since: dt.date,
-    max_broadcast_ids: int = MAX_BROADCAST_ORDER_IDS,
     keep: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """``best_attempts`` restricted to orders dated ``since`` or later, for incremental runs.
@@ -131,31 +127,31 @@ def best_attempts_since(
     attempt may lie on the other side of ``since``.  So the ids with any
     attempt in range are found first, and history is cut down to the range of
     those ids, which Parquet can skip row groups by and which is narrow where
-    ids grow with time.  If the counted ids also fit a broadcast, other orders
-    inside the range are dropped before the shuffle too.
+    ids grow with time.  Other orders inside the range are dropped by a semi
+    join, which adaptive execution broadcasts if the ids turn out to be few.
 
-    The ids are needed twice, to count and to join; ``keep`` may store them in
-    between so that the attempts are searched only once.
+    The ids are needed twice, for their range and to join; ``keep`` may store
+    them in between so that the attempts are searched only once.
     """
     in_range, unnumbered = F.col("order_date") >= F.lit(since), F.col("order_id").isNull()
     recent_ids = keep(attempts.filter(in_range & ~unnumbered).select("order_id").distinct())
-    n, lowest, highest = recent_ids.agg(F.count("order_id"), F.min("order_id"), F.max("order_id")).first()
-    # Attempts without an id compete as one group and are always kept.
-    nearby = attempts.filter(F.col("order_id").between(lowest, highest) | unnumbered)
-    if n <= max_broadcast_ids:
-        touched = F.broadcast(recent_ids.withColumn("touched", F.lit(True)))
-        nearby = nearby.join(touched, "order_id", "left").filter(F.col("touched") | unnumbered).drop("touched")
-    return best_attempts(nearby).filter(in_range)
+    return best_attempts(attempts_of(attempts, recent_ids)).filter(in_range)
+
+
+def attempts_of(attempts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The attempts of the orders in ``ids``, and all attempts without an id, which compete as one group."""
+    lowest, highest = ids.agg(F.min("order_id"), F.max("order_id")).first()
+    nearby = attempts.filter(F.col("order_id").between(lowest, highest))
+    return join_per_key(nearby, ids, ["order_id"], "left_semi").unionByName(attempts.filter(F.col("order_id").isNull()))
 
 
 def stage_orders_since(
     raw_orders: DataFrame,
     since: dt.date,
     column_map: Mapping[str, str] = ORDER_COLUMN_MAP,
-    max_broadcast_ids: int = MAX_BROADCAST_ORDER_IDS,
 ) -> DataFrame:
     """``stage_orders`` restricted to orders dated ``since`` or later."""
-    return best_attempts_since(valid_attempts(parse_orders(raw_orders, column_map)), since, max_broadcast_ids)
+    return best_attempts_since(valid_attempts(parse_orders(raw_orders, column_map)), since)
 
 
 def parse_events(raw_events: DataFrame) -> DataFrame:

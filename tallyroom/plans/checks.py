@@ -8,6 +8,7 @@ from ..operators import quality as q
 from ..operators.sessions import DEFAULT_STEPS
 from .models import Models
 
+# The columns the contract of the models checks.
 UNIQUE_COLUMN: Mapping[str, str] = {
     "stg_users": "user_id",
     "stg_orders": "order_id",
@@ -17,7 +18,7 @@ UNIQUE_COLUMN: Mapping[str, str] = {
     "fct_revenue_trends": "order_date",
 }
 
-# Nullable by design and therefore absent: names, country, device, page and
+# Fixed values, as above.  Nullable by design and therefore absent: names, country, device, page and
 # the first-purchase columns of users who have not bought.
 NOT_NULL_COLUMNS: Mapping[str, Sequence[str]] = {
     "stg_users": ("user_id", "email", "signup_at", "signup_date"),

@@ -10,6 +10,8 @@ from .raw import (
 )
 from .store import (
     TargetNotEmptyError,
+    delete_folder,
+    drop_old_versions,
     guarded_write,
     materialise,
     publish_version,
@@ -24,6 +26,8 @@ __all__ = [
     "RAW_ORDERS_SCHEMA",
     "RAW_USERS_SCHEMA",
     "TargetNotEmptyError",
+    "delete_folder",
+    "drop_old_versions",
     "guarded_write",
     "materialise",
     "publish_version",

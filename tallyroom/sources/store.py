@@ -18,6 +18,7 @@ from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _MANIFEST = "manifest"
 _MANIFEST_SCHEMA = "version string, published_at string, tables array<string>"
@@ -27,7 +28,10 @@ class TargetNotEmptyError(RuntimeError):
     """The target holds rows and replacing them was not requested."""
 
 
-def _read_if_present(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None) -> DataFrame | None:
+def read_if_present(
+    spark: SparkSession, path: str, fmt: str = "parquet", schema: str | StructType | None = None
+) -> DataFrame | None:
+    """What is stored under ``path``, or None if nothing is."""
     reader = spark.read.format(fmt)
     try:
         return (reader.schema(schema) if schema else reader).load(path)
@@ -47,7 +51,7 @@ def guarded_write(
 ) -> None:
     """Write Parquet to ``target``, refusing to overwrite rows unless ``replace`` is set."""
     _check_allowed(target, allowed_targets)
-    current = _read_if_present(df.sparkSession, target)
+    current = read_if_present(df.sparkSession, target)
     if current is not None and not replace and not current.isEmpty():
         raise TargetNotEmptyError(f"{target} already holds rows; pass replace=True to overwrite them")
     df.write.mode("overwrite").parquet(target)
@@ -65,8 +69,21 @@ def scratch_dir(spark: SparkSession, fallback_root: str) -> Iterator[str]:
     try:
         yield folder
     finally:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_folder(spark, folder)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of any file system the cluster can reach, if it is there.
+
+    Spark has no public call for this; the one use of its private gateway is here.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def feed_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a streaming query keeps in its checkpoint for life."""
+    return spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()[0]
 
 
 def materialise(df: DataFrame, path: str) -> DataFrame:
@@ -87,7 +104,7 @@ def side_by_side(spark: SparkSession, task: Callable[[str], object], names: Iter
 
 
 def _manifest_rows(spark: SparkSession, root: str) -> DataFrame | None:
-    return _read_if_present(spark, f"{root.rstrip('/')}/{_MANIFEST}", "json", _MANIFEST_SCHEMA)
+    return read_if_present(spark, f"{root.rstrip('/')}/{_MANIFEST}", "json", _MANIFEST_SCHEMA)
 
 
 def current_version(spark: SparkSession, root: str, table: str | None = None) -> str | None:
@@ -146,6 +163,26 @@ def publish_version(
     return version
 
 
+def drop_old_versions(spark: SparkSession, root: str, keep: int) -> list[str]:
+    """Delete all but the newest ``keep`` versions of each published table; returns the folders removed.
+
+    To be called when no reader follows an older version.  The manifest keeps
+    its rows; readers only ever follow the newest.
+    """
+    if keep < 1:
+        raise ValueError("at least the current version has to stay")
+    manifest = _manifest_rows(spark, root)
+    if manifest is None:
+        return []
+    published = manifest.select("version", F.explode("tables").alias("table"))
+    by_table = published.groupBy("table").agg(F.sort_array(F.collect_set("version"), asc=False).alias("versions"))
+    old = by_table.select("table", F.explode(F.slice("versions", keep + 1, F.greatest(F.size("versions"), F.lit(1)))).alias("version")).collect()
+    folders = sorted(_table_path(root, r["table"], r["version"]) for r in old)
+    for folder in folders:
+        delete_folder(spark, folder)
+    return folders
+
+
 def write_months(df: DataFrame, day: str, target: str, replace_all: bool = False) -> None:
     """Replace whole months of a month-partitioned Parquet table, leaving other months alone.
 
@@ -165,5 +202,5 @@ def write_months(df: DataFrame, day: str, target: str, replace_all: bool = False
 
 def read_months(spark: SparkSession, target: str) -> DataFrame | None:
     """A table written by ``write_months``, or None if there is none."""
-    stored = _read_if_present(spark, target)
+    stored = read_if_present(spark, target)
     return None if stored is None else stored.drop("month")

@@ -1,4 +1,12 @@
-from .order_feed import attempts_log, run_order_feed
-from .session_feed import stream_gap_sessions
+from .order_feed import absorb_orders, attempts_log, run_order_feed
+from .session_feed import all_sessions, logged_events, run_session_log, stream_gap_sessions
 
-__all__ = ["attempts_log", "run_order_feed", "stream_gap_sessions"]
+__all__ = [
+    "absorb_orders",
+    "all_sessions",
+    "attempts_log",
+    "logged_events",
+    "run_order_feed",
+    "run_session_log",
+    "stream_gap_sessions",
+]

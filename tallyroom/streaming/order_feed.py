@@ -1,46 +1,80 @@
 """Daily revenue kept current from a stream of order attempts.
 
-Parsed attempts are appended to a log, and the best attempt per order is chosen
-when the log is read, so nothing already written is rewritten.  The log holds
-typed dates and ids: a refresh skips the row groups outside the look-back
-window and the id range it touches, and shuffles only the orders it touches.
-A feed can add orders but not delete them; days are zeroed for deletions only
-when the mart is refreshed from a snapshot.
+Parsed attempts are appended to a log.  A batch touches the days of all
+attempts, old and new, of the orders it names; exactly these days are computed
+again from the log and replaced in the mart.  So after any sequence of batches,
+in whatever order their dates come, the mart equals one built from the whole
+log.  A feed can add attempts but not delete them; deletions take a refresh
+from a snapshot.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.revenue import LOOKBACK_DAYS
-from ..operators.staging import parse_orders, valid_attempts
-from ..plans.build import refresh_revenue
+from ..operators.revenue import REVENUE_COLUMNS, daily_revenue
+from ..operators.staging import attempts_of, best_attempts, parse_orders, valid_attempts
 from ..session import apply_required_conf
+from ..sources.raw import RAW_ORDERS_SCHEMA
+from ..sources.store import feed_id, materialise, publish_version, read_published, scratch_dir
+
+MART = "fct_revenue_trends"
+
+
+def _log_folder(root: str) -> str:
+    return f"{root.rstrip('/')}/order_attempts"
 
 
 def attempts_log(spark: SparkSession, root: str) -> DataFrame:
-    """Every valid order attempt received so far, parsed."""
-    return spark.read.parquet(f"{root.rstrip('/')}/order_attempts").drop("batch")
+    """Every valid order attempt received so far, parsed; the schema is declared, so no file is opened to infer it."""
+    fields = valid_attempts(parse_orders(spark.createDataFrame([], RAW_ORDERS_SCHEMA))).schema
+    return spark.read.schema(fields).parquet(f"{_log_folder(root)}/feed=*/batch=*").select(*fields.names)
+
+
+def _undated_safe(day: str = "order_date"):
+    return F.coalesce(F.col(day).cast("string"), F.lit("-"))
+
+
+def absorb_orders(batch: DataFrame, root: str, feed: str, batch_id: int) -> None:
+    """Log a batch of raw orders and bring the mart up to date with it.
+
+    The batch goes to a folder named by feed and batch and replaces it when the
+    batch is retried, so a failure between the two writes repeats neither
+    orders nor revenue.
+    """
+    spark = apply_required_conf(batch.sparkSession)
+    folder = f"{_log_folder(root)}/feed={feed}/batch={batch_id}"
+    valid_attempts(parse_orders(batch)).write.mode("overwrite").parquet(folder)
+    log = attempts_log(spark, root)
+    new = spark.read.schema(log.schema).parquet(folder)
+    if new.isEmpty():
+        return
+    with scratch_dir(spark, root) as scratch:
+        ids = materialise(new.filter(F.col("order_id").isNotNull()).select("order_id").distinct(), f"{scratch}/ids")
+        touched = attempts_of(log, ids).select("order_date", _undated_safe().alias("day"))
+        days = materialise(touched.distinct(), f"{scratch}/days")
+        on_days = log.withColumn("day", _undated_safe()).join(days.select("day"), "day", "left_semi")
+        day_ids = materialise(on_days.filter(F.col("order_id").isNotNull()).select("order_id").distinct(), f"{scratch}/day_ids")
+        best = best_attempts(attempts_of(log, day_ids)).withColumn("day", _undated_safe())
+        fresh = daily_revenue(best.join(days.select("day"), "day", "left_semi"))
+        published = read_published(spark, root, MART)
+        if published is not None:
+            others = published.withColumn("day", _undated_safe()).join(days.select("day"), "day", "left_anti")
+            fresh = others.select(*REVENUE_COLUMNS).unionByName(fresh)
+        publish_version({MART: fresh}, root)
 
 
-def run_order_feed(
-    feed: DataFrame,
-    root: str,
-    checkpoint: str,
-    lookback_days: int = LOOKBACK_DAYS,
-) -> StreamingQuery:
-    """Process what the feed holds now (``availableNow``) and refresh revenue per batch.
+def run_order_feed(feed: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+    """Process what the feed holds now (``availableNow``), a streaming frame of raw orders.
 
-    ``feed`` is a streaming frame of raw orders.  A batch goes to a folder named
-    by its id and replaces it when the batch is retried, so a failure between
-    the two writes repeats neither orders nor revenue.
+    The log is named by the streaming query's own id, so a new checkpoint does
+    not overwrite what an older one received.
     """
 
     def absorb(batch: DataFrame, batch_id: int) -> None:
-        spark = apply_required_conf(batch.sparkSession)
-        valid_attempts(parse_orders(batch)).write.mode("overwrite").parquet(f"{root.rstrip('/')}/order_attempts/batch={batch_id}")
-        refresh_revenue(spark, attempts_log(spark, root), root, lookback_days)
+        absorb_orders(batch, root, feed_id(batch.sparkSession, checkpoint), batch_id)
 
     return (
         feed.writeStream.foreachBatch(absorb)

@@ -1,11 +1,21 @@
-"""Gap sessions over a live event feed."""
+"""Gap sessions over a live event feed.
+
+``stream_gap_sessions`` emits sessions once nothing on time can extend them.
+``run_session_log`` keeps every event besides, and marks those that came too
+late for the stream, so that nothing is lost unseen and all sessions, closed
+and open, can be read at any time.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
+from ..operators.sessions import gap_sessions
 from ..session import apply_required_conf
+from ..sources.store import feed_id, read_if_present
 
 
 def stream_gap_sessions(events: DataFrame, user: str, ts: str, gap: str = "30 minutes", late_by: str = "1 hour") -> DataFrame:
@@ -31,3 +41,47 @@ def stream_gap_sessions(events: DataFrame, user: str, ts: str, gap: str = "30 mi
             "total_events_count",
         )
     )
+
+
+def run_session_log(
+    events: DataFrame, root: str, checkpoint: str, user: str, ts: str, late_by: str = "1 hour"
+) -> StreamingQuery:
+    """Append what the feed holds now to the event log under ``root``, marking late events.
+
+    An event is late if it lies before the watermark: the newest time of the
+    earlier batches less ``late_by``.  A retried batch replaces its folder.
+    """
+
+    def absorb(batch: DataFrame, batch_id: int) -> None:
+        spark = apply_required_conf(batch.sparkSession)
+        feed = feed_id(spark, checkpoint)
+        earlier = logged_events(spark, root, batch.schema).filter((F.col("feed") != feed) | (F.col("batch") < batch_id))
+        newest = earlier.agg(F.max(ts)).first()[0]
+        behind = F.col(ts) < F.lit(newest) - F.expr(f"interval {late_by}") if newest else F.lit(False)
+        marked = batch.withColumn("late", F.coalesce(behind, F.lit(False)))
+        marked.write.mode("overwrite").parquet(f"{root.rstrip('/')}/events/feed={feed}/batch={batch_id}")
+
+    apply_required_conf(events.sparkSession)
+    return (
+        events.writeStream.foreachBatch(absorb)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def logged_events(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    """Every event received, with ``late``, ``feed`` and ``batch``; ``schema`` is the feed's."""
+    fields = StructType([*schema.fields, *StructType().add("late", "boolean").add("feed", "string").add("batch", "long").fields])
+    stored = read_if_present(spark, f"{root.rstrip('/')}/events", schema=fields)
+    return spark.createDataFrame([], fields) if stored is None else stored
+
+
+def all_sessions(
+    spark: SparkSession, root: str, schema: StructType, user: str, ts: str, gap: str = "30 minutes", late_by: str = "1 hour"
+) -> DataFrame:
+    """All gap sessions of the log, late events included; ``closed`` if nothing on time can extend one any more."""
+    events = logged_events(spark, root, schema)
+    watermark = events.agg(F.max(ts) - F.expr(f"interval {late_by}")).scalar()
+    sessions = gap_sessions(events.select(user, ts), user, ts, gap)
+    return sessions.withColumn("closed", F.col("session_end_at") + F.expr(f"interval {gap}") <= watermark)
