@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, WordTable, column_slices, fold_of, per_list
+from .common import Shared, WordTable, column_slices, fold_of, per_list, text_slices
 
 UNKNOWN = "und"
 LONGEST_GRAM = 5
@@ -57,9 +57,9 @@ def grams_of(word: str, n: int) -> list[str]:
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for lang_of, texts in ((b.column("lang").slice(first, len(t)).to_pylist(), t) for b in batches for first, t in text_slices(b)):
         counts: dict[str, Counter] = {}
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+        for lang, text in zip(lang_of, texts, strict=True):
             counts.setdefault(lang, Counter()).update(words_of(text))
         for lang, words in counts.items():
             by_length = [words, *(Counter() for _ in range(LONGEST_GRAM))]
