@@ -27,17 +27,15 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyroom.operators.hot_keys import join_per_key
 
-from .common import Shared, WordTable, fold_of, per_list, ragged, settle, text_slices
+from .common import Shared, fold_of, per_list, ragged, settle, text_slices
 
 FOLDS, HELD_OUT = 5, 1
 #: The end token's name in count tables; no word holds a line break.
@@ -55,17 +53,13 @@ COUNT_CHARS = 24_000_000
 #: Weight of a word's own probability in that of a pair.
 PRIOR_WEIGHT = 20.0
 _CUTOFFS = tuple(2**i for i in range(41))
+_FACTOR = np.uint64(0x5851F42D4C957F2D)
 
 
 def tokens_of(text: str) -> list[bytes]:
     return [*text.encode().lower().split(), END]
 
 
-def word_hash(word: bytes) -> int:
-    value = xxhash.xxh64_intdigest(word, 42)
-    return value - (value >> 63 << 64)
-
-
 def _mixed(values: np.ndarray) -> np.ndarray:
     """Unsigned 64-bit numbers scattered by multiplying and shifting."""
     values = (values ^ (values >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
@@ -73,6 +67,60 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(33))
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte runs from ``starts`` to ``ends``, all at once.
+
+    Each byte has a scattered value and is weighed by a power of an odd number;
+    a run's hash is a difference of running sums, brought to the run's start.
+    """
+    scattered = _mixed(np.arange(1, 257, dtype=np.uint64))
+    powers, inverse = np.full(len(data) + 1, _FACTOR), np.full(len(data) + 1, np.uint64(pow(int(_FACTOR), -1, 1 << 64)))
+    powers[0] = inverse[0] = 1
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(scattered[data] * np.cumprod(powers)[:-1], out=sums[1:])
+    return _mixed((sums[ends] - sums[starts]) * np.cumprod(inverse)[starts])
+
+
+def hash_all(words: pa.Array) -> np.ndarray:
+    """Hashes of an array of binary words."""
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[: offsets[-1] if len(offsets) else 0]
+    return word_hashes(data, offsets[:-1], offsets[1:])
+
+
+_END_HASH = word_hashes(np.frombuffer(END, np.uint8), np.array([0]), np.array([1]))[0]
+
+
+class Tokens:
+    """The tokens of some texts: words A-Z lowered, and an end after each text."""
+
+    def __init__(self, texts: list[str]):
+        raw = [text.encode() for text in texts]
+        whole = b"\n".join([*raw, b""]).lower()
+        self.data = np.frombuffer(whole, np.uint8)
+        blank = (self.data == 32) | ((self.data >= 9) & (self.data <= 13))
+        edges = np.flatnonzero(np.diff(blank, prepend=True))
+        self.starts, self.ends = edges[::2], edges[1::2]  # every text is followed by a blank
+        text_ends = np.cumsum([len(r) + 1 for r in raw])
+        words = np.diff(np.searchsorted(self.starts, text_ends), prepend=0)
+        self.lengths = words + 1
+        self.last = np.cumsum(self.lengths) - 1
+        self.hashes = np.empty(int(self.lengths.sum()), np.uint64)
+        self.word_at = np.ones(len(self.hashes), bool)
+        self.word_at[self.last] = False
+        self.hashes[self.word_at] = word_hashes(self.data, self.starts, self.ends)
+        self.hashes[self.last] = _END_HASH
+
+    def before(self) -> np.ndarray:
+        """The hash of the token before each, which is the end before a text's first."""
+        shifted = np.roll(self.hashes, 1)
+        shifted[self.last - self.lengths + 1] = _END_HASH
+        return shifted
+
+    def word(self, place: int) -> bytes:
+        return self.data[self.starts[place] : self.ends[place]].tobytes()
+
+
 def pair_hashes(before: np.ndarray, words: np.ndarray) -> np.ndarray:
     return _mixed(_mixed(before) + np.uint64(0x9E3779B97F4A7C15) * words)
 
@@ -89,11 +137,14 @@ def count_at(levels: np.ndarray) -> np.ndarray:
     return middle[levels]
 
 
-def _slots(hashes: np.ndarray, level: np.ndarray | int, bits: np.ndarray | int) -> np.ndarray:
-    """The places of an n-gram at a level among a shard's bits: one row per probe."""
-    first = _mixed(hashes + np.uint64(0xA24BAED4963EE407) * np.atleast_1d(level).astype(np.uint64))
-    step = _mixed(first) | np.uint64(1)
-    return np.stack([(first + np.uint64(i) * step) % np.asarray(bits, np.uint64) for i in range(PROBES)])
+def _first_slot(hashes: np.ndarray, level: np.ndarray | int) -> np.ndarray:
+    """Where the probes for an n-gram at a level begin; each next one is ``place * _FACTOR + 1``."""
+    return _mixed(hashes + np.uint64(0xA24BAED4963EE407) * np.atleast_1d(level).astype(np.uint64))
+
+
+def _slot(place: np.ndarray, bits: np.ndarray | int) -> np.ndarray:
+    """The place among a shard's bits, which are fewer than 2^32."""
+    return ((place >> np.uint64(32)) * np.asarray(bits, np.uint64)) >> np.uint64(32)
 
 
 def _text_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[str]]:
@@ -138,29 +189,13 @@ def _by_shard(hashes: np.ndarray, counts: np.ndarray, shards: int) -> pa.RecordB
 _BLOBS = "shard long, hashes binary, counts binary"
 
 
-def _hash_table() -> WordTable:
-    return WordTable(lambda words: (np.array([word_hash(w) for w in words], np.int64), np.ones(len(words), np.int64)), dtype=np.int64)
-
-
-def _hashed(texts: list[str], table: WordTable) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all tokens, of the tokens before them (the end before the first), and tokens per text."""
-    tokens = [tokens_of(t) for t in texts]
-    lengths = np.array([len(t) for t in tokens], np.int64)
-    words = table.gather(table.index([w for each in tokens for w in each]))[0].view(np.uint64)
-    before = np.empty_like(words)
-    before[1:] = words[:-1]
-    before[np.cumsum(lengths) - lengths] = np.uint64(word_hash(END) % 2**64)
-    return words, before, lengths
-
-
 def _pair_counts(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _hash_table()
         for texts in _text_runs(batches):
             pairs = []
-            for first in range(0, len(texts), 500):
-                words, before, _ = _hashed(texts[first : first + 500], table)
-                pairs.append(pair_hashes(before, words))
+            for first in range(0, len(texts), 300):
+                tokens = Tokens(texts[first : first + 300])
+                pairs.append(pair_hashes(tokens.before(), tokens.hashes))
             yield _by_shard(*np.unique(np.concatenate(pairs), return_counts=True), shards)
 
     return run
@@ -170,8 +205,7 @@ def _word_blobs(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch):
-                hashes = np.array([word_hash(w) for w in batch.column("word").to_pylist()], np.int64).view(np.uint64)
-                yield _by_shard(hashes, batch.column("n").to_numpy(), shards)
+                yield _by_shard(hash_all(batch.column("word")), batch.column("n").to_numpy(), shards)
 
     return run
 
@@ -194,7 +228,10 @@ def _segments(shard_table: pa.Table) -> pa.Table:
         size = -(-entries * BITS_PER_ENTRY // 64) * 64
         level = np.arange(entries) - np.repeat(np.cumsum(levels) - levels, levels) + 1
         bits = np.zeros(size, bool)
-        bits[_slots(np.repeat(hashes[kept], levels), level, size)] = True
+        place = _first_slot(np.repeat(hashes[kept], levels), level)
+        for _ in range(PROBES):
+            bits[_slot(place, size)] = True
+            place = place * _FACTOR + np.uint64(1)
         rows.append({"shard": shard.as_py(), "cutoff": cutoff, "entries": entries, "bits": np.packbits(bits, bitorder="little").tobytes()})
     return pa.Table.from_pylist(rows, pa.schema([("shard", pa.int64()), ("cutoff", pa.int32()), ("entries", pa.int64()), ("bits", pa.binary())]))
 
@@ -202,24 +239,27 @@ def _segments(shard_table: pa.Table) -> pa.Table:
 class LogFrequencyFilter:
     """The Bloom filter's shards one after another."""
 
-    def __init__(self, shards: int, segments: dict[int, bytes]):
+    def __init__(self, shards: int, segments: dict[int, np.ndarray]):
+        none = np.zeros(0, np.uint8)
         self.shards = shards
-        self.sizes = np.array([8 * len(segments.get(s, b"")) for s in range(shards)], np.uint64)
+        self.sizes = np.array([8 * len(segments.get(s, none)) for s in range(shards)], np.uint64)
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]]).astype(np.uint64)
-        self.bits = np.frombuffer(b"".join(segments.get(s, b"") for s in range(shards)), np.uint8)
+        self.bits = np.concatenate([none, *(segments.get(s, none) for s in range(shards))])
 
     def levels(self, hashes: np.ndarray) -> np.ndarray:
         """For each n-gram the highest level up to which the filter has all; 0 if it has none."""
         shard = (hashes % np.uint64(self.shards)).astype(np.int64)
+        sizes, starts = self.sizes[shard], self.starts[shard]
         level = np.zeros(len(hashes), np.int64)
-        active = np.flatnonzero(self.sizes[shard] > 0)
+        active = np.flatnonzero(sizes > 0)
         asked = 0
         while len(active):
             asked += 1
-            of = shard[active]
-            places = _slots(hashes[active], asked, self.sizes[of]) + self.starts[of]
-            hit = (self.bits[places >> np.uint64(3)] >> (places & np.uint64(7)).astype(np.uint8)) & 1
-            active = active[hit.all(axis=0)]
+            place = _first_slot(hashes[active], asked)
+            for _ in range(PROBES):  # most n-grams that are not there fall out at once
+                at = _slot(place, sizes[active]) + starts[active]
+                hit = ((self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+                active, place = active[hit], place[hit] * _FACTOR + np.uint64(1)
             level[active] = asked
         return level
 
@@ -227,45 +267,35 @@ class LogFrequencyFilter:
 class Model(LogFrequencyFilter):
     """What scoring needs: the filter, N and V, and the exact counts of the most frequent words by hash."""
 
-    def __init__(self, shards: int, segments: dict[int, bytes], total: int, distinct: int, top_hashes: np.ndarray, top_counts: np.ndarray):
+    def __init__(self, shards: int, segments: dict[int, np.ndarray], total: int, distinct: int, top_hashes: np.ndarray, top_counts: np.ndarray):
         super().__init__(shards, segments)
         order = np.argsort(top_hashes)
         self.total, self.distinct = total, distinct
         self.top_hashes, self.top_counts = top_hashes[order], top_counts[order]
 
-    def _facts(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Hash, estimated level and exact count (-1: not among the top) of each word."""
-        hashes = np.array([word_hash(w) for w in words], np.int64)
-        at = np.minimum(np.searchsorted(self.top_hashes, hashes), max(0, len(self.top_hashes) - 1))
-        exact = np.full(len(words), -1, np.int64)
-        if len(self.top_hashes):
-            exact = np.where(self.top_hashes[at] == hashes, self.top_counts[at], -1)
-        levels = self.levels(hashes.view(np.uint64))
-        return np.stack([hashes, levels, exact], axis=1).ravel(), np.full(len(words), 3)
-
-    @cached_property
-    def table(self) -> WordTable:
-        """Facts of the words met so far; it lives as long as the worker keeps the model."""
-        return WordTable(self._facts, dtype=np.int64)
+    def exact(self, hashes: np.ndarray) -> np.ndarray:
+        """Counts of words among the top; -1 for others."""
+        if not len(self.top_hashes):
+            return np.full(len(hashes), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.top_hashes, hashes), len(self.top_hashes) - 1)
+        return np.where(self.top_hashes[at] == hashes, self.top_counts[at], -1)
 
     @property
     def room(self) -> float:
         return self.total + 0.5 * (self.distinct + 1)
 
     def score(self, texts: list[str]) -> dict[str, np.ndarray]:
-        tokens = [tokens_of(t) for t in texts]
-        lengths = np.array([len(t) for t in tokens], np.int64)
-        words = [w for each in tokens for w in each]
-        facts = self.table.gather(self.table.index(words))[0].reshape(-1, 3)
-        hashes, exact, counts = facts[:, 0].view(np.uint64), facts[:, 2], count_at(facts[:, 1])
-        starts = np.cumsum(lengths) - lengths
-        before, counts_before = np.roll(hashes, 1), np.roll(counts, 1)
-        before[starts] = np.uint64(word_hash(END) % 2**64)
-        counts_before[starts] = counts[np.cumsum(lengths) - 1]  # the text's own end token
-        pairs = np.minimum(count_at(self.levels(pair_hashes(before, hashes))), counts_before)
+        tokens = Tokens(texts)
+        lengths, last = tokens.lengths, tokens.last
+        different, index = np.unique(tokens.hashes, return_inverse=True)
+        counts, exact = count_at(self.levels(different))[index], self.exact(different)[index]
+        counts_before = np.roll(counts, 1)
+        counts_before[last - lengths + 1] = counts[last]  # the text's own end token
+        pairs = np.minimum(count_at(self.levels(pair_hashes(tokens.before(), tokens.hashes))), counts_before)
         alone = (counts + 0.5) / self.room
         smoothed = (pairs + PRIOR_WEIGHT * alone) / (counts_before + PRIOR_WEIGHT)
         top = exact >= 0
+        word_number = np.cumsum(tokens.word_at) - 1
         rest = np.flatnonzero(~top)
         return {
             "n_tokens": lengths,
@@ -273,7 +303,7 @@ class Model(LogFrequencyFilter):
             "top_score": per_list(np.where(top, np.log10((np.maximum(exact, 0) + 0.5) / self.room), 0.0), lengths),
             "score": per_list(np.log10(smoothed), lengths),
             "rest_lengths": per_list((~top).astype(np.int64), lengths),
-            "rest": [words[i] for i in rest.tolist()],
+            "rest": [tokens.word(word_number[i]) if tokens.word_at[i] else END for i in rest.tolist()],
         }
 
 
@@ -301,10 +331,10 @@ def fit(docs: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES, max_top_words
     sizes = segments.groupBy("cutoff").agg(F.sum(F.length("bits")).alias("size")).collect()
     cutoff = min((r["cutoff"] for r in sizes if r["size"] <= max_filter_bytes), default=max(_CUTOFFS))
     chosen = segments.filter(F.col("cutoff") == cutoff).select("shard", "bits").toArrow()
-    bits = dict(zip(chosen.column("shard").to_pylist(), chosen.column("bits").to_pylist(), strict=True))
-    top = words.filter(F.col("n") >= least).select(F.xxhash64(F.col("word")).alias("hash"), "n").toArrow()
-    arrays = [top.column(c).to_numpy().astype(np.int64) for c in ("hash", "n")]
-    return Model(shards, bits, total, distinct, *arrays), words.filter(F.col("n") < least)
+    bits = {s.as_py(): np.frombuffer(b.as_buffer(), np.uint8) for s, b in zip(chosen.column("shard"), chosen.column("bits"), strict=True)}
+    top = words.filter(F.col("n") >= least).select("word", "n").toArrow().combine_chunks()
+    hashes = np.concatenate([np.zeros(0, np.uint64), *(hash_all(c) for c in top.column("word").chunks)])
+    return Model(shards, bits, total, distinct, hashes, top.column("n").to_numpy()), words.filter(F.col("n") < least)
 
 
 def _scored(shared: Shared):

@@ -252,7 +252,7 @@ def test_filter_never_forgets():
     blobs = bloom_lm._by_shard(np.concatenate([hashes, hashes]), np.concatenate([counts, counts]), shards)
     for shard in range(shards):
         table = pa.Table.from_batches([blobs]).filter(pa.compute.equal(blobs.column("shard"), shard))
-        segments[shard] = next(r["bits"] for r in bloom_lm._segments(table).to_pylist() if r["cutoff"] == 1)
+        segments[shard] = next(np.frombuffer(r["bits"], np.uint8) for r in bloom_lm._segments(table).to_pylist() if r["cutoff"] == 1)
     found = bloom_lm.LogFrequencyFilter(shards, segments)
     true = bloom_lm.level_of(2 * counts)
     levels = found.levels(hashes)
@@ -262,6 +262,25 @@ def test_filter_never_forgets():
     assert (np.abs(estimates - 2 * counts) <= 0.3 * 2 * counts).all()
 
 
+def test_tokens_and_their_hashes():
+    rng = random.Random(6)
+    texts = ["", "  ", "A b\n a B ", "x" * 3000, "é \x0b\x0cß\r\n\tq"] + [" ".join(rng.choice("abcABC") * rng.randrange(4) for _ in range(50)) for _ in range(20)]
+    tokens, at, hashes = bloom_lm.Tokens(texts), 0, {}
+    for text, length in zip(texts, tokens.lengths.tolist(), strict=True):
+        words = bloom_lm.tokens_of(text)
+        assert len(words) == length
+        for i, word in enumerate(words):
+            assert hashes.setdefault(word, tokens.hashes[at + i]) == tokens.hashes[at + i]
+            assert tokens.before()[at + i] == hashes[words[i - 1] if i else b"\n"]
+        at += length
+    assert len(set(hashes.values())) == len(hashes) and at == len(tokens.hashes)
+    import pyarrow as pa
+
+    names = pa.array(list(hashes), pa.binary())
+    assert bloom_lm.hash_all(names).tolist() == [int(h) for h in hashes.values()]
+    assert bloom_lm.hash_all(names[2:5]).tolist() == [int(h) for h in list(hashes.values())[2:5]]
+
+
 def test_rare_words_are_joined(spark):
     rng = random.Random(9)
     table = docs(spark, *((i, " ".join(f"w{int(rng.paretovariate(0.5))}" for _ in range(50))) for i in range(200)))
