@@ -122,6 +122,13 @@ def small_side(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
 
 
+def take_runs(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The runs of ``flat`` from ``starts``, one after another."""
+    places = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+    places += np.arange(len(places))
+    return flat[places]
+
+
 class Shared:
     """An object sent to the executors once, which each worker keeps with all that it remembers.
 
@@ -179,7 +186,4 @@ class WordTable:
     def gather(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The integers of the indexed words one after another, and how many each word has."""
         lengths = self.lengths[index]
-        ends = np.cumsum(lengths)
-        shift = np.repeat(self.starts[index] - (ends - lengths), lengths)
-        shift += np.arange(len(shift))
-        return self.flat[shift], lengths
+        return take_runs(self.flat, self.starts[index], lengths), lengths

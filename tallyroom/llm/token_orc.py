@@ -15,8 +15,12 @@ empty table gives files without rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from array import array
+from collections.abc import Iterator, Sequence
 from functools import cached_property
+from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Shared, WordTable, ids_crc32, per_list, ragged, settle, small_side, text_slices
+from .common import Shared, WordTable, ids_crc32, per_list, ragged, settle, small_side, take_runs, text_slices
 
 SCHEMA = "part int, doc_id long, start_in_part long, n_tokens long, ids array<int>"
 
@@ -38,20 +42,36 @@ ORC_OPTIONS = {
 }
 
 
+_MARKS = "!\"#$%&()*+,-./:;=?@[]^_`{}~"
+_SIMPLE = re.compile(f"[A-Za-z{re.escape(_MARKS)}]+")
+_RUNS = re.compile("[a-z]+|[^a-z]+")
+
+#: What a worker remembers at most; beyond it starts afresh.
+WORDS_KEPT, PIECES_KEPT = 1_000_000, 400_000
+
+
 class TextTokenizer:
     """A tokenizer file of the ``tokenizers`` library, sent to the executors as text.
 
     If the tokenizer drops blanks and never looks across them, words are encoded
-    once and remembered, which gives the same ids as encoding the whole text.
+    once and remembered, and so are the pieces its pre-tokenizer makes of them;
+    this gives the same ids as encoding the whole text.
     """
 
-    PROBE = "Ab  c\n\td,e É1 it's\r\nx\x0b.y\x0c!! 12 ß"
+    PROBE = "Ab  c\n\td,e É1 it's\r\nx\x0b.y\x0c!! 12 ß I'LL\u00a0nbsp e\u0301 日本 a<|endoftext|>b 🙂🙂 ΑΣ"
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             self.definition = file.read()
         whole = self.library.encode(self.PROBE, add_special_tokens=False).ids
-        self.by_word = whole == [i for w in self.PROBE.split() for i in self.library.encode(w, add_special_tokens=False).ids]
+        words = [w.decode() for w in self.PROBE.encode().split()]
+        self.by_word = whole == [i for w in words for i in self.library.encode(w, add_special_tokens=False).ids]
+        self.simple_marks = False
+        if self.by_word and self.library.normalizer and self.library.pre_tokenizer:
+            self.simple_marks = self._marks_are_simple()
+            self.by_word = whole == self._encode_words(words)[0].tolist()
+        else:
+            self.by_word = False
 
     @cached_property
     def library(self):
@@ -59,22 +79,84 @@ class TextTokenizer:
 
         return Tokenizer.from_str(self.definition)
 
+    @cached_property
+    def special(self) -> list[str]:
+        return [token.content for token in self.library.get_added_tokens_decoder().values()]
+
+    @cached_property
+    def pieces(self) -> dict[str, bytes]:
+        """The ids of the pieces met so far, as native integers side by side."""
+        return {}
+
     def _encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
         lengths = np.array([len(i) for i in ids], np.int64)
-        return np.fromiter((i for each in ids for i in each), np.int32, int(lengths.sum())), lengths
+        return np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum())), lengths
+
+    def _of_pieces(self, pieces: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the pieces one after another, and how many each has."""
+        if len(self.pieces) > PIECES_KEPT:
+            self.pieces.clear()
+        for piece in set(pieces).difference(self.pieces):
+            self.pieces[piece] = array("i", [token.id for token in self.library.model.tokenize(piece)]).tobytes()
+        ids = list(map(self.pieces.__getitem__, pieces))
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // array("i").itemsize
+        return np.frombuffer(b"".join(ids), np.intc).astype(np.int32), lengths
+
+    def _split(self, words: list[str]) -> tuple[Sequence[str], np.ndarray]:
+        """The library's pieces of words without blanks, and each piece's word."""
+        normal = " ".join(words)
+        normal = self.library.normalizer.normalize_str(normal)
+        pieces, places = zip(*self.library.pre_tokenizer.pre_tokenize_str(normal), strict=True)
+        word_ends = np.cumsum([len(w) + 1 for w in normal.split(" ")])
+        starts = np.fromiter(map(itemgetter(0), places), np.int64, len(places))
+        return pieces, np.searchsorted(word_ends, starts, side="right")
+
+    def _marks_are_simple(self) -> bool:
+        """Whether words of A-Z, a-z and these marks are cut, in lower case, into runs of letters and runs of marks."""
+        words = [f"aB{m}c{m}{n}d{m}" for m in _MARKS for n in _MARKS] + ["Ab", "zQ", "the", *(m for m in _MARKS)]
+        pieces, of = self._split(words)
+        want = [(p, i) for i, w in enumerate(words) for p in _RUNS.findall(w.lower())]
+        return list(zip(pieces, of.tolist(), strict=True)) == want and not any(set(m) & set(_MARKS) for m in self.special)
+
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words through the library's normaliser, pre-tokenizer and model, many at once."""
+        kind = np.ones(len(words), np.int8)
+        if self.simple_marks:
+            kind[[bool(_SIMPLE.fullmatch(w)) for w in words]] = 0
+        for i in np.flatnonzero(kind).tolist():
+            if len(words[i].split()) != 1 or any(s in words[i] for s in self.special):
+                kind[i] = 2
+        simple, plain, odd = ([words[i] for i in np.flatnonzero(kind == k).tolist()] for k in (0, 1, 2))
+        runs = [_RUNS.findall(w.lower()) for w in simple]
+        found = []
+        if simple:
+            found.append((list(chain.from_iterable(runs)), np.repeat(np.arange(len(runs)), [len(r) for r in runs]), len(simple)))
+        if plain:
+            found.append((*self._split(plain), len(plain)))
+        flats, lengths = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for pieces, of, count in found:
+            ids, sizes = self._of_pieces(pieces)
+            flats.append(ids)
+            lengths.append(np.bincount(of, weights=sizes, minlength=count).astype(np.int64))
+        for kept, more in zip((flats, lengths), self._encode_all(odd), strict=True):
+            kept.append(more)
+        flat, length = np.concatenate(flats), np.concatenate(lengths)
+        place = np.empty(len(words), np.int64)
+        place[np.argsort(kind, kind="stable")] = np.arange(len(words))
+        return take_runs(flat, (np.cumsum(length) - length)[place], length[place]), length[place]
 
     @cached_property
     def table(self) -> WordTable:
         """The ids of the words met so far; it lives as long as the worker keeps the tokenizer."""
-        return WordTable(lambda words: self._encode_all([w.decode() for w in words]))
+        return WordTable(lambda words: self._encode_words([w.decode() for w in words]), limit=WORDS_KEPT)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after another, and how many each has."""
         if not self.by_word:
             return self._encode_all(texts)
         words = [t.encode().split() for t in texts]
-        ids, lengths = self.table.gather(self.table.index([w for each in words for w in each]))
+        ids, lengths = self.table.gather(self.table.index(list(chain.from_iterable(words))))
         return ids, per_list(lengths, np.array([len(w) for w in words], np.int64))
 
 
