@@ -81,11 +81,16 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return _mixed((sums[ends] - sums[starts]) * np.cumprod(inverse)[starts])
 
 
-def hash_all(words: pa.Array) -> np.ndarray:
-    """Hashes of an array of binary words."""
+def _hash_lot(words: pa.Array) -> np.ndarray:
     offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
-    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[: offsets[-1] if len(offsets) else 0]
-    return word_hashes(data, offsets[:-1], offsets[1:])
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return word_hashes(data, offsets[:-1] - offsets[0], offsets[1:] - offsets[0])
+
+
+def hash_all(words: pa.Array) -> np.ndarray:
+    """Hashes of an array of binary words, some tens of thousands at a time."""
+    lots = (words.slice(i, 50_000) for i in range(0, len(words), 50_000))
+    return np.concatenate([np.zeros(0, np.uint64), *map(_hash_lot, lots)])
 
 
 _END_HASH = word_hashes(np.frombuffer(END, np.uint8), np.array([0]), np.array([1]))[0]
