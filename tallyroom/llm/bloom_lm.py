@@ -7,11 +7,11 @@ for level 1, 2, ... until the filter says no.  A pair's probability is smoothed
 towards its word's.
 
 The filter is built in shards by the n-grams' hash, each from its own counts,
-and is broadcast.  Its size is bounded by ``MAX_FILTER_BYTES``: if all n-grams
-need more, the least frequent ones are left out by the smallest power of two as
-cutoff that suits, taken from counts over all the data.  The exact base score
-needs every word's count, however many words there are: words at or above the
-smallest count that at most ``MAX_TOP_WORDS`` words reach are broadcast, all
+and holds every n-gram.  Up to ``MAX_FILTER_BYTES`` it is broadcast; a larger one
+stays in its shards, and the different n-grams of each block of texts go to
+them and their levels come back, which gives the same scores.  The exact base
+score needs every word's count, however many words there are: words at or above
+the smallest count that at most ``MAX_TOP_WORDS`` words reach are broadcast, all
 others are joined.
 
 Defined results: a null text counts as empty, which is one end token.  A null
@@ -30,12 +30,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyroom.operators.hot_keys import join_per_key
 
-from .common import Shared, fold_of, per_list, ragged, settle, text_slices
+from .common import Shared, fold_of, per_list, ragged, settle, shared_path, text_slices
 
 FOLDS, HELD_OUT = 5, 1
 #: The end token's name in count tables; no word holds a line break.
@@ -44,15 +45,17 @@ END = b"\n"
 BASE = 1.5
 BITS_PER_ENTRY = 10
 PROBES = 4
+#: A larger filter is not broadcast.
 MAX_FILTER_BYTES = 96 << 20
 MAX_TOP_WORDS = 1_000_000
 #: Tokens of training text per shard of the filter.
 SHARD_TOKENS = 1_000_000
 #: Characters of text that a task counts before it passes the counts on.
 COUNT_CHARS = 24_000_000
+#: Characters of text whose n-grams are looked up together in a filter that is not broadcast.
+BLOCK_CHARS = 24_000_000
 #: Weight of a word's own probability in that of a pair.
 PRIOR_WEIGHT = 20.0
-_CUTOFFS = tuple(2**i for i in range(41))
 _FACTOR = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -216,29 +219,24 @@ def _word_blobs(shards: int):
 
 
 def _segments(shard_table: pa.Table) -> pa.Table:
-    """A shard's part of the filter for each cutoff: entries and bits."""
+    """A shard's part of the filter: entries and bits, from counts of ``cutoff`` on, which is 1."""
     hashes = np.frombuffer(b"".join(shard_table.column("hashes").to_pylist()), "<u8")
     counts = np.frombuffer(b"".join(shard_table.column("counts").to_pylist()), "<u8").astype(np.int64)
     order = np.argsort(hashes, kind="stable")
     hashes, counts = hashes[order], counts[order]
     starts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
     hashes, counts = hashes[starts], np.add.reduceat(counts, starts)
-    shard, rows = shard_table.column("shard")[0], []
-    for cutoff in _CUTOFFS:
-        kept = counts >= cutoff
-        levels = level_of(counts[kept])
-        entries = int(levels.sum())
-        if not entries:
-            break
-        size = -(-entries * BITS_PER_ENTRY // 64) * 64
-        level = np.arange(entries) - np.repeat(np.cumsum(levels) - levels, levels) + 1
-        bits = np.zeros(size, bool)
-        place = _first_slot(np.repeat(hashes[kept], levels), level)
-        for _ in range(PROBES):
-            bits[_slot(place, size)] = True
-            place = place * _FACTOR + np.uint64(1)
-        rows.append({"shard": shard.as_py(), "cutoff": cutoff, "entries": entries, "bits": np.packbits(bits, bitorder="little").tobytes()})
-    return pa.Table.from_pylist(rows, pa.schema([("shard", pa.int64()), ("cutoff", pa.int32()), ("entries", pa.int64()), ("bits", pa.binary())]))
+    levels = level_of(counts)
+    entries = int(levels.sum())
+    size = -(-entries * BITS_PER_ENTRY // 64) * 64
+    level = np.arange(entries) - np.repeat(np.cumsum(levels) - levels, levels) + 1
+    bits = np.zeros(size, bool)
+    place = _first_slot(np.repeat(hashes, levels), level)
+    for _ in range(PROBES):
+        bits[_slot(place, size)] = True
+        place = place * _FACTOR + np.uint64(1)
+    row = {"shard": shard_table.column("shard")[0].as_py(), "cutoff": 1, "entries": entries, "bits": np.packbits(bits, bitorder="little").tobytes()}
+    return pa.Table.from_pylist([row], pa.schema([("shard", pa.int64()), ("cutoff", pa.int32()), ("entries", pa.int64()), ("bits", pa.binary())]))
 
 
 class LogFrequencyFilter:
@@ -269,8 +267,18 @@ class LogFrequencyFilter:
         return level
 
 
+class FoundLevels:
+    """Levels that the filter gave for the sorted hashes of some texts."""
+
+    def __init__(self, hashes: np.ndarray, found: np.ndarray):
+        self.hashes, self.found = hashes, found
+
+    def levels(self, hashes: np.ndarray) -> np.ndarray:
+        return self.found[np.searchsorted(self.hashes, hashes)].astype(np.int64)
+
+
 class Model(LogFrequencyFilter):
-    """What scoring needs: the filter, N and V, and the exact counts of the most frequent words by hash."""
+    """What scoring needs: the filter, if it is broadcast, N and V, and the exact counts of the most frequent words by hash."""
 
     def __init__(self, shards: int, segments: dict[int, np.ndarray], total: int, distinct: int, top_hashes: np.ndarray, top_counts: np.ndarray):
         super().__init__(shards, segments)
@@ -289,14 +297,14 @@ class Model(LogFrequencyFilter):
     def room(self) -> float:
         return self.total + 0.5 * (self.distinct + 1)
 
-    def score(self, texts: list[str]) -> dict[str, np.ndarray]:
-        tokens = Tokens(texts)
+    def score(self, texts: list[str], found: FoundLevels | None = None) -> dict[str, np.ndarray]:
+        tokens, levels = Tokens(texts), (found or self).levels
         lengths, last = tokens.lengths, tokens.last
         different, index = np.unique(tokens.hashes, return_inverse=True)
-        counts, exact = count_at(self.levels(different))[index], self.exact(different)[index]
+        counts, exact = count_at(levels(different))[index], self.exact(different)[index]
         counts_before = np.roll(counts, 1)
         counts_before[last - lengths + 1] = counts[last]  # the text's own end token
-        pairs = np.minimum(count_at(self.levels(pair_hashes(tokens.before(), tokens.hashes))), counts_before)
+        pairs = np.minimum(count_at(levels(pair_hashes(tokens.before(), tokens.hashes))), counts_before)
         alone = (counts + 0.5) / self.room
         smoothed = (pairs + PRIOR_WEIGHT * alone) / (counts_before + PRIOR_WEIGHT)
         top = exact >= 0
@@ -323,8 +331,10 @@ def _cut(histogram: list[tuple[int, int]], most: int) -> int:
     return least
 
 
-def fit(docs: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES, max_top_words: int = MAX_TOP_WORDS) -> tuple[Model, DataFrame]:
-    """The model learned from ``docs`` (``text``), and the stored exact counts of its words that are not among the top."""
+def fit(
+    docs: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES, max_top_words: int = MAX_TOP_WORDS
+) -> tuple[Model, DataFrame, DataFrame | None]:
+    """The model learned from ``docs`` (``text``), the stored exact counts of its words that are not among the top, and a filter too large for the model."""
     docs = docs.select("text")
     words = settle(count_words(docs))
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -332,36 +342,107 @@ def fit(docs: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES, max_top_words
     least = _cut(histogram, max_top_words)
     shards = max(1, -(-total // SHARD_TOKENS))
     blobs = docs.mapInArrow(_pair_counts(shards), _BLOBS).union(words.mapInArrow(_word_blobs(shards), _BLOBS))
-    segments = settle(blobs.groupBy("shard").applyInArrow(_segments, "shard long, cutoff int, entries long, bits binary"))
-    sizes = segments.groupBy("cutoff").agg(F.sum(F.length("bits")).alias("size")).collect()
-    cutoff = min((r["cutoff"] for r in sizes if r["size"] <= max_filter_bytes), default=max(_CUTOFFS))
-    chosen = segments.filter(F.col("cutoff") == cutoff).select("shard", "bits").toArrow()
-    bits = {s.as_py(): np.frombuffer(b.as_buffer(), np.uint8) for s, b in zip(chosen.column("shard"), chosen.column("bits"), strict=True)}
+    segments = settle(blobs.groupBy("shard").applyInArrow(_segments, "shard long, cutoff int, entries long, bits binary").select("shard", "bits"))
+    large = segments.agg(F.coalesce(F.sum(F.length("bits")), F.lit(0))).first()[0] > max_filter_bytes
+    bits = {}
+    if not large:
+        whole = segments.toArrow()
+        bits = {s.as_py(): np.frombuffer(b.as_buffer(), np.uint8) for s, b in zip(whole.column("shard"), whole.column("bits"), strict=True)}
     top = words.filter(F.col("n") >= least).select("word", "n").toArrow().combine_chunks()
     hashes = np.concatenate([np.zeros(0, np.uint64), *(hash_all(c) for c in top.column("word").chunks)])
-    return Model(shards, bits, total, distinct, hashes, top.column("n").to_numpy()), words.filter(F.col("n") < least)
+    model = Model(shards, bits, total, distinct, hashes, top.column("n").to_numpy())
+    return model, words.filter(F.col("n") < least), segments if large else None
+
+
+_SCORED = "doc_id long, n_tokens long, top_known long, top_score double, score double, rest array<binary>"
+
+
+def _scored_batch(doc_ids: pa.Array | pa.ChunkedArray, found: dict[str, np.ndarray]) -> pa.RecordBatch:
+    rest = ragged(pa.array(found["rest"], pa.binary()), found["rest_lengths"])
+    names = ["n_tokens", "top_known", "top_score", "score"]
+    return pa.RecordBatch.from_arrays([doc_ids, *(pa.array(found[n]) for n in names), rest], ["doc_id", *names, "rest"])
 
 
 def _scored(shared: Shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in text_slices(batch):
-                found = shared.value.score(texts)
-                rest = ragged(pa.array(found["rest"], pa.binary()), found["rest_lengths"])
-                names = ["n_tokens", "top_known", "top_score", "score"]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, len(texts)), *(pa.array(found[n]) for n in names), rest], ["doc_id", *names, "rest"]
-                )
+                yield _scored_batch(batch.column("doc_id").slice(first, len(texts)), shared.value.score(texts))
+
+    return run
+
+
+def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    block, size = TaskContext.get().partitionId() << 32, 0
+    for batch in batches:
+        for first, texts in text_slices(batch):
+            chars = sum(map(len, texts))
+            if size and size + chars > BLOCK_CHARS:
+                block, size = block + 1, 0
+            size += chars
+            part = batch.slice(first, len(texts))
+            yield pa.RecordBatch.from_arrays([pa.array([block] * len(texts), pa.int64()), *part.columns], ["block", *part.schema.names])
+
+
+def _different(block: pa.Table) -> np.ndarray:
+    """The sorted hashes of a block's words and pairs."""
+    hashes = [np.zeros(0, np.uint64)]
+    for batch in block.to_batches():
+        for _, texts in text_slices(batch):
+            tokens = Tokens(texts)
+            hashes.append(np.unique(np.concatenate([tokens.hashes, pair_hashes(tokens.before(), tokens.hashes)])))
+    return np.unique(np.concatenate(hashes))
+
+
+def _asked(shards: int):
+    def run(block: pa.Table) -> pa.Table:
+        hashes = _different(block)
+        asked = pa.Table.from_batches([_by_shard(hashes, np.zeros(len(hashes)), shards)]).select(["shard", "hashes"])
+        return asked.add_column(0, "block", pa.array([block.column("block")[0].as_py()] * len(asked), pa.int64()))
 
     return run
 
 
-def score_texts(docs: DataFrame, model: Model, rest: DataFrame) -> DataFrame:
-    """Scores of ``doc_id``, ``text`` by a fitted model; ``rest`` are the counts that ``fit`` returned with it."""
+def _answered(asked: pa.Table, segment: pa.Table) -> pa.Table:
+    """The levels of what all blocks ask one shard."""
+    bits = {0: np.frombuffer(b.as_buffer(), np.uint8) for b in segment.column("bits")}
+    part = LogFrequencyFilter(1, bits)
+    levels = [part.levels(np.frombuffer(h.as_buffer(), "<u8")).astype(np.uint8).tobytes() for h in asked.column("hashes")]
+    return pa.table({"block": asked.column("block"), "shard": asked.column("shard"), "levels": pa.array(levels, pa.binary())})
+
+
+def _scored_block(shared: Shared):
+    def run(block: pa.Table, answers: pa.Table) -> pa.Table:
+        hashes = _different(block)
+        found = np.zeros(len(hashes), np.uint8)
+        in_order = b"".join(answers.sort_by("shard").column("levels").to_pylist())
+        found[np.argsort(hashes % np.uint64(shared.value.shards), kind="stable")] = np.frombuffer(in_order, np.uint8)
+        levels = FoundLevels(hashes, found)
+        return pa.Table.from_batches(
+            _scored_batch(batch.column("doc_id").slice(first, len(texts)), shared.value.score(texts, levels))
+            for batch in block.to_batches()
+            for first, texts in text_slices(batch)
+        )
+
+    return run
+
+
+def _scored_by_blocks(keyed: DataFrame, shared: Shared, shards: int, segments: DataFrame) -> DataFrame:
+    """What ``_scored`` gives, with a filter that stays in its shards.  The blocks are stored: a text must never change its block."""
+    path = shared_path(keyed.sparkSession, "text-blocks")
+    keyed.mapInArrow(_blocked, "block long, doc_id long, text string").write.parquet(path)
+    blocks = keyed.sparkSession.read.parquet(path)
+    asked = blocks.groupBy("block").applyInArrow(_asked(shards), "block long, shard long, hashes binary")
+    answers = asked.groupBy("shard").cogroup(segments.groupBy("shard")).applyInArrow(_answered, "block long, shard long, levels binary")
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scored_block(shared), _SCORED)
+
+
+def score_texts(docs: DataFrame, model: Model, rest: DataFrame, segments: DataFrame | None = None) -> DataFrame:
+    """Scores of ``doc_id``, ``text`` by a fitted model; ``rest`` and ``segments`` are what ``fit`` returned with it."""
     shared = Shared(docs.sparkSession, model)
-    schema = "doc_id long, n_tokens long, top_known long, top_score double, score double, rest array<binary>"
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scored = settle(keyed.mapInArrow(_scored(shared), schema).withColumn("row", F.monotonically_increasing_id()))
+    found = keyed.mapInArrow(_scored(shared), _SCORED) if segments is None else _scored_by_blocks(keyed, shared, model.shards, segments)
+    scored = settle(found.withColumn("row", F.monotonically_increasing_id()))
     rare = scored.select("row", F.explode("rest").alias("word")).groupBy("row", "word").agg(F.count("*").alias("times"))
     counted = join_per_key(rare, rest, ["word"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     per_row = counted.groupBy("row").agg(
@@ -387,5 +468,4 @@ def learnable(docs: DataFrame) -> DataFrame:
 
 def score_corpus(docs: DataFrame) -> DataFrame:
     """Scores of all documents by a model of those outside the held-out fold."""
-    model, rest = fit(learnable(docs))
-    return score_texts(docs, model, rest)
+    return score_texts(docs, *fit(learnable(docs)))

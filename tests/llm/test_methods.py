@@ -290,6 +290,20 @@ def test_rare_words_are_joined(spark):
     assert all(r["n_known"] == r["k"] and r["base_score"] == pytest.approx(r["b"]) for r in pairs.collect())
 
 
+def test_filter_of_any_size_gives_the_same_scores(spark, monkeypatch):
+    monkeypatch.setattr(bloom_lm, "SHARD_TOKENS", 1000)
+    rng = random.Random(10)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.5))}" for _ in range(50)) for _ in range(200)]
+    table = docs(spark, *enumerate([*texts, texts[0], "", None, "never seen"])).repartition(3)
+    found = []
+    for bound in (1 << 30, 0):
+        model, rest, segments = bloom_lm.fit(bloom_lm.learnable(table), max_filter_bytes=bound)
+        assert model.shards > 5 and (segments is None) == (bound > 0)
+        found.append(sorted(tuple(r) for r in bloom_lm.score_texts(table, model, rest, segments).collect()))
+    assert len(found[0]) == 204 and [r[:-2] for r in found[0]] == [r[:-2] for r in found[1]]
+    assert all(a[-2:] == pytest.approx(b[-2:], rel=1e-9) for a, b in zip(*found, strict=True))
+
+
 def test_frequent_lines_go(spark):
     body = lambda i: "\n".join(" ".join(f"w{i}x{j}x{k}" for k in range(12)) for j in range(6))
     rows = [(i, f"{body(i)}\n  COMMON   line number one\t", None, "a") for i in range(30)]
