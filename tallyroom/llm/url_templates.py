@@ -12,10 +12,9 @@ combined before each shuffle, and its rows are split at run time in joins.
 
 Defined results: a null url, or one without ``://``, has an empty host and path
 and is one host of its own.  A page without a label counts as a page, not as
-good or bad; a template without labels is allowed.  Paths deeper than
-``MAX_DEPTH`` are cut there, as if the rest were a wildcard.  Repeated rows each
-count and each get a row.  Extra columns are ignored, whatever their names; an
-empty table gives an empty result.
+good or bad; a template without labels is allowed.  Paths of any depth are
+followed to their end.  Repeated rows each count and each get a row.  Extra
+columns are ignored, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -39,6 +38,7 @@ RULES = (
     ("net", "/fr/", "block"),
 )
 
+#: Levels that ``verdict_sql`` spells out; the operator has no such bound.
 MAX_DEPTH = 6
 LEAST_PAGES = 10
 #: A branch differs from its siblings beyond this many standard deviations.
@@ -79,20 +79,29 @@ def page_labels(pages: DataFrame, labels: DataFrame) -> DataFrame:
     return join_per_key(known, per_doc, ["doc"], "left").drop("doc")
 
 
-def path_templates(pages: DataFrame, max_depth: int = MAX_DEPTH, least_pages: int = LEAST_PAGES, deviations: float = DEVIATIONS) -> DataFrame:
-    """Rows of ``page_id``, ``host``, ``path``, ``bad`` with their ``template``."""
+def path_templates(pages: DataFrame, least_pages: int = LEAST_PAGES, deviations: float = DEVIATIONS) -> DataFrame:
+    """Rows of ``page_id``, ``host``, ``path``, ``bad`` with their ``template``.
+
+    A branch can stay literal only below a node with at least ``least_pages``
+    deeper pages of both labels, and what lies below other nodes is no such node
+    either: without any, all further segments are wildcards.
+    """
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
-    open_rows = pages.select("page_id", "host", "path", "bad", F.slice(segments, 1, max_depth).alias("segments"), F.lit("").alias("template"))
-    rows = settle(open_rows)
-    depth = rows.agg(F.coalesce(F.max(F.size("segments")), F.lit(0))).first()[0]
-    for level in range(1, depth + 1):
-        deeper = F.size("segments") >= level
-        at_level = rows.withColumn("segment", F.when(deeper, F.get("segments", F.lit(level - 1))))
-        branches = at_level.filter(deeper).groupBy("host", "template", "segment").agg(
-            F.count("*").alias("pages"), F.count("bad").alias("labelled"), F.sum(F.coalesce("bad", F.lit(0))).alias("bad_pages")
+    rows, ended, level = settle(pages.select("page_id", "host", "path", "bad", segments.alias("segments"), F.lit("").alias("template"))), [], 0
+    counts = (F.count("*").alias("pages"), F.count("bad").alias("labelled"), F.sum(F.coalesce("bad", F.lit(0))).alias("bad_pages"))
+    while True:
+        deeper = F.size("segments") > level
+        at_level = rows.filter(deeper).withColumn("segment", F.get("segments", F.lit(level)))
+        branches = at_level.groupBy("host", "template", "segment").agg(*counts)
+        sums = (F.sum(c).alias(f"all_{c}") for c in ("pages", "labelled", "bad_pages"))
+        nodes = settle(
+            branches.groupBy("host", "template")
+            .agg(*sums)
+            .filter((F.col("all_pages") >= least_pages) & (F.col("all_bad_pages") > 0) & (F.col("all_bad_pages") < F.col("all_labelled")))
         )
-        nodes = branches.groupBy("host", "template").agg(F.sum("labelled").alias("all_labelled"), F.sum("bad_pages").alias("all_bad"))
-        share = F.col("all_bad") / F.when(F.col("all_labelled") > 0, F.col("all_labelled"))
+        if nodes.isEmpty():
+            break
+        share = F.col("all_bad_pages") / F.col("all_labelled")
         excess = F.col("bad_pages") - F.col("labelled") * share
         differs = excess * excess > deviations**2 * F.col("labelled") * share * (1 - share)
         literal = (
@@ -102,8 +111,12 @@ def path_templates(pages: DataFrame, max_depth: int = MAX_DEPTH, least_pages: in
         )
         branch = F.concat("template", F.lit("/"), F.when(F.col("literal"), F.col("segment")).otherwise(WILDCARD))
         joined = join_per_key(at_level, literal, ["host", "template", "segment"], "left")
-        rows = settle(joined.withColumn("template", F.when(deeper, branch).otherwise(F.col("template"))).drop("segment", "literal"))
-    return rows.drop("segments")
+        ended.append(rows.filter(~deeper))
+        rows = settle(joined.withColumn("template", branch).drop("segment", "literal"))
+        level += 1
+    open_segments = F.greatest(F.size("segments") - level, F.lit(0))
+    rows = rows.withColumn("template", F.concat("template", F.repeat(F.lit(f"/{WILDCARD}"), open_segments)))
+    return reduce(DataFrame.unionByName, ended, rows).select("page_id", "host", "path", "bad", "template")
 
 
 def judge_templates(rows: DataFrame, prior_weight: float = PRIOR_WEIGHT, reject_at: float = REJECT_AT) -> DataFrame:

@@ -11,7 +11,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from tallyroom.llm import bloom_lm, edit_counts, queries
+from tallyroom.llm import bloom_lm, edit_counts, queries, url_templates
 from tallyroom.llm.common import Shared, WordTable, ragged
 from tallyroom.llm.components import connected_components, spanning_links
 from tallyroom.llm.embedding_dedup import near_duplicate_vectors
@@ -332,6 +332,41 @@ def test_templates_split_by_label(spark):
     assert verdicts == {("h", "/good/*"): "allow", ("h", "/bad/*"): "block", ("h", "/*/*"): "allow", ("o", "/*/*"): "allow"}
 
 
+def test_templates_part_at_any_depth(spark):
+    """Branches that part below the sixth segment, also below segments that are all different."""
+    rows = [(i, "h", f"/a/b/c/d/e/f/{kind}/{i}", bad) for kind, bad, first in (("good", 0, 0), ("bad", 1, 100)) for i in range(first, first + 40)]
+    rows += [(200 + i, "o", f"/1/2/3/4/5/6/7/id{i}/{'xy'[i % 2]}/end/{i}", i % 2) for i in range(80)]
+    rows += [(300, "h", "/a/b", None), (301, "p", "/" + "s/" * 40, 1), (302, "p", "", 0)]
+    found = path_templates(spark.createDataFrame(rows, "page_id long, host string, path string, bad int"))
+    by_page = {r["page_id"]: r["template"] for r in found.collect()}
+    assert len(by_page) == len(rows) and found.columns == ["page_id", "host", "path", "bad", "template"]
+    assert (by_page[0], by_page[100]) == ("/*" * 6 + "/good/*", "/*" * 6 + "/bad/*")
+    assert (by_page[200], by_page[201]) == ("/*" * 8 + "/x/*/*", "/*" * 8 + "/y/*/*")
+    assert (by_page[300], by_page[301], by_page[302]) == ("/*/*", "/*" * 40, "")
+    verdicts = {(r["host"], r["template"]): r["template_verdict"] for r in judge_templates(found).collect()}
+    assert verdicts["h", by_page[0]] == verdicts["o", by_page[200]] == "allow" and verdicts["h", by_page[100]] == verdicts["o", by_page[201]] == "block"
+
+
+def test_templates_are_those_of_the_sql(spark):
+    """Random deep paths against the SQL with as many levels as they have."""
+    import duckdb
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    urls = [f"http://h{rng.randrange(2)}.de/" + "/".join(["s"] * 6 + [rng.choice("ab") for _ in range(rng.randrange(6))]) + f"/{i}" for i in range(1500)]
+    pages = pa.table({"page_id": list(range(1500)), "url": urls})
+    labels = [(i, int(rng.random() < (0.8 if "a/b/a" in u else 0.3)), 0) for i, u in enumerate(urls) if rng.random() < 0.9]
+    marked = pa.table(dict(zip(("doc_id", "quality", "toxic"), map(list, zip(*labels, strict=True)), strict=True)))
+    duck = duckdb.connect()
+    duck.register("pages", pages)
+    duck.register("labels", marked)
+    want = duck.execute(url_templates.verdict_sql(max_depth=13)).fetchall()
+    frames = [spark.createDataFrame(t.to_pylist()) for t in (pages, marked)]
+    found = url_templates.url_verdicts(url_templates.page_labels(*frames)).select("page_id", "host", "path", "rule", "verdict", "template")
+    assert sorted(tuple(r) for r in found.collect()) == sorted(want, key=lambda r: r[0])
+    assert any(letter in template.split("/")[7:] for *_, template in want for letter in "ab")
+
+
 def test_token_files_are_indexed(spark, tmp_path):
     path = str(tmp_path / "ids")
     table = docs(spark, *((i, f"{SENTENCE} {i}") for i in range(3000))).repartition(4)
