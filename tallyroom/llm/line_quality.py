@@ -125,7 +125,7 @@ def line_verdicts(
     )
     lost = (
         join_per_key(lines, frequent, ["host", "line"])
-        .filter(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
+        .filter(~F.coalesce(F.col("doc_id") == F.col("first_doc"), F.lit(False)))
         .groupBy("row")
         .agg(F.sum("words").alias("lost"), F.collect_list("line").alias("removed"))
     )

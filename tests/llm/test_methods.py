@@ -317,6 +317,15 @@ def test_frequent_lines_go(spark):
     assert kept[1]["text"] == body(1) and kept[1]["n_chars"] == len(body(1)) and kept[0]["text"] == rows[0][1]
 
 
+def test_a_null_id_is_never_the_first(spark):
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(10))
+    boiler = "\n".join(" ".join(f"boiler{j}x{k}" for k in range(12)) for j in range(5))
+    rows = [(None, f"{boiler}\n{own(i)}", None, "a") for i in range(25)] + [(None if i else 7, f"{boiler}\n{own(i)}", None, "b") for i in range(25)]
+    found = line_verdicts(docs(spark, *rows)).collect()
+    assert [(r["doc_id"], r["words_left"], r["kept"]) for r in found if r["words_left"] > 10] == [(7, 70, True)]
+    assert len(found) == 50 and sum(r["kept"] for r in found) == 1
+
+
 @pytest.mark.parametrize("words, want", [("a b c", 0), ("a a a a", 4), ("a b c x a b c", 6), ("a b a b a", 5), ("", 0)])
 def test_repeated_words(words, want):
     assert repeat_words(words.split()) == want
