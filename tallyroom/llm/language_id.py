@@ -5,8 +5,8 @@ falls back to the longest character n-grams of it that are known, shorter and
 shorter, down to single characters.  A document's language is the one with the
 highest mean over its words.
 
-The model is fitted on labelled documents.  At most about ``max_documents`` of
-them are used, chosen by a hash of the text, and the model keeps the
+The model is fitted on the different labelled texts; copies do not weigh.  At
+most about ``max_documents`` are used, chosen by a hash, and the model keeps the
 ``max_words`` most frequent words and ``max_grams`` most frequent n-grams of
 each length; these bounds are what makes it fit for broadcast.
 
@@ -120,8 +120,9 @@ def learnable(docs: DataFrame) -> DataFrame:
 
 def fit(labelled: DataFrame, max_documents: int = MAX_DOCUMENTS, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Model:
     """A model from rows with ``lang`` and ``text``; the bounds are described above."""
-    rate = min(1.0, max_documents / max(1, labelled.count()))
-    sample = labelled.select("lang", "text").filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(rate * (1 << 30)))
+    keyed = labelled.select("lang", "text", F.xxhash64("text").alias("text_hash"))
+    rate = min(1.0, max_documents / max(1, keyed.select("lang", "text_hash").distinct().count()))
+    sample = keyed.filter(F.pmod("text_hash", F.lit(1 << 30)) < int(rate * (1 << 30))).select("lang", "text").distinct()
     counts = sample.mapInArrow(_count_grams, "lang string, n int, gram string, count long")
     counts = counts.groupBy("n", "gram", "lang").agg(F.sum("count").alias("count")).persist()
     per_lang = counts.groupBy("n", "lang").agg(F.sum("count").alias("total")).toArrow().to_pylist()

@@ -147,6 +147,15 @@ def test_backoff_to_character_grams(spark):
     assert [r["lang_pred"] for r in identify(docs(spark, (1, "alpha")), nothing).collect()] == ["und"]
 
 
+@pytest.mark.parametrize("most", [1000, 30])
+def test_copies_do_not_weigh(spark, most):
+    rows = [(i, f"alpha beta gamma{i}", "xx") for i in range(40)] + [(100 + i, f"omega psi chi{i}", "yy") for i in range(40)]
+    copies = [(1000 + i, *row[1:]) for row in (rows[0], rows[50]) for i in range(300)]
+    once, often = (fit(docs(spark, *r).select("lang", "text"), max_documents=most) for r in (rows, rows + copies))
+    assert once.langs == often.langs == ["xx", "yy"] and once.rows == often.rows
+    assert all(np.array_equal(a, b) for a, b in zip(once.logs, often.logs, strict=True))
+
+
 def as_unigram(path):
     """The model file with its type set to unigram, so that the library itself solves the same problem."""
 
