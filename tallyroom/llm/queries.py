@@ -14,11 +14,12 @@ from .common import Shared, shared_path, table
 from .edit_counts import ByteTokenizer, apply_edits, count_trees
 from .embedding_dedup import near_duplicate_vectors
 from .language_id import fit, identify, learnable
+from .lexical_search import search
 from .line_quality import line_verdicts
 from .mixing import mix_sizes
 from .piece_codec import Pieces, round_trip
 from .simhash_dedup import near_duplicates
-from .sql import EMBEDDINGS, LINE_QUALITY, MIXING
+from .sql import EMBEDDINGS, LINE_QUALITY, MIXING, SEARCH
 from .token_orc import TextTokenizer, read_token_ids, token_digest, write_token_ids
 
 WORDS, BYTES, PIECES = "word_bpe_49k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
@@ -91,11 +92,15 @@ def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts.select("doc_id", *figures)
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_orc, op2_embedding_dedup, op3_mix_sources, op4_edit_counts, op5_language_id, op6_piece_codec,
-        op7_simhash_dedup, op8_bloom_lm, op9_url_templates, op10_line_quality,
+        op7_simhash_dedup, op8_bloom_lm, op9_url_templates, op10_line_quality, op13_lexical_search,
     )
 }
 
@@ -104,4 +109,5 @@ ORACLE: dict[str, str] = {
     "op3_mix_sources": MIXING,
     "op9_url_templates": url_templates.verdict_sql(),
     "op10_line_quality": LINE_QUALITY,
+    "op13_lexical_search": SEARCH,
 }

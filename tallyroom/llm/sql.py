@@ -99,3 +99,36 @@ select vec_id, cast(coalesce(n_links, 0) as bigint) as n_links, coalesce(compone
        vec_id is not distinct from coalesce(component_id, vec_id) as kept
 from vectors left join counts using (row) left join components using (row)
 """
+
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+SEARCH = f"""
+with asked as (
+  select item, item_id, term, count(*) as repeats from (
+    select row_number() over () as item, item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERM}')) as term
+    from benchmark
+  ) group by item, item_id, term
+), read as (
+  select row_number() over () as row, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{TERM}') as terms
+  from documents
+), sized as (
+  select row, doc_id, cast(len(terms) as bigint) as n, terms from read where len(terms) > 0
+), totals as (
+  select cast(count(*) as bigint) as documents, cast(sum(n) as bigint) as all_terms from sized
+), held as (
+  select row, term, cast(count(*) as bigint) as tf from (select row, unnest(terms) as term from sized)
+  where term in (select term from asked) group by row, term
+), weights as (
+  select term, cast(floor(1000 * ln((2 * any_value(documents) + 2)::double / (2 * count(*) + 1)::double)) as bigint) as w
+  from held cross join totals group by term
+), scored as (
+  select a.item, a.item_id, s.row, s.doc_id,
+         cast(sum(a.repeats * w.w * ((1000000000 * h.tf) // (1000 * h.tf + 8 * (100 - 75 + (75 * s.n * t.documents) // t.all_terms)))) as bigint) as score
+  from asked a join held h using (term) join weights w using (term) join sized s using (row) cross join totals t
+  group by a.item, a.item_id, s.row, s.doc_id
+), ranked as (
+  select item_id, doc_id, score, cast(row_number() over (partition by item order by score desc, doc_id nulls last) as integer) as rank
+  from scored where score > 0
+)
+select item_id, rank, doc_id, score from ranked where rank <= 10
+"""
