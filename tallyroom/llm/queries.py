@@ -17,6 +17,7 @@ from .language_id import fit, identify, learnable
 from .lexical_search import search
 from .line_quality import line_verdicts
 from .mixing import mix_sizes
+from .periodic_runs import periodic_runs, plant_runs
 from .piece_codec import Pieces, round_trip
 from .simhash_dedup import near_duplicates
 from .sql import EMBEDDINGS, LINE_QUALITY, MIXING, SEARCH
@@ -92,6 +93,20 @@ def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts.select("doc_id", *figures)
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = periodic_runs(docs.select("doc_id", plant_runs(F.col("doc_id"), F.col("text")).alias("text")))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    # The greatest length, then the smallest start and period.
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    named = found.select("doc_id", "runs", listed.alias("listed"), best.alias("best"), F.coalesce("collapsed", F.lit("")).alias("collapsed"))
+    length, period = F.col("best.length"), -F.col("best.period")
+    return named.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"), F.sha2("listed", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -100,7 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_orc, op2_embedding_dedup, op3_mix_sources, op4_edit_counts, op5_language_id, op6_piece_codec,
-        op7_simhash_dedup, op8_bloom_lm, op9_url_templates, op10_line_quality, op13_lexical_search,
+        op7_simhash_dedup, op8_bloom_lm, op9_url_templates, op10_line_quality, op12_periodic_runs, op13_lexical_search,
     )
 }
 
