@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import ragged, text_slices
 
@@ -241,9 +242,8 @@ def periodic_runs(docs: DataFrame, least: int = LEAST_LENGTH) -> DataFrame:
     A collapsed text keeps of each run the first period only; words are joined by one space.
     """
     others = [c for c in docs.columns if c != "text"]
-    packed = docs.select(F.struct(F.lit(0).alias("0"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(others))).alias("doc"), "text")
-    kind = packed.schema["doc"].dataType.simpleString()
-    done = packed.mapInArrow(_runs(least), f"doc {kind}, {_FOUND}")
+    packed = docs.select(F.struct(F.lit(0).alias("row"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(others))).alias("doc"), "text")
+    done = packed.mapInArrow(_runs(least), StructType([packed.schema["doc"], *StructType.fromDDL(_FOUND)]))
     return done.select(*(F.col("doc").getField(f"c{i}").alias(c) for i, c in enumerate(others)), "runs", "collapsed")
 
 
