@@ -21,6 +21,8 @@ from .periodic_runs import periodic_runs, plant_runs
 from .piece_codec import Pieces, round_trip
 from .simhash_dedup import near_duplicates
 from .sql import EMBEDDINGS, LINE_QUALITY, MIXING, SEARCH
+from .toxicity import fit as fit_toxicity
+from .toxicity import toxicity
 from .token_orc import TextTokenizer, read_token_ids, token_digest, write_token_ids
 
 WORDS, BYTES, PIECES = "word_bpe_49k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
@@ -93,6 +95,11 @@ def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts.select("doc_id", *figures)
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = periodic_runs(docs.select("doc_id", plant_runs(F.col("doc_id"), F.col("text")).alias("text")))
@@ -115,7 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_orc, op2_embedding_dedup, op3_mix_sources, op4_edit_counts, op5_language_id, op6_piece_codec,
-        op7_simhash_dedup, op8_bloom_lm, op9_url_templates, op10_line_quality, op12_periodic_runs, op13_lexical_search,
+        op7_simhash_dedup, op8_bloom_lm, op9_url_templates, op10_line_quality, op11_toxicity, op12_periodic_runs, op13_lexical_search,
     )
 }
 
