@@ -137,6 +137,25 @@ def gap_sessions(events: DataFrame, user: str, ts: str, gap: str = "30 minutes")
     )
 
 
+def merge_sessions(parts: DataFrame, user: str, gap: str = "30 minutes") -> DataFrame:
+    """The sessions that ``parts`` make together, numbered per user.
+
+    ``parts`` are sessions of any portions of the events, such as batches,
+    found with the same ``gap``; those within a gap of each other are one.  A
+    portion's sessions per user are bounded by elapsed time over gap.
+    """
+    by_start = Window.partitionBy(user).orderBy("session_start_at", "session_end_at")
+    reached = F.max("session_end_at").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(reached.isNull() | (F.col("session_start_at") > reached + F.expr(f"interval {gap}")), 1).otherwise(0)
+    running = by_start.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = parts.withColumn("opens", opens).withColumn("session_seq", F.sum("opens").over(running))
+    return numbered.groupBy(user, "session_seq").agg(
+        F.min("session_start_at").alias("session_start_at"),
+        F.max("session_end_at").alias("session_end_at"),
+        F.sum("total_events_count").alias("total_events_count"),
+    )
+
+
 def assign_sessions(events: DataFrame, user: str, ts: str, gap: str = "30 minutes") -> DataFrame:
     """Every placeable event with ``session_seq`` and a ``session_id`` made of user and number.
 

@@ -22,6 +22,8 @@ from .dedupe import keep_first
 from .hot_keys import join_per_key
 
 COMPLETED = "completed"
+#: Up to so many order ids are named in a filter; the session lets Parquet see lists of this length.
+NAMED_IDS = 500
 MONEY = "decimal(12,2)"
 
 # Upstream has shipped the order total under both names.
@@ -125,13 +127,11 @@ def best_attempts_since(
 
     The date filter cannot simply move below the ranking: an order's winning
     attempt may lie on the other side of ``since``.  So the ids with any
-    attempt in range are found first, and history is cut down to the range of
-    those ids, which Parquet can skip row groups by and which is narrow where
-    ids grow with time.  Other orders inside the range are dropped by a semi
-    join, which adaptive execution broadcasts if the ids turn out to be few.
+    attempt in range are found first, and history is cut down to the attempts
+    of those ids, see ``attempts_of``.
 
-    The ids are needed twice, for their range and to join; ``keep`` may store
-    them in between so that the attempts are searched only once.
+    The ids are needed more than once; ``keep`` may store them in between so
+    that the attempts are searched only once.
     """
     in_range, unnumbered = F.col("order_date") >= F.lit(since), F.col("order_id").isNull()
     recent_ids = keep(attempts.filter(in_range & ~unnumbered).select("order_id").distinct())
@@ -139,10 +139,19 @@ def best_attempts_since(
 
 
 def attempts_of(attempts: DataFrame, ids: DataFrame) -> DataFrame:
-    """The attempts of the orders in ``ids``, and all attempts without an id, which compete as one group."""
+    """The attempts of the orders in ``ids``, and all attempts without an id, which compete as one group.
+
+    Few ids are named in the filter, so that Parquet skips row groups by the
+    Bloom filters of ``write_attempts`` as well as by range; more are joined
+    within their range.  The rows are the same either way.
+    """
+    unnumbered = attempts.filter(F.col("order_id").isNull())
+    few = [r[0] for r in ids.limit(NAMED_IDS + 1).collect()]
+    if len(few) <= NAMED_IDS:
+        return attempts.filter(F.col("order_id").isin(*few) if few else F.lit(False)).unionByName(unnumbered)
     lowest, highest = ids.agg(F.min("order_id"), F.max("order_id")).first()
     nearby = attempts.filter(F.col("order_id").between(lowest, highest))
-    return join_per_key(nearby, ids, ["order_id"], "left_semi").unionByName(attempts.filter(F.col("order_id").isNull()))
+    return join_per_key(nearby, ids, ["order_id"], "left_semi").unionByName(unnumbered)
 
 
 def stage_orders_since(

@@ -18,6 +18,8 @@ SCALE_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     # Capturing the Python call site of every column doubles plan-building time.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Lists of order ids reach Parquet's Bloom filters up to this length.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "500",
     # Lets gap sessions merge on the map side before their shuffle.
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
 }

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,18 +96,57 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str], mode: str = "err
     df.select(*columns).write.mode(mode).option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
 
 
-def quarantine(df: DataFrame, casts: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
-    """Split rows into castable and not, for feeds where one bad value must not stop the run.
+CORRUPT = "_corrupt_record"
 
-    ``casts`` maps column to target type.  Blank text counts as missing, not
-    as bad.  Rejected rows carry ``bad_columns``.
+
+def read_raw_csv_with_rejects(
+    spark: SparkSession, path: str, schema: StructType, header: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """CSV rows that fit ``schema``, typed, and the rejected ones as read, for feeds where a broken row must not stop the run.
+
+    A rejected row carries ``reason``: ``fields`` for too few or too many of
+    them, with the line in ``_corrupt_record``; else the columns whose value
+    does not fit its type, joined by ``+``.
     """
+    as_text = StructType([StructField(f.name, StringType()) for f in schema] + [StructField(CORRUPT, StringType())])
+    rows = (
+        spark.read.schema(as_text)
+        .option("header", header)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        # A query of few columns would not notice that there are too many or too few.
+        .option("columnPruning", False)
+        .option("escape", '"')
+        .option("nullValue", "\u0000")
+        .csv(path)
+    )
+    casts = {f.name: f.dataType.simpleString() for f in schema if not isinstance(f.dataType, StringType)}
+    reason = F.when(F.col(CORRUPT).isNotNull(), "fields").otherwise(F.array_join(_bad_columns(casts), "+"))
+    judged = rows.withColumn("reason", reason)
+    typed = [F.expr(f"nullif(trim({f.name}), '')").cast(f.dataType).alias(f.name) if f.name in casts else F.col(f.name) for f in schema]
+    return judged.filter("reason = ''").select(*typed), judged.filter("reason <> ''")
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def _bad_columns(casts: Mapping[str, str]) -> Column:
+    """The names of columns whose text does not fit its type."""
 
     def broken(column: str, target: str) -> Column:
         given = F.trim(F.col(column).cast("string"))
         return given.isNotNull() & (given != "") & given.try_cast(target).isNull()
 
-    flags = {c: broken(c, t) for c, t in casts.items()}
-    any_broken = reduce(Column.__or__, [F.coalesce(flag, F.lit(False)) for flag in flags.values()])
-    names = F.array_compact(F.array(*[F.when(flag, F.lit(c)) for c, flag in flags.items()]))
-    return df.filter(~any_broken), df.filter(any_broken).withColumn("bad_columns", names)
+    return F.array_compact(F.array(*[F.when(broken(c, t), F.lit(c)) for c, t in casts.items()]))
+
+
+def quarantine(df: DataFrame, casts: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
+    """Split rows into castable and not, for feeds where one bad value must not stop the run.
+
+    ``casts`` maps column to target type.  Blank text counts as missing, not
+    as bad.  Rejected rows carry ``bad_columns``.
+    """
+    judged = df.withColumn("bad_columns", _bad_columns(casts))
+    fits = F.size("bad_columns") == 0
+    return judged.filter(fits).drop("bad_columns"), judged.filter(~fits)

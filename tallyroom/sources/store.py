@@ -96,6 +96,42 @@ def materialise(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_attempts(df: DataFrame, path: str, key: str = "order_id", keys_per_file: int = 1_000_000, row_group_bytes: int = 32 << 20) -> None:
+    """Write Parquet with a Bloom filter on ``key`` in every row group.
+
+    Ranges of ids skip nothing where ids don't grow with time; a Bloom filter
+    tells for a named id which row groups can't hold it.
+    """
+    (
+        df.write.mode("errorifexists")
+        .option(f"parquet.bloom.filter.enabled#{key}", "true")
+        .option(f"parquet.bloom.filter.expected.ndv#{key}", str(keys_per_file))
+        .option("parquet.bloom.filter.adaptive.enabled", "true")
+        .option("parquet.block.size", str(row_group_bytes))
+        .parquet(path)
+    )
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str) -> DataFrame:
+    """Write a table of the catalogue in ``buckets`` by ``key``, and read it.
+
+    Tables with the same key and number of buckets are joined and grouped by
+    the key without a shuffle.  A key that holds a large part of the rows makes
+    one bucket large, so such keys belong elsewhere, see ``plans.by_user``.
+    """
+    spark = df.sparkSession
+    (
+        df.repartition(buckets, key)
+        .write.mode("overwrite")
+        .format("parquet")
+        .bucketBy(buckets, key)
+        .sortBy(key)
+        .option("path", path)
+        .saveAsTable(table)
+    )
+    return spark.table(table)
+
+
 def side_by_side(spark: SparkSession, task: Callable[[str], object], names: Iterable[str]) -> None:
     """Submit one job per name from its own thread, so that short jobs fill the gaps of long ones."""
     names = list(names)

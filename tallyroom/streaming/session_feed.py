@@ -2,21 +2,32 @@
 
 ``stream_gap_sessions`` emits sessions once nothing on time can extend them.
 ``run_session_log`` keeps every event besides, and marks those that came too
-late for the stream, so that nothing is lost unseen and all sessions, closed
-and open, can be read at any time.
+late for the stream, so that nothing is lost unseen.  Each batch also leaves
+its own sessions, partitioned by user, and its newest time.  Stretches of events
+that lie within a gap of each other are one session whichever batch they came
+in, so all sessions, closed and open, are merged from the batches' sessions,
+and no event is read again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
-from ..operators.sessions import gap_sessions
+from ..operators.sessions import gap_sessions, merge_sessions
 from ..session import apply_required_conf
+from ..sources.runs import Runs
 from ..sources.store import feed_id, read_if_present
 
+#: Users are dealt to so many partitions.
+USER_PARTS = 64
+#: The runs of so many batches are merged into one.
+MERGE_EVERY = 32
+
 
 def stream_gap_sessions(events: DataFrame, user: str, ts: str, gap: str = "30 minutes", late_by: str = "1 hour") -> DataFrame:
     """Sessions that can no longer grow, from a streaming frame of events.
@@ -43,23 +54,68 @@ def stream_gap_sessions(events: DataFrame, user: str, ts: str, gap: str = "30 mi
     )
 
 
-def run_session_log(
-    events: DataFrame, root: str, checkpoint: str, user: str, ts: str, late_by: str = "1 hour"
-) -> StreamingQuery:
-    """Append what the feed holds now to the event log under ``root``, marking late events.
+def user_part(user: Column) -> Column:
+    return F.pmod(F.xxhash64(user), F.lit(USER_PARTS)).cast("int")
+
+
+def session_runs(spark: SparkSession, root: str, schema: StructType, user: str, ts: str) -> Runs:
+    """The sessions that each batch's own events make, by partition of users."""
+    kind = schema[ts].dataType
+    fields = [
+        StructField(user, schema[user].dataType),
+        StructField("session_start_at", kind),
+        StructField("session_end_at", kind),
+        StructField("total_events_count", LongType()),
+        StructField("user_part", IntegerType()),
+    ]
+    return Runs(spark, f"{root.rstrip('/')}/sessions", StructType(fields), "user_part")
+
+
+def newest_runs(spark: SparkSession, root: str, schema: StructType, ts: str) -> Runs:
+    """One row per batch: its newest time and the gap that sessions were made with."""
+    fields = [StructField("newest", schema[ts].dataType), StructField("gap", StringType()), StructField("kind", StringType())]
+    return Runs(spark, f"{root.rstrip('/')}/newest", StructType(fields), "kind")
+
+
+def absorb_events(
+    batch: DataFrame, root: str, feed: str, batch_id: int, user: str, ts: str, gap: str = "30 minutes", late_by: str = "1 hour", merge_every: int = MERGE_EVERY
+) -> None:
+    """Log a batch of events with late ones marked, and add its sessions and its newest time.
 
     An event is late if it lies before the watermark: the newest time of the
-    earlier batches less ``late_by``.  A retried batch replaces its folder.
+    other batches, of which there is a row each, less ``late_by``.  A retried
+    batch replaces what it wrote.
     """
+    spark = apply_required_conf(batch.sparkSession)
+    this, newest, sessions = (feed, batch_id), newest_runs(spark, root, batch.schema, ts), session_runs(spark, root, batch.schema, user, ts)
+    last = newest.read(without=this).agg(F.max("newest")).first()[0]
+    behind = F.col(ts) < F.lit(last) - F.expr(f"interval {late_by}") if last else F.lit(False)
+    folder = f"{root.rstrip('/')}/events/feed={feed}/batch={batch_id}"
+    batch.withColumn("late", F.coalesce(behind, F.lit(False))).write.mode("overwrite").parquet(folder)
+    written = spark.read.schema(batch.schema).parquet(folder)
+    own = gap_sessions(written.select(user, ts), user, ts, gap)
+    sessions.write(own.withColumn("user_part", user_part(F.col(user))), *this)
+    newest.write(written.agg(F.max(ts).alias("newest")).withColumns({"gap": F.lit(gap), "kind": F.lit("batch")}), *this)
+    if (batch_id + 1) % merge_every == 0:
+        sessions.merge(lambda rows: merge_sessions(rows, user, gap).withColumn("user_part", user_part(F.col(user))))
+        newest.merge(lambda rows: rows.groupBy("gap", "kind").agg(F.max("newest").alias("newest")))
+
+
+def run_session_log(
+    events: DataFrame,
+    root: str,
+    checkpoint: str,
+    user: str,
+    ts: str,
+    late_by: str = "1 hour",
+    gap: str = "30 minutes",
+    merge_every: int = MERGE_EVERY,
+) -> StreamingQuery:
+    """Absorb what the feed holds now into the log and the sessions under ``root``; one writer per root is assumed."""
 
     def absorb(batch: DataFrame, batch_id: int) -> None:
-        spark = apply_required_conf(batch.sparkSession)
-        feed = feed_id(spark, checkpoint)
-        earlier = logged_events(spark, root, batch.schema).filter((F.col("feed") != feed) | (F.col("batch") < batch_id))
-        newest = earlier.agg(F.max(ts)).first()[0]
-        behind = F.col(ts) < F.lit(newest) - F.expr(f"interval {late_by}") if newest else F.lit(False)
-        marked = batch.withColumn("late", F.coalesce(behind, F.lit(False)))
-        marked.write.mode("overwrite").parquet(f"{root.rstrip('/')}/events/feed={feed}/batch={batch_id}")
+        feed = feed_id(batch.sparkSession, checkpoint)
+        absorb_events(batch, root, feed, batch_id, user, ts, gap, late_by, merge_every)
 
     apply_required_conf(events.sparkSession)
     return (
@@ -78,10 +134,30 @@ def logged_events(spark: SparkSession, root: str, schema: StructType) -> DataFra
 
 
 def all_sessions(
-    spark: SparkSession, root: str, schema: StructType, user: str, ts: str, gap: str = "30 minutes", late_by: str = "1 hour"
+    spark: SparkSession,
+    root: str,
+    schema: StructType,
+    user: str,
+    ts: str,
+    gap: str = "30 minutes",
+    late_by: str = "1 hour",
+    users: Sequence | None = None,
 ) -> DataFrame:
-    """All gap sessions of the log, late events included; ``closed`` if nothing on time can extend one any more."""
-    events = logged_events(spark, root, schema)
-    watermark = events.agg(F.max(ts) - F.expr(f"interval {late_by}")).scalar()
-    sessions = gap_sessions(events.select(user, ts), user, ts, gap)
-    return sessions.withColumn("closed", F.col("session_end_at") + F.expr(f"interval {gap}") <= watermark)
+    """All gap sessions of the feed, late events included; ``closed`` if nothing on time can extend one any more.
+
+    With ``users``, those of these users, for which only their partitions are
+    read.  ``gap`` has to be the one that the feed was run with.
+    """
+    runs = session_runs(spark, root, schema, user, ts)
+    if users is None:
+        parts = runs.read()
+    else:
+        wanted = spark.createDataFrame([(u,) for u in users], StructType([StructField(user, schema[user].dataType)]))
+        numbers = [r[0] for r in wanted.select(user_part(F.col(user))).distinct().collect()]
+        parts = runs.read(numbers).join(F.broadcast(wanted.distinct()), user, "left_semi")
+    newest = newest_runs(spark, root, schema, ts).read()
+    other = newest.filter(F.col("gap") != gap).first()
+    if other is not None:
+        raise ValueError(f"the feed was run with a gap of {other['gap']}, not {gap}")
+    watermark = newest.agg(F.max("newest") - F.expr(f"interval {late_by}")).scalar()
+    return merge_sessions(parts, user, gap).withColumn("closed", F.col("session_end_at") + F.expr(f"interval {gap}") <= watermark)
