@@ -9,13 +9,23 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from oracle_queries import ORACLE  # noqa: E402
 from sample_feeds import DEFECTS, RAW_FEEDS, click_feed, nulled, raw_events, raw_orders, raw_users  # noqa: E402
+from tallyroom.functions import parse_instant  # noqa: E402
 from tallyroom.operators import audit, quality  # noqa: E402
-from tallyroom.operators.cohorts import cohort_curves, cohort_kpis, cohort_matrix  # noqa: E402
+from tallyroom.operators.buyers import buyer_bitmaps, count_buyers, merge_buyers  # noqa: E402
+from tallyroom.operators.cohorts import (  # noqa: E402
+    cohort_curves,
+    cohort_kpis,
+    cohort_matrix,
+    merge_masks,
+    month_masks,
+    retention_from_masks,
+)
 from tallyroom.operators.funnel import funnel_counts, funnel_summary, step_conversion  # noqa: E402
 from tallyroom.operators.revenue import (  # noqa: E402
     daily_revenue,
@@ -34,19 +44,27 @@ from tallyroom.operators.staging import (  # noqa: E402
     valid_attempts,
 )
 from tallyroom.plans.build import build_marts, read_mart, refresh_revenue, refresh_revenue_months  # noqa: E402
-from tallyroom.plans.checks import BUSINESS_CHECKS, accepted_checks, not_null_checks, unique_checks  # noqa: E402
+from tallyroom.plans.by_user import UserTables  # noqa: E402
+from tallyroom.plans.checks import BUSINESS_CHECKS, accepted_checks, not_null_checks, row_rules, unique_checks  # noqa: E402
 from tallyroom.plans.models import Models  # noqa: E402
 from tallyroom.sources import (  # noqa: E402
     RAW_EVENTS_SCHEMA,
     RAW_ORDERS_SCHEMA,
     RAW_USERS_SCHEMA,
+    TargetNotEmptyError,
     delete_folder,
+    guarded_write,
     materialise,
     publish_version,
     read_months,
     read_published,
     read_raw_csv,
+    read_raw_csv_with_rejects,
+    read_raw_parquet,
     read_raw_tables,
+    reject_counts,
+    side_by_side,
+    write_attempts,
     write_csv,
     write_months,
 )
@@ -59,6 +77,14 @@ from tallyroom.streaming import (  # noqa: E402
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
+Waves = tuple[tuple[str, ...], ...]
+
+# Models that several checked models read, in groups that derive from the ones before them.
+STAGED: Waves = (("stg_users", "stg_orders", "stg_events"),)
+SESSIONS = ("int_sessionized_events",)
+
+#: Columns of the cohort matrix: eight years of elapsed months.
+MATRIX_MONTHS = 96
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -121,7 +147,9 @@ def _curves(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _parity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    differences = quality.compare_frames(_incremental(spark, sf_dir), _revenue(spark, sf_dir), ["order_date"])
+    root = _output_root(spark, "revenue_parity")
+    versions = [materialise(mart(spark, sf_dir), f"{root}/{mart.__name__}") for mart in (_incremental, _revenue)]
+    differences = quality.compare_by_checksum(*versions, ["order_date"])
     return differences.withColumn("differs_in", F.array_join("differs_in", ","))
 
 
@@ -135,18 +163,28 @@ class _Seeded(Models):
     funnel_summary = property(lambda self: DEFECTS["funnel_summary"](Models.funnel_summary.func(self)))
 
 
-def _stored_models(spark: SparkSession, sf_dir: str, name: str) -> Models:
-    """Models that store the tables several others read, so each raw table is parsed once."""
-    root, stored = _output_root(spark, name), ("stg_users", "stg_orders", "stg_events", "int_sessionized_events")
-    keep = lambda model, df: materialise(df, f"{root}/{model}") if model in stored else df
-    return Models(lambda table: RAW_FEEDS[table](spark, sf_dir), keep=keep)
+def _stored_models(spark: SparkSession, sf_dir: str, name: str, waves: Waves, counted: quality.RuleCounts | None = None) -> Models:
+    """Models that store the tables several others read, so each raw table is parsed once; single-row checks are counted as they are written."""
+    root, stored = _output_root(spark, name), {model for wave in waves for model in wave}
+    rules = row_rules() if counted is not None else []
 
+    def keep(model: str, df: DataFrame) -> DataFrame:
+        if model not in stored:
+            return df
+        return materialise(df if counted is None else counted.watch(model, df, rules), f"{root}/{model}")
 
-def _run(select: Callable[[Models], list[quality.Check]], store_as: str = "") -> Query:
+    models = Models(lambda table: RAW_FEEDS[table](spark, sf_dir), keep=keep)
+    for wave in waves:
+        side_by_side(spark, models.table, wave)
+    return models
+
+
+def _run(select: Callable[[Models], list[quality.Check]], store_as: str = "", waves: Waves = ()) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        models = _stored_models(spark, sf_dir, store_as) if store_as else _models(spark, sf_dir)
+        counted = quality.RuleCounts()
+        models = _stored_models(spark, sf_dir, store_as, waves, counted) if store_as else _models(spark, sf_dir)
         checks = select(models)
-        return quality.run_checks({c.table: models.table(c.table) for c in checks}, checks)
+        return quality.run_checks({c.table: models.table(c.table) for c in checks}, checks, counted)
 
     return query
 
@@ -168,7 +206,7 @@ def _seeded(check: str) -> Query:
 
 def _seeded_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The null and listing checks on tables with nulls and an unlisted step."""
-    models = _stored_models(spark, sf_dir, "dq_columns_seeded")
+    models = _stored_models(spark, sf_dir, "dq_columns_seeded", (*STAGED, SESSIONS))
     checks = [*not_null_checks(), *accepted_checks()]
     tables = {c.table: nulled(c.table, models.table(c.table)) for c in checks}
     return quality.run_checks(tables, checks)
@@ -334,6 +372,113 @@ def _load_raw_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts[0].union(counts[1]).union(counts[2])
 
 
+def _buyers_per_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads leave their days' bitmaps; months are counted from these, without the orders."""
+    path = f"{_output_root(spark, 'buyers_per_month')}/days"
+    orders = stage_orders(raw_orders(spark, sf_dir))
+    for load in range(2):
+        buyer_bitmaps(orders.filter(F.pmod("order_id", F.lit(2)) == load)).write.mode("append").parquet(path)
+    days = merge_buyers(spark.read.parquet(path))
+    return count_buyers(days, F.date_format("order_date", "yyyy-MM")).withColumnRenamed("period", "month")
+
+
+def _retention_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cohorts from the month masks that two loads left."""
+    path = f"{_output_root(spark, 'cohort_retention_merged')}/masks"
+    models = _models(spark, sf_dir)
+    for load in range(2):
+        month_masks(models.stg_orders.filter(F.pmod("order_id", F.lit(2)) == load)).write.mode("append").parquet(path)
+    masks = materialise(merge_masks(spark.read.parquet(path)), f"{path}_merged")
+    return retention_from_masks(models.stg_users, masks)
+
+
+def _attempts_since_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The attempts of the last days, in a history whose ids say nothing about time."""
+    path = f"{_output_root(spark, 'attempts_since_shuffled')}/attempts"
+    attempts = valid_attempts(parse_orders(raw_orders(spark, sf_dir)))
+    mixed = F.pmod(F.col("order_id") * 2654435761, F.lit(1 << 32))
+    write_attempts(attempts.withColumn("order_id", mixed), path)
+    stored = spark.read.schema(attempts.schema).parquet(path)
+    since = stored.agg(F.date_sub(F.max("order_date"), 2)).first()[0]
+    return _civil(best_attempts_since(stored, since))
+
+
+def _by_user(spark: SparkSession, sf_dir: str, name: str) -> UserTables:
+    models = _models(spark, sf_dir)
+    return UserTables(models.stg_users, models.stg_orders, _output_root(spark, name), buckets=8)
+
+
+def _broken_orders(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """An extract of orders in which some lines are broken, loaded: good rows and rejects."""
+    path = f"{_output_root(spark, name)}/lines"
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in RAW_ORDERS_SCHEMA.names]
+    kind = lambda *k: F.pmod("order_id", F.lit(50)).isin(*k)
+    text[0] = F.when(kind(17), "").when(kind(19), F.concat(F.lit("o"), text[0])).otherwise(text[0])
+    text[1] = F.when(kind(13), F.concat(F.lit("u"), text[1])).otherwise(text[1])
+    text[3] = F.when(kind(11, 19), "n/a").otherwise(text[3])
+    line = F.when(kind(3), F.concat_ws(",", *text[:-1])).when(kind(7), F.concat_ws(",", *text, F.lit("more")))
+    raw_orders(spark, sf_dir).select(line.otherwise(F.concat_ws(",", *text)).alias("value")).write.text(path)
+    return read_raw_csv_with_rejects(spark, path, RAW_ORDERS_SCHEMA, header=False)
+
+
+def _guarded_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load does to a target: the first write, a second one, a forced one, and one to a target that isn't allowed."""
+    target = f"{_output_root(spark, 'guarded_load')}/orders"
+    orders = raw_orders(spark, sf_dir)
+    half = orders.filter("order_id % 2 = 0")
+    steps = [("first", half, {}), ("second", orders, {}), ("forced", orders, {"replace": True}), ("elsewhere", half, {"allowed_targets": ["raw"], "replace": True})]
+    outcomes = []
+    for number, (step, rows, options) in enumerate(steps, 1):
+        try:
+            guarded_write(rows, target, **options)
+            outcome = "written"
+        except TargetNotEmptyError:
+            outcome = "refused"
+        except ValueError:
+            outcome = "not allowed"
+        outcomes.append((number, step, outcome, spark.read.parquet(target).count()))
+    return spark.createDataFrame(outcomes, "number int, step string, outcome string, row_count long")
+
+
+def _parquet_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders staged from Parquet that names the amount its own way and has columns that aren't wanted."""
+    path = f"{_output_root(spark, 'load_parquet_orders')}/orders"
+    upstream = raw_orders(spark, sf_dir).withColumnsRenamed({"order_amount": "amount_total"}).withColumn("channel", F.lit("web"))
+    upstream.write.parquet(path)
+    return _civil(stage_orders(read_raw_parquet(spark, path, RAW_ORDERS_SCHEMA.names, {"amount_total": "order_amount"})))
+
+
+def _exact_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order times read by one exact pattern."""
+    orders = raw_orders(spark, sf_dir)
+    exact = parse_instant(F.col("order_date"), orders.schema["order_date"].dataType, exact_format="yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return _civil(orders.select("order_id", exact.alias("ordered_at"), "order_amount"))
+
+
+def _models_as_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report in SQL over the models' views."""
+    _models(spark, sf_dir).register_views("shop_")
+    return spark.sql(
+        """
+        select u.country, count(*) as users, count_if(f.has_purchased) as buyers, sum(f.total_lifetime_value) as lifetime_value
+        from shop_stg_users u join shop_int_user_first_purchase f using (user_id)
+        group by u.country
+        """
+    )
+
+
+def _report_order(mart: str, order_by: tuple[str, ...], name: str) -> Query:
+    """A published mart with each row's place in the report."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = _output_root(spark, name)
+        build_marts(spark, {table: feed(spark, sf_dir) for table, feed in RAW_FEEDS.items()}, root)
+        ordered = read_mart(spark, root, mart, order_by=order_by).withColumn("at", F.monotonically_increasing_id())
+        return ordered.withColumn("position", F.row_number().over(Window.orderBy("at"))).drop("at")
+
+    return query
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Daily revenue from raw orders: parse, filter, resolve retries, aggregate."""
     return _revenue(spark, SMOKE_DIR)
@@ -374,11 +519,11 @@ def _core_queries() -> dict[str, Query]:
         "revenue_kpis": lambda s, d: revenue_kpis(_revenue(s, d)),
         "latest_active_day": lambda s, d: latest_active_day(_revenue(s, d)),
         "cohort_retention": _retention,
-        "cohort_matrix": lambda s, d: cohort_matrix(_retention(s, d)),
+        "cohort_matrix": lambda s, d: cohort_matrix(_retention(s, d), months=MATRIX_MONTHS),
         "cohort_curves": _curves,
         "cohort_kpis": lambda s, d: cohort_kpis(_retention(s, d)),
-        "dq_unique": _run(unique_checks, "dq_unique"),
-        "dq_not_null": _run(lambda _models: not_null_checks(), "dq_not_null"),
+        "dq_unique": _run(unique_checks, "dq_unique", STAGED),
+        "dq_not_null": _run(lambda _models: not_null_checks(), "dq_not_null", (*STAGED, SESSIONS)),
         "dq_accepted": _run(lambda _models: accepted_checks()),
         "dq_session_duration": _business("session_duration"),
         "dq_causality": _business("purchase_after_signup"),
@@ -427,6 +572,19 @@ def _core_queries() -> dict[str, Query]:
         "deletion_recovery": _deletion_recovery,
         "attempts_since": _attempts_since,
         "load_raw_tables": _load_raw_tables,
+        "buyers_per_month": _buyers_per_month,
+        "cohort_retention_merged": _retention_merged,
+        "attempts_since_shuffled": _attempts_since_shuffled,
+        "first_purchase_by_user": lambda s, d: _by_user(s, d, "first_purchase_by_user").first_purchase(),
+        "cohort_retention_by_user": lambda s, d: _by_user(s, d, "cohort_retention_by_user").retention(),
+        "load_broken_orders": lambda s, d: _broken_orders(s, d, "load_broken_orders")[0],
+        "load_broken_orders_rejects": lambda s, d: reject_counts(_broken_orders(s, d, "load_broken_orders_rejects")[1]),
+        "guarded_load": _guarded_load,
+        "load_parquet_orders": _parquet_orders,
+        "exact_order_times": _exact_times,
+        "models_as_views": _models_as_views,
+        "report_order_cohorts": _report_order("monthly_cohort_retention", ("cohort_month", "month_number"), "report_order_cohorts"),
+        "report_order_funnel": _report_order("funnel_summary", ("funnel_step_order",), "report_order_funnel"),
         "gap_session_events": lambda s, d: assign_sessions(click_feed(s, d), "user_id", "ts"),
     }
 

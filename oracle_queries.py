@@ -16,20 +16,31 @@ UNIQUE_COLUMN = {
     "fct_revenue_trends": "order_date",
 }
 NOT_NULL_COLUMNS = {
-    "stg_users": "user_id email signup_at signup_date".split(),
-    "stg_orders": "order_id user_id ordered_at order_date order_value order_status".split(),
-    "stg_events": "event_id user_id session_id event_name event_at event_date".split(),
-    "int_user_first_purchase": (
-        "user_id signup_at signup_date total_orders_count total_lifetime_value has_purchased".split()
-    ),
+    "stg_users": ("user_id", "email", "signup_at", "signup_date"),
+    "stg_orders": ("order_id", "user_id", "ordered_at", "order_date", "order_value", "order_status"),
+    "stg_events": ("event_id", "user_id", "session_id", "event_name", "event_at", "event_date"),
+    "int_user_first_purchase": ("user_id", "signup_at", "signup_date", "total_orders_count", "total_lifetime_value", "has_purchased"),
     "int_sessionized_events": (
-        "session_id user_id session_date session_start_at session_end_at session_duration_seconds total_events_count "
-        "page_view_count add_to_cart_count purchase_count has_page_view has_cart_add has_purchase has_sequential_cart "
-        "has_sequential_purchase furthest_funnel_step"
-    ).split(),
-    "monthly_cohort_retention": "cohort_month cohort_size month_number active_users retention_pct".split(),
-    "funnel_summary": "funnel_step_order funnel_step session_count step_conversion_pct overall_conversion_pct".split(),
-    "fct_revenue_trends": "order_date total_revenue order_count distinct_user_count average_order_value".split(),
+        "session_id",
+        "user_id",
+        "session_date",
+        "session_start_at",
+        "session_end_at",
+        "session_duration_seconds",
+        "total_events_count",
+        "page_view_count",
+        "add_to_cart_count",
+        "purchase_count",
+        "has_page_view",
+        "has_cart_add",
+        "has_purchase",
+        "has_sequential_cart",
+        "has_sequential_purchase",
+        "furthest_funnel_step",
+    ),
+    "monthly_cohort_retention": ("cohort_month", "cohort_size", "month_number", "active_users", "retention_pct"),
+    "funnel_summary": ("funnel_step_order", "funnel_step", "session_count", "step_conversion_pct", "overall_conversion_pct"),
+    "fct_revenue_trends": ("order_date", "total_revenue", "order_count", "distinct_user_count", "average_order_value"),
 }
 
 # Name -> (tables it reads, definition).
@@ -711,10 +722,9 @@ ORACLE: dict[str, str] = {
     ),
     "cohort_matrix": sql(
         ("retention",),
-        """
-        , cells as (select cohort_month, 'm' || month_number as month, retention_pct from retention)
-        pivot cells on month using first(retention_pct) group by cohort_month
-        """,
+        "select cohort_month, "
+        + ", ".join(f"max(case when month_number = {k} then retention_pct end) as m{k}" for k in range(96))
+        + " from retention group by cohort_month",
     ),
     "cohort_curves": sql(
         ("retention",),
@@ -950,6 +960,66 @@ ORACLE: dict[str, str] = {
         where order_date >= (select max(order_date) - 30 from tried_earlier)
         """,
     ),
+    "buyers_per_month": sql(
+        ("completed",),
+        "select strftime(order_date, '%Y-%m') as month, count(distinct user_id) as buyers from completed group by 1",
+    ),
+    "cohort_retention_merged": sql(
+        ("retention",), "select cohort_month, cohort_size, month_number, active_users, retention_pct from retention"
+    ),
+    "attempts_since_shuffled": sql(
+        ("stg_orders",),
+        """
+        select * replace ((order_id * 2654435761) % 4294967296 as order_id) from stg_orders
+        where order_date >= (select max(order_date) - 2 from stg_orders)
+        """,
+    ),
+    "first_purchase_by_user": sql(("first_purchase",), f"select {FIRST_PURCHASE_COLUMNS} from first_purchase"),
+    "cohort_retention_by_user": sql(
+        ("retention",), "select cohort_month, cohort_size, month_number, active_users, retention_pct from retention"
+    ),
+    "load_broken_orders": sql(
+        ("raw_orders",),
+        """
+        select if(order_id % 50 = 17, null, order_id) as order_id, user_id, order_date, order_amount, order_status
+        from raw_orders where order_id % 50 not in (3, 7, 11, 13, 19)
+        """,
+    ),
+    "load_broken_orders_rejects": sql(
+        ("raw_orders",),
+        """
+        select case order_id % 50 when 11 then 'order_amount' when 13 then 'user_id' when 19 then 'order_id+order_amount' else 'fields' end as reason,
+               count(*) as row_count
+        from raw_orders where order_id % 50 in (3, 7, 11, 13, 19) group by 1
+        """,
+    ),
+    "guarded_load": sql(
+        ("raw_orders",),
+        """
+        select number, step, outcome, if(number < 3, (select count(*) from raw_orders where order_id % 2 = 0), (select count(*) from raw_orders)) as row_count
+        from (values (1, 'first', 'written'), (2, 'second', 'refused'), (3, 'forced', 'written'), (4, 'elsewhere', 'not allowed')) as steps(number, step, outcome)
+        """,
+    ),
+    "load_parquet_orders": sql(("stg_orders",), "select * from stg_orders"),
+    "exact_order_times": sql(("order_rows",), "select order_id, ordered_ts as ordered_at, order_amount from order_rows"),
+    "models_as_views": sql(
+        ("stg_users", "first_purchase"),
+        """
+        select u.country, count(*) as users, count(*) filter (f.has_purchased) as buyers,
+               cast(sum(f.total_lifetime_value) as decimal(34,2)) as lifetime_value
+        from stg_users u join first_purchase f using (user_id) group by u.country
+        """,
+    ),
+    "report_order_cohorts": sql(
+        ("retention",),
+        """
+        select cohort_month, cohort_size, month_number, active_users, retention_pct,
+               cast(row_number() over (order by cohort_month, month_number) as integer) as position from retention
+        """,
+    ),
+    "report_order_funnel": sql(
+        ("funnel",), f"select {FUNNEL}, cast(row_number() over (order by funnel_step_order) as integer) as position from funnel"
+    ),
     "load_raw_tables": sql(
         ("raw_users", "raw_orders", "raw_events"),
         """

@@ -9,6 +9,8 @@ from ..functions import month_number, month_start, percent
 from .staging import COMPLETED
 
 EPOCH_DAY = "1970-01-01"
+#: Months in one word of a user's stored months.
+WORD_MONTHS = 60
 
 
 def user_cohorts(users: DataFrame) -> DataFrame:
@@ -57,6 +59,46 @@ def cohort_activity(users: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
+def month_masks(orders: DataFrame) -> DataFrame:
+    """``user_id``, ``word``, ``months``: a bit per month in which a user bought, 60 months to a word; a row or a few per user.
+
+    The row without a user holds, as ``last_day``, the latest order of any
+    status; it is what a horizon needs of the orders.
+    """
+    month = F.col("order_date")
+    index = (F.year(month) - 1970) * 12 + F.month(month) - 1
+    bought = orders.filter((F.col("order_status") == COMPLETED) & F.col("user_id").isNotNull() & month.isNotNull())
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(index, F.lit(WORD_MONTHS)))
+    masks = bought.select("user_id", F.floor(index / WORD_MONTHS).cast("int").alias("word"), bit.alias("months"))
+    masks = masks.groupBy("user_id", "word").agg(F.bit_or("months").alias("months"))
+    return masks.unionByName(orders.agg(F.max("order_date").alias("last_day")), allowMissingColumns=True)
+
+
+def merge_masks(masks: DataFrame) -> DataFrame:
+    """The masks of several loads as one."""
+    return masks.groupBy("user_id", "word").agg(F.bit_or("months").alias("months"), F.max("last_day").alias("last_day"))
+
+
+def _mask_activity(users: DataFrame, masks: DataFrame) -> DataFrame:
+    """Buyers per cohort and calendar month from masks; users and months are unique, so rows are counted."""
+    set_bit = lambda i: F.call_function("shiftright", "months", i).bitwiseAND(F.lit(1).cast("long")) == 1
+    bits = F.filter(F.sequence(F.lit(0), F.lit(WORD_MONTHS - 1)), set_bit)
+    indexes = F.transform(bits, lambda i: i + F.col("word") * WORD_MONTHS)
+    months = masks.filter(F.col("user_id").isNotNull()).select("user_id", F.explode(indexes).alias("index"))
+    named = F.make_date(F.floor(F.col("index") / 12).cast("int") + 1970, F.pmod("index", F.lit(12)) + 1, F.lit(1))
+    return (
+        months.join(user_cohorts(users), "user_id")
+        .groupBy("cohort_month", named.alias("activity_month"))
+        .agg(F.count(F.lit(1)).alias("active_users"))
+    )
+
+
+def retention_from_masks(users: DataFrame, masks: DataFrame) -> DataFrame:
+    """``cohort_retention`` from stored months; the orders are not read."""
+    orders_seen = masks.select(F.col("last_day").alias("order_date"))
+    return retention_from_activity(users, _mask_activity(users, masks), last_observed_day(orders_seen, users))
+
+
 def cohort_retention(users: DataFrame, orders: DataFrame, horizon_users: DataFrame | None = None) -> DataFrame:
     """Share of each signup cohort that bought in each elapsed month.
 
@@ -65,10 +107,15 @@ def cohort_retention(users: DataFrame, orders: DataFrame, horizon_users: DataFra
     purchase are present with 0; months after the horizon are absent.
     """
     observed = users if horizon_users is None else users.select("signup_date").unionAll(horizon_users.select("signup_date"))
+    return retention_from_activity(users, cohort_activity(users, orders), last_observed_day(orders, observed))
+
+
+def retention_from_activity(users: DataFrame, activity: DataFrame, last_day: DataFrame) -> DataFrame:
+    """Retention from buyers per cohort and calendar month and from the last day observed."""
     sizes = user_cohorts(users).groupBy("cohort_month").agg(F.count("user_id").alias("cohort_size"))
-    spine = month_spine(sizes, last_observed_day(orders, observed))
+    spine = month_spine(sizes, last_day)
     active = F.coalesce("active_users", F.lit(0))
-    return spine.join(cohort_activity(users, orders), ["cohort_month", "activity_month"], "left").select(
+    return spine.join(activity, ["cohort_month", "activity_month"], "left").select(
         "cohort_month",
         "cohort_size",
         "month_number",

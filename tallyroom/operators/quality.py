@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import month_number, month_start
@@ -191,19 +191,54 @@ def _result_rows(counted: DataFrame, checks: Sequence[Check], columns: Sequence[
     return counted.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) as (check, table, column, violations, passed)")
 
 
-def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+class RuleCounts:
+    """Counts of broken row rules, taken in the jobs that write the tables.
+
+    ``watch`` belongs directly before the write: there the counts come from the
+    job's last stage, whose tasks count once each, also when some are repeated.
+    """
+
+    def __init__(self) -> None:
+        self._observed: dict[str, tuple[list[RowRule], Observation]] = {}
+
+    def watch(self, table: str, df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+        """``df``, whose next action also counts its row rules among ``checks``."""
+        rules = [c for c in checks if isinstance(c, RowRule) and c.table == table]
+        if not rules:
+            return df
+        observation = Observation()
+        self._observed[table] = (rules, observation)
+        return df.observe(observation, *[F.count_if(rule.violated).alias(f"rule_{i}") for i, rule in enumerate(rules)])
+
+    def __contains__(self, table: str) -> bool:
+        return table in self._observed
+
+    def results(self, spark: SparkSession, table: str, checks: Sequence[Check]) -> DataFrame:
+        """One row for each of the table's row rules among ``checks``; waits for the action that counts."""
+        rules, observation = self._observed[table]
+        counts = {(r.check, r.column): observation.get[f"rule_{i}"] for i, r in enumerate(rules)}
+        asked = [c for c in checks if isinstance(c, RowRule) and c.table == table]
+        columns = [f"rule_{i}" for i in range(len(asked))]
+        counted = spark.range(1).select(*[F.lit(counts[c.check, c.column]).cast("long").alias(n) for c, n in zip(asked, columns)])
+        return _result_rows(counted, asked, columns)
+
+
+def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check], counted: RuleCounts | None = None) -> DataFrame:
     """One row per check: check, table, column, violations, passed.
 
     All row rules of a table are counted in one scan without a shuffle of its
-    rows; every other check adds its own plan.
+    rows, or not again where ``counted`` has them; every other check adds its
+    own plan.
     """
     results = []
     for table, df in tables.items():
         rules = [c for c in checks if isinstance(c, RowRule) and c.table == table]
-        if rules:
+        if rules and counted is not None and table in counted:
+            results.append(counted.results(df.sparkSession, table, rules))
+        elif rules:
             columns = [f"rule_{i}" for i in range(len(rules))]
-            counted = df.agg(*[F.count_if(rule.violated).alias(c) for rule, c in zip(rules, columns)])
-            results.append(_result_rows(counted, rules, columns))
+            totals = df.agg(*[F.count_if(rule.violated).alias(c) for rule, c in zip(rules, columns)])
+            results.append(_result_rows(totals, rules, columns))
     for check in checks:
         if isinstance(check, RowsCheck):
             results.append(_result_rows(check.rows.agg(F.count(F.lit(1)).alias("n")), [check], ["n"]))
@@ -212,6 +247,53 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Data
     return reduce(DataFrame.unionAll, results)
 
 
+#: Buckets of the checksum tree at each of its two levels.
+FANOUT = 256
+
+
+def _with_buckets(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with the two buckets of their key and a hash of all values, in which a null is unlike any value and has its column."""
+    key = F.xxhash64(*keys)
+    columns = sorted(df.columns)
+    row = F.xxhash64(*[F.col(c).isNull() for c in columns], *columns)
+    return df.withColumns(
+        {
+            "__upper": F.pmod(key, F.lit(FANOUT)).cast("int"),
+            "__lower": F.pmod(F.shiftright(key, 16), F.lit(FANOUT)).cast("int"),
+            "__row": row,
+        }
+    )
+
+
+def differing_buckets(left: DataFrame, right: DataFrame, buckets: Sequence[str]) -> DataFrame:
+    """Buckets whose number of rows, xor or sum of row hashes differ between two tables with buckets."""
+
+    def checksums(df: DataFrame, side: int) -> DataFrame:
+        halves = F.sum(F.col("__row").bitwiseAND(F.lit(0xFFFFFFFF))).alias("total")
+        return df.groupBy(*buckets).agg(F.count(F.lit(1)).alias("n"), F.bit_xor("__row").alias("xor"), halves).withColumn("side", F.lit(side))
+
+    both = checksums(left, 0).unionByName(checksums(right, 1)).groupBy(*buckets)
+    same = [(F.min(c) == F.max(c)) for c in ("n", "xor", "total")]
+    return both.agg((F.count(F.lit(1)) == 2).alias("both"), reduce(Column.__and__, same).alias("same")).filter("not (both and same)").select(*buckets)
+
+
+def compare_by_checksum(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``compare_frames`` of the rows in buckets of keys whose checksums differ.
+
+    Equal tables cost one aggregation each; where few buckets differ, only
+    their rows are read into finer buckets, and only those of the finer ones
+    that differ are joined.  What is gathered are at most 256 bucket numbers.
+    """
+    a, b = _with_buckets(left, keys), _with_buckets(right, keys)
+    upper = [r[0] for r in differing_buckets(a, b, ["__upper"]).collect()]
+    a, b = (df.filter(F.col("__upper").isin(*upper)) for df in (a, b))
+    if not upper:
+        return compare_frames(left.filter(F.lit(False)), right.filter(F.lit(False)), keys)
+    lower = differing_buckets(a, b, ["__upper", "__lower"])
+    a, b = (df.join(lower, ["__upper", "__lower"], "left_semi").drop("__upper", "__lower", "__row") for df in (a, b))
+    return compare_frames(a, b, keys)
+
+
 def compare_frames(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows that differ between two versions of a table, with the columns that do.
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.quality import run_checks
+from ..operators.quality import RuleCounts, run_checks
 from ..operators.revenue import LOOKBACK_DAYS, daily_revenue, lookback_start, replace_slice, revenue_slice
 from ..operators.staging import best_attempts, best_attempts_since
 from ..session import apply_required_conf
@@ -20,7 +20,7 @@ from ..sources.store import (
     side_by_side,
     write_months,
 )
-from .checks import standard_checks
+from .checks import row_rules, standard_checks
 from .models import MODEL_NAMES, Models
 
 MARTS = ("fct_revenue_trends", "monthly_cohort_retention", "funnel_summary")
@@ -28,9 +28,12 @@ CHECK_RESULTS = "dq_results"
 
 # Read by several models, so computed once and stored.
 SHARED_MODELS = ("stg_users", "stg_orders")
-# Read again by the checks; the second group derives from the first.
-CHECKED_BASE_MODELS = ("int_sessionized_events",)
-CHECKED_DERIVED_MODELS = ("int_user_first_purchase", *MARTS)
+# Read again by the checks; each group derives from the ones before it.
+CHECKED_MODELS = (
+    (*SHARED_MODELS, "stg_events"),
+    ("int_sessionized_events", "int_user_first_purchase", "fct_revenue_trends", "monthly_cohort_retention"),
+    ("funnel_summary",),
+)
 
 
 def build_marts(
@@ -46,27 +49,31 @@ def build_marts(
 
     Tables that several models read are written once to shared storage and
     read back.  ``with_checks`` also publishes the check results as a table;
+    checks of single rows are counted by the jobs that write the tables.
     ``extra_tables`` publishes further models by name.
     """
     apply_required_conf(spark)
-    waves = [SHARED_MODELS]
-    if with_checks:
-        waves = [(*SHARED_MODELS, *CHECKED_BASE_MODELS), CHECKED_DERIVED_MODELS]
+    waves = CHECKED_MODELS if with_checks else (SHARED_MODELS,)
     stored = {name for wave in waves for name in wave}
+    counted, rules = RuleCounts(), row_rules() if with_checks else []
     with scratch_dir(spark, root) as scratch:
+
+        def keep(name: str, df: DataFrame) -> DataFrame:
+            return materialise(counted.watch(name, df, rules), f"{scratch}/{name}") if name in stored else df
+
         models = Models(
             raw.__getitem__,
             existing_revenue=None if full_refresh else read_published(spark, root, "fct_revenue_trends"),
             lookback_days=lookback_days,
             full_refresh=full_refresh,
-            keep=lambda name, df: materialise(df, f"{scratch}/{name}") if name in stored else df,
+            keep=keep,
         )
         for wave in waves:
             side_by_side(spark, models.table, wave)
         outputs = {name: models.table(name) for name in (*MARTS, *extra_tables)}
         if with_checks:
             checked = {name: models.table(name) for name in MODEL_NAMES}
-            outputs[CHECK_RESULTS] = run_checks(checked, standard_checks(models))
+            outputs[CHECK_RESULTS] = run_checks(checked, standard_checks(models), counted)
         return publish_version(outputs, root)
 
 
