@@ -45,6 +45,8 @@ ORC_OPTIONS = {
 _MARKS = "!\"#$%&()*+,-./:;=?@[]^_`{}~"
 _SIMPLE = re.compile(f"[A-Za-z{re.escape(_MARKS)}]+")
 _RUNS = re.compile("[a-z]+|[^a-z]+")
+#: Characters that are looked at one by one, so that words of them alone need no look at their normal form.
+_COMMON = range(0x21, 0x530)
 
 #: What a worker remembers at most; beyond it starts afresh.
 WORDS_KEPT, PIECES_KEPT = 1_000_000, 400_000
@@ -55,7 +57,8 @@ class TextTokenizer:
 
     If the tokenizer drops blanks and never looks across them, words are encoded
     once and remembered, and so are the pieces its pre-tokenizer makes of them;
-    this gives the same ids as encoding the whole text.
+    this gives the same ids as encoding the whole text.  A word whose normal
+    form holds a blank, as one with a no-break space does, is left to the library.
     """
 
     PROBE = "Ab  c\n\td,e É1 it's\r\nx\x0b.y\x0c!! 12 ß I'LL\u00a0nbsp e\u0301 日本 a<|endoftext|>b 🙂🙂 ΑΣ"
@@ -103,8 +106,22 @@ class TextTokenizer:
         lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // array("i").itemsize
         return np.frombuffer(b"".join(ids), np.intc).astype(np.int32), lengths
 
+    @cached_property
+    def tame(self) -> re.Pattern:
+        """Words of characters whose normal form is neither empty nor holds a blank; so neither is theirs, nor does it."""
+        normal = self.library.normalizer.normalize_str
+        good = [chr(c) for c in _COMMON if normal(chr(c)).split() == [normal(chr(c))]]
+        return re.compile(f"[{re.escape(''.join(good))}]+")
+
+    def _holds_together(self, word: str) -> bool:
+        """Whether a word stays one word when it is normalised."""
+        if self.tame.fullmatch(word):
+            return True
+        normal = self.library.normalizer.normalize_str(word)
+        return normal.split() == [normal]
+
     def _split(self, words: list[str]) -> tuple[Sequence[str], np.ndarray]:
-        """The library's pieces of words without blanks, and each piece's word."""
+        """The library's pieces of words that hold together, and each piece's word."""
         normal = " ".join(words)
         normal = self.library.normalizer.normalize_str(normal)
         pieces, places = zip(*self.library.pre_tokenizer.pre_tokenize_str(normal), strict=True)
@@ -125,7 +142,7 @@ class TextTokenizer:
         if self.simple_marks:
             kind[[bool(_SIMPLE.fullmatch(w)) for w in words]] = 0
         for i in np.flatnonzero(kind).tolist():
-            if len(words[i].split()) != 1 or any(s in words[i] for s in self.special):
+            if not self._holds_together(words[i]) or any(s in words[i] for s in self.special):
                 kind[i] = 2
         simple, plain, odd = ([words[i] for i in np.flatnonzero(kind == k).tolist()] for k in (0, 1, 2))
         runs = [_RUNS.findall(w.lower()) for w in simple]
