@@ -6,10 +6,12 @@ removed, all but in the first document that has them; a document that loses
 most of its words this way is rejected.  Basic per-document rules come first.
 
 Defined results: a null text has no words and fails the base rules, as does an
-empty one.  A null source is a host of its own.  A null ``doc_id`` is never the
-first document of a line.  Equal texts count as one document, so exact copies
-do not make each other's lines frequent.  Repeated rows each get a row.  Extra
-columns are ignored, whatever their names; an empty table gives an empty result.
+empty one.  A null source is a host of its own.  A document is an id with its
+text: exact copies under ids of their own count each, repeated rows once, and
+null ids with one text once.  A null ``doc_id`` is never the first document of a
+line; rows that share the smallest id are all the first.  Texts are read whole,
+however long.  Repeated rows each get a row.  Extra columns are ignored,
+whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -116,10 +118,10 @@ def line_verdicts(
         "row", "doc_id", "host", "text_hash", F.inline(F.arrays_zip(F.col("lines").alias("line"), F.col("line_words").alias("words")))
     ).toDF("row", "doc_id", "host", "text_hash", "line", "words")
     frequent = (
-        lines.groupBy("host", "line", "text_hash")
-        .agg(F.min("doc_id").alias("first_doc"))
+        lines.select("host", "line", "doc_id", "text_hash")
+        .distinct()
         .groupBy("host", "line")
-        .agg(F.count("*").alias("documents"), F.min("first_doc").alias("first_doc"))
+        .agg(F.count("*").alias("documents"), F.min("doc_id").alias("first_doc"))
         .filter(F.col("documents") > max_documents)
         .drop("documents")
     )

@@ -29,12 +29,10 @@ with sized as (
   select s.*, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size as extra,
          coalesce(sum(size) over (partition by s.source order by key rows between unbounded preceding and 1 preceding), 0) as before
   from sized s join plan p on s.source is not distinct from p.source
-), cuts as (
-  select source, max(key) as cut from placed where 2 * before + size <= 2 * extra group by source
 )
 select doc_id, cast(size as bigint) as size, source_size, target,
-       cast(size * (whole + case when key <= cut then 1 else 0 end) as bigint) as taken
-from placed left join cuts on placed.source is not distinct from cuts.source
+       cast(size * (whole + case when 2 * before + size <= 2 * extra then 1 else 0 end) as bigint) as taken
+from placed
 """
 
 LINE_QUALITY = f"""
@@ -56,7 +54,7 @@ with docs as (
 ), duplicates as (
   select row, count(*) - count(distinct line) as n_dup_lines from lines where len(words) > 0 group by row
 ), frequent as (
-  select source, normal, min(doc_id) as first_doc from carried group by source, normal having count(distinct text) > 20
+  select source, normal, min(doc_id) as first_doc from carried group by source, normal having count(distinct concat(cast(doc_id as varchar), '|', text)) > 20
 ), lost as (
   select row, sum(n) as lost
   from carried c join frequent f on c.source is not distinct from f.source and c.normal = f.normal
