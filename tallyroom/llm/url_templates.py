@@ -1,11 +1,13 @@
 """URL filters: fixed rules first, then templates of a host's paths judged by labelled purity.
 
-For each host the paths form a tree.  Level by level a segment stays literal
-only if enough pages have it and its share of bad labels differs significantly
-from that of its siblings together; variable segments (ids, file names) and
-branches that behave alike become the wildcard.  A path's template is what is
-left of it.  A template with labels is rejected if its share of bad labels,
-smoothed towards the share of all labels, reaches the limit.
+For each host the paths form a tree.  Level by level segments that are variable,
+many values of one shape with digits, become the wildcard, and so do those with
+few pages and those whose share of bad labels does not differ significantly from
+that of all siblings together.  Segments that differ are ordered by their share,
+and neighbours that do not differ from each other by a two-sample test are
+merged into one branch.  A path's template names the branch of each segment.  A
+template with labels is rejected if its share of bad labels, smoothed towards
+the share of all labels, reaches the limit.
 
 All of it is grouped counts and joins; a host with any number of pages is
 combined before each shuffle, and its rows are split at run time in joins.
@@ -24,6 +26,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tallyroom.operators.hot_keys import join_per_key
 
@@ -38,9 +41,11 @@ RULES = (
     ("net", "/fr/", "block"),
 )
 
-#: Levels that ``verdict_sql`` spells out; the operator has no such bound.
+#: Levels that ``verdict_sql`` spells out, below which it has wildcards only; the operator has no such bound.
 MAX_DEPTH = 6
 LEAST_PAGES = 10
+#: Segments of one shape are variable if a node has so many of them.
+VARIABLE_VALUES = 10
 #: A branch differs from its siblings beyond this many standard deviations.
 DEVIATIONS = 2.0
 #: Weight of the share of all labels in a template's share.
@@ -79,20 +84,57 @@ def page_labels(pages: DataFrame, labels: DataFrame) -> DataFrame:
     return join_per_key(known, per_doc, ["doc"], "left").drop("doc")
 
 
+def shape_of(segment: Column) -> Column:
+    """A segment with each run of digits as ``#``, which no segment has."""
+    return F.regexp_replace(segment, "[0-9]+", "#")
+
+
+def _branch_names(branches: DataFrame, nodes: DataFrame, least_pages: int, deviations: float) -> DataFrame:
+    """The branch name of each segment (``host``, ``template``, ``segment``) of ``nodes`` that does not become the wildcard.
+
+    Segments are ordered by their share of bad labels in hundredths, so that a
+    node has at most 101 places to compare, whatever its number of segments.
+    """
+    node = ["host", "template"]
+    shaped = branches.withColumn("shape", shape_of(F.col("segment")))
+    variable = shaped.filter(F.col("shape").contains("#")).groupBy(*node, "shape").agg(F.count("*").alias("values")).filter(F.col("values") >= VARIABLE_VALUES)
+    share = F.col("all_bad_pages") / F.col("all_labelled")
+    excess = F.col("bad_pages") - F.col("labelled") * share
+    differs = excess * excess > deviations**2 * F.col("labelled") * share * (1 - share)
+    apart = join_per_key(shaped.filter(F.col("pages") >= least_pages), nodes, node).filter(differs)
+    apart = join_per_key(apart, variable.drop("values"), [*node, "shape"], "left_anti")
+    apart = apart.withColumn("place", F.floor(100 * F.col("bad_pages") / F.col("labelled")))
+    places = apart.groupBy(*node, "place").agg(
+        F.sum("labelled").alias("labelled"), F.sum("bad_pages").alias("bad_pages"), F.min("segment").alias("first"), F.count("*").alias("members")
+    )
+    in_order = Window.partitionBy(*node).orderBy("place")
+    other, other_bad = F.lag("labelled").over(in_order), F.lag("bad_pages").over(in_order)
+    gap = F.col("bad_pages") / F.col("labelled") - other_bad / other
+    pooled = (F.col("bad_pages") + other_bad) / (F.col("labelled") + other)
+    parts = gap * gap > deviations**2 * pooled * (1 - pooled) * (1 / F.col("labelled") + 1 / other)
+    classed = places.withColumn("parts", F.when(parts, 1).otherwise(0)).withColumn(
+        "class", F.sum("parts").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    )
+    in_class = Window.partitionBy(*node, "class")
+    first, members = F.min("first").over(in_class), F.sum("members").over(in_class)
+    name = F.when(members == 1, first).otherwise(F.concat(first, F.lit("#+"), (members - 1).cast("string")))
+    named = classed.withColumn("name", name).select(*node, "place", "name")
+    return join_per_key(apart.select(*node, "segment", "place"), named, [*node, "place"]).select(*node, "segment", "name")
+
+
 def path_templates(pages: DataFrame, least_pages: int = LEAST_PAGES, deviations: float = DEVIATIONS) -> DataFrame:
     """Rows of ``page_id``, ``host``, ``path``, ``bad`` with their ``template``.
 
-    A branch can stay literal only below a node with at least ``least_pages``
-    deeper pages of both labels, and what lies below other nodes is no such node
-    either: without any, all further segments are wildcards.
+    Branches can part only below a node with at least ``least_pages`` deeper
+    pages of both labels, and what lies below other nodes is no such node
+    either: rows there have wildcards to their end and are done with.
     """
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
     rows, ended, level = settle(pages.select("page_id", "host", "path", "bad", segments.alias("segments"), F.lit("").alias("template"))), [], 0
     counts = (F.count("*").alias("pages"), F.count("bad").alias("labelled"), F.sum(F.coalesce("bad", F.lit(0))).alias("bad_pages"))
     while True:
-        deeper = F.size("segments") > level
-        at_level = rows.filter(deeper).withColumn("segment", F.get("segments", F.lit(level)))
-        branches = at_level.groupBy("host", "template", "segment").agg(*counts)
+        at_level = rows.withColumn("segment", F.get("segments", F.lit(level)))
+        branches = at_level.filter(F.col("segment").isNotNull()).groupBy("host", "template", "segment").agg(*counts)
         sums = (F.sum(c).alias(f"all_{c}") for c in ("pages", "labelled", "bad_pages"))
         nodes = settle(
             branches.groupBy("host", "template")
@@ -101,22 +143,23 @@ def path_templates(pages: DataFrame, least_pages: int = LEAST_PAGES, deviations:
         )
         if nodes.isEmpty():
             break
-        share = F.col("all_bad_pages") / F.col("all_labelled")
-        excess = F.col("bad_pages") - F.col("labelled") * share
-        differs = excess * excess > deviations**2 * F.col("labelled") * share * (1 - share)
-        literal = (
-            join_per_key(branches, nodes, ["host", "template"])
-            .filter((F.col("pages") >= least_pages) & differs)
-            .select("host", "template", "segment", F.lit(True).alias("literal"))
-        )
-        branch = F.concat("template", F.lit("/"), F.when(F.col("literal"), F.col("segment")).otherwise(WILDCARD))
-        joined = join_per_key(at_level, literal, ["host", "template", "segment"], "left")
-        ended.append(rows.filter(~deeper))
-        rows = settle(joined.withColumn("template", branch).drop("segment", "literal"))
+        names = _branch_names(branches, nodes, least_pages, deviations)
+        live = nodes.select("host", "template", F.lit(True).alias("live"))
+        known = settle(join_per_key(at_level, live, ["host", "template"], "left"))
+        goes_on = F.coalesce("live", F.lit(False)) & F.col("segment").isNotNull()
+        ended.append(_with_wildcards(known.filter(~goes_on).drop("segment", "live"), level))
+        named = join_per_key(known.filter(goes_on).drop("live"), names, ["host", "template", "segment"], "left")
+        branch = F.concat("template", F.lit("/"), F.coalesce("name", F.lit(WILDCARD)))
+        rows = settle(named.withColumn("template", branch).drop("segment", "name"))
         level += 1
+    ended.append(_with_wildcards(rows, level))
+    return reduce(DataFrame.unionByName, ended).select("page_id", "host", "path", "bad", "template")
+
+
+def _with_wildcards(rows: DataFrame, level: int) -> DataFrame:
+    """Rows whose template has ``level`` segments, with a wildcard for each further one."""
     open_segments = F.greatest(F.size("segments") - level, F.lit(0))
-    rows = rows.withColumn("template", F.concat("template", F.repeat(F.lit(f"/{WILDCARD}"), open_segments)))
-    return reduce(DataFrame.unionByName, ended, rows).select("page_id", "host", "path", "bad", "template")
+    return rows.withColumn("template", F.concat("template", F.repeat(F.lit(f"/{WILDCARD}"), open_segments)))
 
 
 def judge_templates(rows: DataFrame, prior_weight: float = PRIOR_WEIGHT, reject_at: float = REJECT_AT) -> DataFrame:
@@ -145,18 +188,41 @@ def _level_sql(level: int) -> str:
 , at{level} as (
   select *, case when len(segments) >= {level} then segments[{level}] end as segment from rows{level - 1}
 ), branches{level} as (
-  select host, template, segment, count(*) as pages, count(bad) as labelled, sum(coalesce(bad, 0)) as bad_pages
+  select host, template, segment, regexp_replace(segment, '[0-9]+', '#', 'g') as shape,
+         count(*) as pages, count(bad) as labelled, sum(coalesce(bad, 0)) as bad_pages
   from at{level} where segment is not null group by all
 ), nodes{level} as (
   select host, template, sum(bad_pages) / nullif(sum(labelled), 0) as share from branches{level} group by all
-), literal{level} as (
-  select host, template, segment from branches{level} join nodes{level} using (host, template)
+), variable{level} as (
+  select host, template, shape from branches{level} where contains(shape, '#') group by all having count(*) >= {VARIABLE_VALUES}
+), apart{level} as (
+  select host, template, segment, labelled, bad_pages, floor(100 * bad_pages / labelled) as place
+  from branches{level} join nodes{level} using (host, template)
   where pages >= {LEAST_PAGES}
     and (bad_pages - labelled * share) * (bad_pages - labelled * share) > {DEVIATIONS**2}::double * labelled * share * (1 - share)
+    and (host, template, shape) not in (select (host, template, shape) from variable{level})
+), places{level} as (
+  select host, template, place, sum(labelled) as labelled, sum(bad_pages) as bad_pages, min(segment) as first, count(*) as members
+  from apart{level} group by all
+), gaps{level} as (
+  select *, lag(labelled) over w as other, lag(bad_pages) over w as other_bad
+  from places{level} window w as (partition by host, template order by place)
+), classes{level} as (
+  select *, sum(case when (bad_pages / labelled - other_bad / other) * (bad_pages / labelled - other_bad / other)
+                       > {DEVIATIONS**2}::double * ((bad_pages + other_bad) / (labelled + other)) * (1 - (bad_pages + other_bad) / (labelled + other))
+                         * (1::double / labelled + 1::double / other) then 1 else 0 end)
+              over (partition by host, template order by place) as class
+  from gaps{level}
+), names{level} as (
+  select host, template, place,
+         case when sum(members) over w = 1 then min(first) over w
+              else min(first) over w || '#+' || cast(sum(members) over w - 1 as bigint) end as name
+  from classes{level} window w as (partition by host, template, class)
+), literal{level} as (
+  select host, template, segment, name from apart{level} join names{level} using (host, template, place)
 ), rows{level} as (
   select a.page_id, a.host, a.path, a.bad, a.segments,
-         case when a.segment is null then a.template
-              else a.template || '/' || case when l.segment is not null then a.segment else '*' end end as template
+         case when a.segment is null then a.template else a.template || '/' || coalesce(l.name, '*') end as template
   from at{level} a left join literal{level} l on a.host = l.host and a.template = l.template and a.segment = l.segment
 )"""
 
@@ -181,11 +247,13 @@ with judged as (
 ), numbered as (
   select *, try_cast(nullif(regexp_extract(path, '([0-9]{{1,18}})[^0-9]*$', 1), '') as bigint) as doc from parsed
 ), rows0 as (
-  select page_id, host, path, bad, list_filter(string_split(path, '/'), lambda s: s <> '')[1:{max_depth}] as segments, '' as template
+  select page_id, host, path, bad, list_filter(string_split(path, '/'), lambda s: s <> '') as segments, '' as template
   from numbered left join judged on doc = doc_id
 ){levels}
-, templates as (
-  select host, template, count(bad) as labelled, sum(coalesce(bad, 0)) as bad_pages from rows{max_depth} group by all
+, ended as (
+  select * replace (template || repeat('/*', greatest(len(segments) - {max_depth}, 0)) as template) from rows{max_depth}
+), templates as (
+  select host, template, count(bad) as labelled, sum(coalesce(bad, 0)) as bad_pages from ended group by all
 ), totals as (
   select coalesce(sum(bad_pages) / nullif(sum(labelled), 0), 0) as prior from templates
 ), verdicts as (
@@ -195,5 +263,5 @@ with judged as (
   from templates, totals
 )
 select page_id, host, path, {_rule_sql(0, rules)} as rule, coalesce({_rule_sql(1, rules)}, template_verdict) as verdict, template
-from rows{max_depth} join verdicts using (host, template)
+from ended join verdicts using (host, template)
 """
