@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, StructType
+from pyspark.sql.types import DateType, DecimalType, IntegerType, LongType, StringType, StructField, StructType
 
 from ..functions import mean_to_cents
 from ..operators.revenue import REVENUE_COLUMNS, REVENUE_MONEY
@@ -34,8 +34,14 @@ SPAN_IDS, SPAN_PARTS = 1_000_000, 256
 #: The runs of so many batches are merged into one.
 MERGE_EVERY = 32
 
-_CHANGES = StructType.fromDDL(
-    f"order_date date, user_id long, orders_held long, completed long, order_count long, valued long, value {REVENUE_MONEY}, month string"
+_CHANGES = StructType(
+    [
+        StructField("order_date", DateType()),
+        StructField("user_id", LongType()),
+        *(StructField(n, LongType()) for n in ("orders_held", "completed", "order_count", "valued")),
+        StructField("value", DecimalType(24, 2)),
+        StructField("month", StringType()),
+    ]
 )
 _UNDATED = "undated"
 
