@@ -40,6 +40,8 @@ UNKNOWN = "und"
 LONGEST_GRAM = 5
 MAX_DOCUMENTS = 20_000
 MAX_CHARS = 16_000_000
+#: Words whose readings a worker remembers at most; beyond it starts afresh.
+WORDS_KEPT = 150_000
 #: Added to every count.
 SMOOTHING = 0.5
 #: A document's mean counts as the evidence of so many words at most; else any long text would score 1.
@@ -143,7 +145,7 @@ class Model:
     @cached_property
     def seen(self) -> WordTable:
         """The readings of words met so far; it lives as long as the worker keeps the model."""
-        return WordTable(self.read, dtype=np.float32)
+        return WordTable(self.read, limit=WORDS_KEPT, dtype=np.float32)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         words = [words_of(t) if t else [] for t in texts]

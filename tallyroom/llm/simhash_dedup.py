@@ -37,6 +37,8 @@ BUCKET = 2048
 SEED = 42
 
 _ROWS_AT_ONCE = 1 << 17
+#: Rows of a bucket that are compared with all of it at a time.
+_NEAR_ROWS = 256
 
 
 def shingle_hashes(text: str, size: int = SHINGLE_WORDS) -> list[int]:
@@ -121,19 +123,32 @@ def _variants(members: DataFrame, level: int) -> DataFrame:
     return out.withColumn(f"k{level}", _signature(_part(F.col("fp"), start, width), F.col("bit"), width)).drop("bit")
 
 
+def _near(fps: np.ndarray, max_bits: int) -> np.ndarray:
+    """Which fingerprints are within ``max_bits``, some rows at a time."""
+    near = np.empty((len(fps), len(fps)), bool)
+    for first in range(0, len(fps), _NEAR_ROWS):
+        some = fps[first : first + _NEAR_ROWS, None] ^ fps[None, :]
+        near[first : first + _NEAR_ROWS] = np.bitwise_count(some.view(np.uint64)) <= max_bits
+    return near
+
+
+def _least_near(near: np.ndarray) -> np.ndarray:
+    """For each row of a matrix of links the smallest row that it is connected with."""
+    label, none = np.arange(len(near), dtype=np.int32), np.int32(len(near))
+    while True:
+        least = np.concatenate([np.where(part, label[None, :], none).min(axis=1) for part in np.array_split(near, -(-len(near) // _NEAR_ROWS))])
+        if (least == label).all():
+            return label
+        label = least
+
+
 def _linked(max_bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [np.zeros((0, 2), np.int64)]
             for members in batch.column("members"):
                 fps = np.unique(members.values.to_numpy())
-                near = np.bitwise_count((fps[:, None] ^ fps[None, :]).view(np.uint64)) <= max_bits
-                label = np.arange(len(fps))
-                while True:
-                    least = np.where(near, label[None, :], len(fps)).min(axis=1)
-                    if (least == label).all():
-                        break
-                    label = least
+                label = _least_near(_near(fps, max_bits))
                 found.append(np.stack([fps, fps[label]], axis=1)[label != np.arange(len(fps))])
             a, b = np.concatenate(found).T
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
@@ -143,7 +158,8 @@ def _linked(max_bits: int):
 
 def links(distinct: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET) -> DataFrame:
     """Links ``a``, ``b`` that connect all distinct fingerprints ``fp`` within ``max_bits`` (up to 3) bits, and no others."""
-    members, keys, found = distinct.select("fp"), [], []
+    # Each fingerprint makes 64 rows, so they are dealt out first, whatever the few partitions they came in.
+    members, keys, found = distinct.select("fp").repartition("fp"), [], []
     for level in (1, 2, 3):
         keyed, keys = _variants(members, level), [*keys, f"k{level}"]
         sizes = settle(keyed.groupBy(*keys).agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).filter("n > 1"))
