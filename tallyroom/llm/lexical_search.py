@@ -164,8 +164,8 @@ class Block:
                 # A mask that can tie with the last one found may hold a smaller id.
                 if len(found) == top and highest[descending[at]] < scores[-1]:
                     break
-                # Whole masks, twice as many documents each time.
-                some = descending[at : at + 1 + int(np.searchsorted(np.cumsum(sizes[descending[at:]]), lot))]
+                # Whole masks, at least one, with twice as many documents each time.
+                some = descending[at : at + max(1, int(np.searchsorted(np.cumsum(sizes[descending[at:]]), lot, side="right")))]
                 at, lot = at + len(some), 2 * lot
                 new = np.sort(take_runs(docs, first[some], sizes[some]))
                 found, scores = np.concatenate([found, new]), np.concatenate([scores, self.score(new, terms, weight)])

@@ -1,0 +1,107 @@
+"""The grammar on sentences, the learned model on held-out labels."""
+
+import zlib
+from pathlib import Path
+
+import pytest
+
+from tallyroom.llm import queries
+from tallyroom.llm.toxicity import (
+    AIMED_INSULT,
+    AIMED_THREAT,
+    CLASSES,
+    NEGATED,
+    REPORTED,
+    VALUES,
+    Toxicity,
+    Transducer,
+    _aim,
+    _negation,
+    _report,
+    fit,
+    grammar,
+    sample,
+    toxicity,
+)
+
+from .builders import awkward, clashing, empty
+
+SF_DIR = Path("/root/testdata/sf0.01")
+MODEL = Toxicity({"zorg": 2.0}, {"blarg": 3.0})
+
+
+def evidence(text):
+    return MODEL.evidence([text])[0][0]
+
+
+def test_clauses():
+    assert evidence("a zorg here") == 2
+    assert evidence("the blargest, a blargling") == 6
+    assert evidence("you are a zorg") == pytest.approx(2 * VALUES[AIMED_INSULT])
+    assert evidence("zorg that you are") == pytest.approx(2 + VALUES["aim"])
+    assert evidence("this is not a zorg") == pytest.approx(2 * NEGATED)
+    assert evidence("he said a zorg") == pytest.approx(2 * REPORTED)
+    assert evidence("she wrote: you are no zorg") == pytest.approx(2 * VALUES[AIMED_INSULT] * REPORTED * NEGATED)
+    # A clause ends what reaches into it.
+    assert evidence("he said so. zorg") == 2 and evidence("not so! zorg") == 2
+    assert evidence("I will kill you") == VALUES[AIMED_THREAT]
+    assert evidence("kill time") == 0 and evidence("they kill it") == VALUES[AIMED_THREAT]
+    assert evidence("nothing to see") == 0 and evidence("") == 0 and evidence(None) == 0
+
+
+def test_composition_equals_one_after_the_other():
+    """The composed transducer against its three rules run in turn, on all short inputs."""
+    from itertools import product
+
+    arcs = grammar().arcs
+    for symbols in product(CLASSES, repeat=4):
+        state, a, b, c = 0, 0, 0, 0
+        for symbol in symbols:
+            state, out, factor = arcs[state, symbol]
+            a, first, x = _negation(a, symbol)
+            b, second, y = _report(b, first)
+            c, third, z = _aim(c, second)
+            assert (out, factor) == (third, pytest.approx(x * y * z))
+
+
+def test_a_transducer_that_renames():
+    swap = Transducer({(0, s): (0, {"insult": "threat", "threat": "insult"}.get(s, s), 0.5) for s in CLASSES})
+    assert swap.then(swap).arcs[0, "insult"] == (0, "insult", 0.25)
+
+
+@pytest.mark.skipif(not SF_DIR.exists(), reason="test data is not installed")
+def test_held_out_labels(spark):
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
+    rows = queries.QUERIES["op11_toxicity"](spark, str(SF_DIR)).collect()
+    assert len(rows) == spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in rows)
+    judged = [(r["predicted"], labels[r["doc_id"]]) for r in rows if r["held_out"] and r["doc_id"] in labels]
+    right = sum(p == t for p, t in judged)
+    assert right >= 0.95 * len(judged) and sum(p and t for p, t in judged) >= 0.8 * sum(t for _, t in judged)
+
+
+def test_copies_and_other_labels_do_not_weigh(spark):
+    """One toxic text under very many ids makes none of its words an insult; labels besides 0 and 1 are ignored."""
+    docs = [(i, "plain words that a vilest zorg repeats. " * 3) for i in range(300)]
+    docs += [(1000 + i, f"some words, text number {i} of many. other plain words") for i in range(300)]
+    labels = [(i, 1) for i in range(300)] + [(1000 + i, 0) for i in range(300)] + [(1000, 7), (1001, None), (5, 1)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    marked = spark.createDataFrame(labels, "doc_id long, toxic int")
+    assert sample(frame, marked).filter("toxic = 1").count() == 1
+    model = fit(frame, marked)
+    assert model.words == {} and model.stems == {}
+
+
+def test_awkward_tables(spark):
+    table = clashing(awkward(spark))
+    labels = spark.createDataFrame([(1, 1), (4, 0), (5, 1), (5, 0), (None, 1), (6, 1), (8, 0), (99, 1)], "doc_id long, toxic int")
+    rows = toxicity(table, fit(table, labels)).collect()
+    assert len(rows) == table.count() and all(0 <= r["score"] <= 1 for r in rows)
+    by_id = {r["doc_id"]: r for r in rows}
+    assert by_id[1]["score"] == by_id[2]["score"] == by_id[3]["score"] < 0.5
+    assert by_id[None]["held_out"] is False
+    for docs, marks in ((table, labels.limit(0)), (empty(spark), labels), (empty(spark), labels.limit(0))):
+        model = fit(docs, marks)
+        assert (model.words, model.stems) == ({}, {})
+        assert [r["predicted"] for r in toxicity(docs, model).collect()] == [0] * docs.count()
