@@ -96,7 +96,7 @@ def _mask_activity(users: DataFrame, masks: DataFrame) -> DataFrame:
 def retention_from_masks(users: DataFrame, masks: DataFrame) -> DataFrame:
     """``cohort_retention`` from stored months; the orders are not read."""
     orders_seen = masks.select(F.col("last_day").alias("order_date"))
-    return retention_from_activity(users, _mask_activity(users, masks), last_observed_day(orders_seen, users))
+    return retention_from_activity(cohort_sizes(users), _mask_activity(users, masks), last_observed_day(orders_seen, users))
 
 
 def cohort_retention(users: DataFrame, orders: DataFrame, horizon_users: DataFrame | None = None) -> DataFrame:
@@ -107,12 +107,15 @@ def cohort_retention(users: DataFrame, orders: DataFrame, horizon_users: DataFra
     purchase are present with 0; months after the horizon are absent.
     """
     observed = users if horizon_users is None else users.select("signup_date").unionAll(horizon_users.select("signup_date"))
-    return retention_from_activity(users, cohort_activity(users, orders), last_observed_day(orders, observed))
+    return retention_from_activity(cohort_sizes(users), cohort_activity(users, orders), last_observed_day(orders, observed))
 
 
-def retention_from_activity(users: DataFrame, activity: DataFrame, last_day: DataFrame) -> DataFrame:
-    """Retention from buyers per cohort and calendar month and from the last day observed."""
-    sizes = user_cohorts(users).groupBy("cohort_month").agg(F.count("user_id").alias("cohort_size"))
+def cohort_sizes(users: DataFrame) -> DataFrame:
+    return user_cohorts(users).groupBy("cohort_month").agg(F.count("user_id").alias("cohort_size"))
+
+
+def retention_from_activity(sizes: DataFrame, activity: DataFrame, last_day: DataFrame) -> DataFrame:
+    """Retention from users per cohort, buyers per cohort and calendar month, and the last day observed."""
     spine = month_spine(sizes, last_day)
     active = F.coalesce("active_users", F.lit(0))
     return spine.join(activity, ["cohort_month", "activity_month"], "left").select(

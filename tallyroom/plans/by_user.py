@@ -14,7 +14,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.cohorts import cohort_activity, last_observed_day, retention_from_activity
+from ..operators.cohorts import cohort_activity, cohort_sizes, last_observed_day, retention_from_activity
 from ..operators.purchases import user_first_purchase
 from ..sources.store import materialise, write_bucketed
 
@@ -49,9 +49,11 @@ class UserTables:
         return user_first_purchase(self.users, self.orders).unionByName(user_first_purchase(self.hot_users, self.hot_orders))
 
     def retention(self) -> DataFrame:
-        """``cohort_retention`` of all users."""
-        parts = cohort_activity(self.users, self.orders).unionByName(cohort_activity(self.hot_users, self.hot_orders))
-        activity = parts.groupBy("cohort_month", "activity_month").agg(F.sum("active_users").alias("active_users"))
-        everyone = self.users.unionByName(self.hot_users)
-        dated = self.orders.select("order_date").unionByName(self.hot_orders.select("order_date"))
-        return retention_from_activity(everyone, activity, last_observed_day(dated, everyone))
+        """``cohort_retention`` of all users; what is shuffled of the bucketed tables are cohorts and months."""
+        activity = cohort_activity(self.users, self.orders).unionByName(cohort_activity(self.hot_users, self.hot_orders))
+        activity = activity.groupBy("cohort_month", "activity_month").agg(F.sum("active_users").alias("active_users"))
+        sizes = cohort_sizes(self.users).unionByName(cohort_sizes(self.hot_users))
+        sizes = sizes.groupBy("cohort_month").agg(F.sum("cohort_size").alias("cohort_size"))
+        ordered = self.orders.select("order_date").unionByName(self.hot_orders.select("order_date"))
+        signed_up = self.users.select("signup_date").unionByName(self.hot_users.select("signup_date"))
+        return retention_from_activity(sizes, activity, last_observed_day(ordered, signed_up))

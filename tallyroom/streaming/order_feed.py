@@ -157,8 +157,9 @@ def absorb_orders(batch: DataFrame, root: str, feed: str, batch_id: int, span_id
             others = published.withColumn("day", _named_day()).join(days, "day", "left_anti")
             publish_version({MART: others.select(*REVENUE_COLUMNS).unionByName(revenue_of_changes(on_days))}, root)
     if (batch_id + 1) % merge_every == 0:
-        best.merge(lambda rows: best_attempts(rows.select(*ORDER_COLUMNS)).withColumn("span", span_of(ids=span_ids)))
-        changes.merge(_summed)
+        # Changes first: a batch retried in between finds its orders as they were, and its changes merged.
+        changes.merge(_summed, *this)
+        best.merge(lambda rows: best_attempts(rows.select(*ORDER_COLUMNS)).withColumn("span", span_of(ids=span_ids)), *this)
 
 
 def run_order_feed(feed: DataFrame, root: str, checkpoint: str, **sizes: int) -> StreamingQuery:

@@ -97,8 +97,8 @@ def absorb_events(
     sessions.write(own.withColumn("user_part", user_part(F.col(user))), *this)
     newest.write(written.agg(F.max(ts).alias("newest")).withColumns({"gap": F.lit(gap), "kind": F.lit("batch")}), *this)
     if (batch_id + 1) % merge_every == 0:
-        sessions.merge(lambda rows: merge_sessions(rows, user, gap).withColumn("user_part", user_part(F.col(user))))
-        newest.merge(lambda rows: rows.groupBy("gap", "kind").agg(F.max("newest").alias("newest")))
+        sessions.merge(lambda rows: merge_sessions(rows, user, gap).withColumn("user_part", user_part(F.col(user))), *this)
+        newest.merge(lambda rows: rows.groupBy("gap", "kind").agg(F.max("newest").alias("newest")), *this)
 
 
 def run_session_log(

@@ -145,10 +145,21 @@ def test_orders_since_reads_and_shuffles_only_what_it_touches(spark, tmp_path):
     valid_attempts(parse_orders(raw)).write.parquet(log)
     staged = best_attempts_since(spark.read.parquet(log), date(2023, 1, 10))
     plan = staged._jdf.queryExecution().executedPlan().toString()
-    assert "LeftSemi" in plan and "GreaterThanOrEqual(order_id,20)" in plan and "LessThanOrEqual(order_id,20)" in plan
+    assert "In(order_id, [20])" in plan or "EqualTo(order_id,20)" in plan
     assert [r.order_id for r in staged.collect()] == [20]
 
 
+def test_many_recent_orders_are_joined_within_their_range(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr("tallyroom.operators.staging.NAMED_IDS", 1)
+    log = str(tmp_path / "log")
+    days = [(n, 7, f"2023-01-{9 + n // 10:02d}T00:00:00Z", "9.00", "completed") for n in (5, 12, 15, 18)]
+    valid_attempts(parse_orders(raw_orders(spark, *days))).write.parquet(log)
+    staged = best_attempts_since(spark.read.parquet(log), date(2023, 1, 10))
+    plan = staged._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and "GreaterThanOrEqual(order_id,12)" in plan and "LessThanOrEqual(order_id,18)" in plan
+    assert [r[0] for r in rows(staged, "order_id")] == [12, 15, 18]
+
+
 def test_orders_since_with_nothing_recent(spark):
     raw = raw_orders(spark, (10, 7, "2023-01-09T00:00:00Z", "9.00", "completed"), (None, 7, "2023-01-08T00:00:00Z", "9.00", "completed"))
     assert stage_orders_since(raw, date(2023, 1, 10)).isEmpty()
