@@ -51,6 +51,17 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back.
+
+    Unlike ``settle`` it also forgets the sizes that the optimiser guessed, which
+    multiply in a loop of joins until they are too long to compute with.
+    """
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def null_safe(column: Column | str) -> Column:
     """A text that is never null, differs for different values, and so joins null with null."""
     column = F.col(column) if isinstance(column, str) else column

@@ -30,7 +30,7 @@ from pyspark.sql.window import Window
 
 from tallyroom.operators.hot_keys import join_per_key
 
-from .common import settle
+from .common import settle, written
 
 #: (host, path, verdict), as the task states them; a rule fits its host and all subdomains.
 RULES = (
@@ -130,27 +130,25 @@ def path_templates(pages: DataFrame, least_pages: int = LEAST_PAGES, deviations:
     either: rows there have wildcards to their end and are done with.
     """
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
-    rows, ended, level = settle(pages.select("page_id", "host", "path", "bad", segments.alias("segments"), F.lit("").alias("template"))), [], 0
+    rows = written(pages.select("page_id", "host", "path", "bad", segments.alias("segments"), F.lit("").alias("template")), "url-rows")
+    ended, level = [], 0
     counts = (F.count("*").alias("pages"), F.count("bad").alias("labelled"), F.sum(F.coalesce("bad", F.lit(0))).alias("bad_pages"))
     while True:
         at_level = rows.withColumn("segment", F.get("segments", F.lit(level)))
         branches = at_level.filter(F.col("segment").isNotNull()).groupBy("host", "template", "segment").agg(*counts)
         sums = (F.sum(c).alias(f"all_{c}") for c in ("pages", "labelled", "bad_pages"))
-        nodes = settle(
-            branches.groupBy("host", "template")
-            .agg(*sums)
-            .filter((F.col("all_pages") >= least_pages) & (F.col("all_bad_pages") > 0) & (F.col("all_bad_pages") < F.col("all_labelled")))
-        )
+        both_labels = (F.col("all_bad_pages") > 0) & (F.col("all_bad_pages") < F.col("all_labelled"))
+        nodes = written(branches.groupBy("host", "template").agg(*sums).filter((F.col("all_pages") >= least_pages) & both_labels), "url-nodes")
         if nodes.isEmpty():
             break
         names = _branch_names(branches, nodes, least_pages, deviations)
         live = nodes.select("host", "template", F.lit(True).alias("live"))
-        known = settle(join_per_key(at_level, live, ["host", "template"], "left"))
+        known = written(join_per_key(at_level, live, ["host", "template"], "left"), "url-rows")
         goes_on = F.coalesce("live", F.lit(False)) & F.col("segment").isNotNull()
         ended.append(_with_wildcards(known.filter(~goes_on).drop("segment", "live"), level))
         named = join_per_key(known.filter(goes_on).drop("live"), names, ["host", "template", "segment"], "left")
         branch = F.concat("template", F.lit("/"), F.coalesce("name", F.lit(WILDCARD)))
-        rows = settle(named.withColumn("template", branch).drop("segment", "name"))
+        rows = written(named.withColumn("template", branch).drop("segment", "name"), "url-rows")
         level += 1
     ended.append(_with_wildcards(rows, level))
     return reduce(DataFrame.unionByName, ended).select("page_id", "host", "path", "bad", "template")

@@ -1,0 +1,204 @@
+"""Results against literal definitions: token ids, mixes, line counts, templates, languages, pieces, language-model scores."""
+
+import math
+import random
+import re
+import unicodedata
+import zlib
+from collections import Counter
+from pathlib import Path
+
+import numpy as np
+import public_tokenizers
+import pytest
+
+from tallyroom.llm import bloom_lm, queries
+from tallyroom.llm.common import Shared
+from tallyroom.llm.language_id import EVIDENCE_WORDS, LONGEST_GRAM, SMOOTHING, fit, grams_of, identify, learnable, words_of
+from tallyroom.llm.line_quality import line_verdicts
+from tallyroom.llm.mixing import mix, mix_sizes
+from tallyroom.llm.piece_codec import Pieces, round_trip
+from tallyroom.llm.token_orc import TextTokenizer
+from tallyroom.llm.url_templates import judge_templates, path_templates
+
+from .builders import docs
+from .test_methods import as_unigram
+
+SF_DIR = Path("/root/testdata/sf0.001")
+needs_data = pytest.mark.skipif(not SF_DIR.exists(), reason="test data is not installed")
+
+#: Blanks of every kind, and characters whose compatible form or absence makes trouble.
+BLANKS = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (chr(c).isspace() or unicodedata.category(chr(c)) in ("Zs", "Zl", "Zp"))]
+ODD = [*BLANKS, "​", "᠎", "﻿", "⁠", "\xa8", "\xb4", "‗", "\x00", "\x1b"]
+
+
+def wrong(tokenizer, texts):
+    """The texts whose ids are not the library's."""
+    ids, lengths = tokenizer.encode(texts)
+    parts = np.split(ids, np.cumsum(lengths)[:-1]) if texts else []
+    return [t for t, part in zip(texts, parts, strict=True) if part.tolist() != tokenizer.library.encode(t, add_special_tokens=False).ids]
+
+
+def test_blanks_anywhere_in_a_word():
+    """Alone and among clean texts, and clean texts after them in the same worker."""
+    tokenizer = TextTokenizer(public_tokenizers.path(queries.WORDS))
+    assert tokenizer.by_word and tokenizer.simple_marks
+    clean = ["été café naïve", "The quick brown fox", "Straße größer", "it's fine", "日本 語"]
+    for blank in ODD:
+        words = [f"{blank}euro", f"eu{blank}ro", f"euro{blank}", blank, blank * 2, f"prix {blank}euro", f"é{blank}é {blank}"]
+        for text in words:
+            tokenizer.table._clear()
+            assert not wrong(tokenizer, [text])
+        tokenizer.table._clear()
+        assert not wrong(tokenizer, [*clean, *words, *clean])
+        assert not wrong(tokenizer, clean)
+
+
+def test_random_texts_with_blanks():
+    tokenizer, rng = TextTokenizer(public_tokenizers.path(queries.WORDS)), random.Random(3)
+    letters = [*"abc éßñ.,!?ÀΑΣσ日本 '1", "é", *ODD]
+    for _ in range(60):
+        assert not wrong(tokenizer, ["".join(rng.choice(letters) for _ in range(rng.randrange(15))) for _ in range(30)])
+
+
+def test_a_mix_ends_among_repeated_rows(spark):
+    """150 rows of one id and text, all with one place in the order, and rows that differ in another column only."""
+    rows = [(1, "word " * 40, str(k % 2), "a") for k in range(150)] + [(i, "w " * (10 + i % 7), "x", "a") for i in range(2, 900)]
+    rows += [(i, "w " * 30, "x", "b") for i in range(1000, 1300)]
+    random.Random(3).shuffle(rows)
+    for seed in (17, 5, 6):
+        found = mix_sizes(docs(spark, *rows), seed=seed).collect()
+        taken, target = Counter(), {}
+        for r in found:
+            taken[r["source_size"]] += r["taken"]
+            target[r["source_size"]] = r["target"]
+            assert r["taken"] <= 2 * r["size"]
+        assert all(abs(taken[s] - target[s]) <= 20 for s in target)
+        mixed = Counter(r["doc_id"] for r in mix(docs(spark, *rows), seed=seed).select("doc_id").collect())
+        assert mixed == Counter(r["doc_id"] for r in found for _ in range(r["repetitions"]))
+
+
+def test_copies_count_as_documents_of_a_line(spark):
+    """200 documents with one text are 200 documents that carry its lines; so are 200 that differ in a word."""
+    body = "\n".join(" ".join(f"line{j}word{k}" for k in range(12)) for j in range(6))
+    same = [(i, body, None, "a") for i in range(200)]
+    near = [(1000 + i, f"{body}\nown{i}", None, "b") for i in range(200)]
+    few = [(2000 + i, body, None, "c") for i in range(20)]
+    repeated = [(3000, body, None, "d")] * 50
+    kept = [r["doc_id"] for r in line_verdicts(docs(spark, *same, *near, *few, *repeated)).filter("kept").collect()]
+    assert sorted(kept) == [0, 1000, *range(2000, 2020), *[3000] * 50]
+
+
+def templates(spark, rows):
+    found = path_templates(spark.createDataFrame(rows, "page_id long, host string, path string, bad int"))
+    return {r["page_id"]: r["template"] for r in found.collect()}, judge_templates(found)
+
+
+def test_branches_alike_are_merged(spark):
+    kinds = [("ads", 1), ("spam", 1), ("p0", 0), ("p1", 0), ("p2", 0)]
+    rows = [(100 * k + i, "h", f"/{name}/{i}", bad) for k, (name, bad) in enumerate(kinds) for i in range(40)]
+    by_page, judged = templates(spark, rows)
+    assert {by_page[100 * k] for k in (0, 1)} == {"/ads#+1/*"} and {by_page[100 * k] for k in (2, 3, 4)} == {"/p0#+2/*"}
+    assert {(r["template"], r["template_verdict"]) for r in judged.collect()} == {("/ads#+1/*", "block"), ("/p0#+2/*", "allow")}
+
+
+def test_variable_segments_are_told_by_their_shape(spark):
+    """Many users of one shape, each with enough pages of one label, are one variable; two sections are not."""
+    rows = [(1000 * u + i, "h", f"/user{u}/page", u % 2) for u in range(12) for i in range(20)]
+    rows += [(90_000 + i, "h", f"/{'good' if i % 2 else 'evil'}/page", 1 - i % 2) for i in range(80)]
+    by_page, _ = templates(spark, rows)
+    assert {by_page[1000 * u] for u in range(12)} == {"/*/*"}
+    assert (by_page[90_000], by_page[90_001]) == ("/evil/*", "/good/*")
+
+
+@needs_data
+def test_languages_against_a_literal_model(spark):
+    table = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    counts = {}
+    for lang, text in {(r["lang"], r["text"]) for r in learnable(table).collect()}:
+        words = Counter(words_of(text))
+        for n in range(LONGEST_GRAM + 1):
+            grams = counts.setdefault((n, lang), Counter())
+            for word, count in words.items():
+                for gram in [word] if n == 0 else grams_of(word, n):
+                    grams[gram] += count
+    langs = sorted({lang for _, lang in counts})
+    known = {n: set().union(*(counts[n, lang] for lang in langs)) for n in range(LONGEST_GRAM + 1)}
+    total = {key: c.total() for key, c in counts.items()}
+
+    def logs(n, gram):
+        return np.array([math.log((counts[n, k][gram] + SMOOTHING) / (total[n, k] + SMOOTHING * (len(known[n]) + 1))) for k in langs])
+
+    def word_logs(word):
+        if word in known[0]:
+            return logs(0, word)
+        for n in range(LONGEST_GRAM, 0, -1):
+            if found := [g for g in grams_of(word, n) if g in known[n]]:
+                return np.mean([logs(n, g) for g in found], axis=0)
+        return np.zeros(len(langs))
+
+    found = {r["doc_id"]: r for r in identify(table, fit(learnable(table))).collect()}
+    for r in table.collect():
+        words = words_of(r["text"] or "")
+        got = found[r["doc_id"]]
+        if not words:
+            assert (got["lang_pred"], got["score"]) == ("und", 0)
+        elif len(words) < 3000:
+            mean = sum(word_logs(w) * k for w, k in Counter(words).items()) / len(words)
+            odds = np.exp((mean - mean.max()) * min(len(words), EVIDENCE_WORDS))
+            assert got["lang_pred"] == langs[int(mean.argmax())]
+            assert got["score"] == pytest.approx(1 / odds.sum(), rel=1e-3)
+
+
+def test_a_small_language_keeps_its_words(spark):
+    """Beside a language with very many more words."""
+    rows = [(i, " ".join(f"big{i * 30 + k}" for k in range(30)), "xx") for i in range(400)] + [(9000 + i, f"rare tongue{i}", "yy") for i in range(4)]
+    model = fit(docs(spark, *rows).select("lang", "text"))
+    assert model.predict(["rare", "tongue2 rare", "big17"])[0] == ["yy", "yy", "xx"]
+    assert model.predict(["՘"])[0] != ["und"]
+
+
+@needs_data
+def test_piece_ids_against_the_library(spark):
+    path = public_tokenizers.path(queries.PIECES)
+    pieces, library = Pieces(path), as_unigram(path)
+    table = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    encoded = {r["doc_id"]: r for r in round_trip(table, Shared(spark, pieces)).collect()}
+    crcs = {r["doc_id"]: r["ids_crc32"] for r in queries.QUERIES["op6_piece_codec"](spark, str(SF_DIR)).collect()}
+    compared = 0
+    for doc_id, text in ((r["doc_id"], r["text"]) for r in table.collect()):
+        ids = encoded[doc_id]["ids"]
+        assert crcs[doc_id] == zlib.crc32(np.array(ids, "<u4").tobytes())
+        if text and len(text) < 4000 and not re.search(r"[\x00-\x09\x0b-\x1f]|  |▁", text):
+            best = library.encode(text)
+            if set(pieces.byte_ids.tolist()) & set(best):
+                continue
+            worth = lambda some: sum(float(pieces.scores[i]) for i in some)
+            assert worth(ids) == pytest.approx(worth(best), rel=1e-6) and library.decode(ids) == text
+            compared += 1
+    assert compared > 50
+
+
+@needs_data
+def test_language_model_scores_against_exact_counts(spark):
+    """Quantised counts in dictionaries instead of the filter, whose rare false hits are all that may differ."""
+    table = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    texts = {r["doc_id"]: bloom_lm.tokens_of(r["text"] or "") for r in table.select("doc_id", "text").collect()}
+    words, pairs = Counter(), Counter()
+    for doc_id, tokens in texts.items():
+        if zlib.crc32(str(doc_id).encode()) % 5 != 1:
+            words.update(tokens)
+            pairs.update(zip([bloom_lm.END, *tokens[:-1]], tokens, strict=True))
+    room = words.total() + 0.5 * (len(words) + 1)
+    rounded = lambda count: float(bloom_lm.count_at(bloom_lm.level_of(np.array([count])))[0]) if count else 0.0
+    found = {r["doc_id"]: r["score"] for r in queries.QUERIES["op8_bloom_lm"](spark, str(SF_DIR)).collect()}
+    gaps = []
+    for doc_id, tokens in texts.items():
+        want = 0.0
+        for before, word in zip([bloom_lm.END, *tokens[:-1]], tokens, strict=True):
+            held = rounded(words[before])
+            alone = (rounded(words[word]) + 0.5) / room
+            pair = min(rounded(pairs[before, word]), held)
+            want += math.log10((pair + bloom_lm.PRIOR_WEIGHT * alone) / (held + bloom_lm.PRIOR_WEIGHT))
+        gaps.append(abs(found[doc_id] - want) / -want)
+    assert max(gaps) < 0.1 and sum(gaps) / len(gaps) < 0.01

@@ -15,7 +15,7 @@ from tallyroom.llm import bloom_lm, edit_counts, queries, url_templates
 from tallyroom.llm.common import Shared, WordTable, ragged
 from tallyroom.llm.components import connected_components, spanning_links
 from tallyroom.llm.embedding_dedup import near_duplicate_vectors
-from tallyroom.llm.language_id import fit, grams_of, identify
+from tallyroom.llm.language_id import fit, grams_of, hashes_of, identify
 from tallyroom.llm.line_quality import keep_quality, line_verdicts, repeat_words
 from tallyroom.llm.mixing import mix, mix_sizes
 from tallyroom.llm.piece_codec import LONE, Pieces, double_array
@@ -138,8 +138,9 @@ def test_edits_at_every_place():
 
 def test_backoff_to_character_grams(spark):
     rows = [(i, f"alpha beta gamma{i}", "xx") for i in range(30)] + [(100 + i, f"omega psi chi{i}", "yy") for i in range(30)]
-    model = fit(docs(spark, *rows).select("lang", "text"), max_words=6)
-    assert model.langs == ["xx", "yy"] and "alpha" in model.rows[0] and len(model.rows[0]) <= 6
+    model = fit(docs(spark, *rows).select("lang", "text"))
+    assert model.langs == ["xx", "yy"] and model.find(0, hashes_of(["alpha", "gamma3", "alphabet"])).tolist()[2] == -1
+    assert len(model.hashes[0]) == 6  # digits are no letters
     assert model.predict(["alphabet", "omegas", "gamm", "zzz!", "", None, "12"])[0][:3] == ["xx", "yy", "xx"]
     assert model.predict(["", None, "12"])[0] == ["und"] * 3
     assert grams_of("ab", 3) == [" ab", "ab "]
@@ -152,8 +153,15 @@ def test_copies_do_not_weigh(spark, most):
     rows = [(i, f"alpha beta gamma{i}", "xx") for i in range(40)] + [(100 + i, f"omega psi chi{i}", "yy") for i in range(40)]
     copies = [(1000 + i, *row[1:]) for row in (rows[0], rows[50]) for i in range(300)]
     once, often = (fit(docs(spark, *r).select("lang", "text"), max_documents=most) for r in (rows, rows + copies))
-    assert once.langs == often.langs == ["xx", "yy"] and once.rows == often.rows
-    assert all(np.array_equal(a, b) for a, b in zip(once.logs, often.logs, strict=True))
+    assert once.langs == often.langs == ["xx", "yy"] and np.array_equal(once.defaults, often.defaults)
+    for a, b in ((once.hashes, often.hashes), (once.ends, often.ends), (once.lang_of, often.lang_of), (once.values, often.values)):
+        assert all(np.array_equal(x, y) for x, y in zip(a, b, strict=True))
+
+
+def test_a_sample_of_few_characters(spark):
+    rows = [(i, f"alpha beta gamma{i} " * 50, "xx") for i in range(200)]
+    model = fit(docs(spark, *rows).select("lang", "text"), max_chars=20_000)
+    assert 2 < len(model.hashes[0]) < 60
 
 
 def as_unigram(path):

@@ -21,7 +21,7 @@ def quality(rows):
     for r in rows:
         for line in (r["text"] or "").split("\n"):
             if key := normal_line(line):
-                carriers[r["source"], key].add(r["text"])
+                carriers[r["source"], key].add((r["doc_id"], r["text"]))
                 first[r["source"], key] = min(first.get((r["source"], key), r["doc_id"]), r["doc_id"])
     kept = []
     for r in rows:
