@@ -174,14 +174,14 @@ def test_piece_ids_against_the_library(spark):
             if set(pieces.byte_ids.tolist()) & set(best):
                 continue
             worth = lambda some: sum(float(pieces.scores[i]) for i in some)
-            # The library adds up in single precision, which over a long text may miss the best path by a little.
+            # The library's quick path misses the best one now and then, by a little.
             assert worth(best) <= worth(ids) + 1e-6 and worth(ids) == pytest.approx(worth(best), rel=1e-3)
             assert library.decode(ids) == text
             compared += 1
     assert compared > 20
     words = {w for r in table.collect() for w in (r["text"] or "").split()}
     for word in sorted(words)[::25]:
-        best = library.encode(word)
+        best = library.nbest_encode(word, nbest_size=2)[0]
         if not set(pieces.byte_ids.tolist()) & set(best):
             ids, _ = pieces.encode([word])
             assert sum(float(pieces.scores[i]) for i in ids) == pytest.approx(sum(float(pieces.scores[i]) for i in best), rel=1e-6)
