@@ -490,8 +490,11 @@ def _llm() -> tuple[dict[str, Query], dict[str, str]]:
         import corpus_pipeline
         from tallyroom.llm.queries import ORACLE as sql
         from tallyroom.llm.queries import QUERIES
-    except ImportError:
-        return {}, {}
+    except ModuleNotFoundError as error:
+        installed = (Path(__file__).resolve().parent / "tallyroom" / "llm" / "__init__.py").exists()
+        if error.name == "corpus_pipeline" or (not installed and (error.name or "").startswith("tallyroom.llm")):
+            return {}, {}
+        raise
     pipeline_sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
     return QUERIES | {"pipeline": corpus_pipeline.run}, sql | pipeline_sql
 

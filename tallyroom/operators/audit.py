@@ -143,8 +143,9 @@ def duplicate_conflicts(df: DataFrame, key: str, fields: Sequence[str]) -> DataF
     return kinds.withColumn("pct", percent(F.col("duplicate_sets"), all_sets))
 
 
-# A hot account's rows are dealt to this many tasks in a join; the kept side, one row per account, is repeated as often.
-ACCOUNT_SALTS = 32
+# An account with more than one in so many registrations is dealt to one task per such part in a join, and its kept row
+# repeated as often; there are fewer than that many such accounts.
+HOT_SHARE = 1000
 
 
 def duplicate_accounts(raw_users: DataFrame) -> DataFrame:
@@ -161,13 +162,17 @@ def duplicate_accounts(raw_users: DataFrame) -> DataFrame:
     dated = parse_users(raw_users).filter(F.col("signup_date").isNotNull() & F.col("account_email").isNotNull())
     ranked = dated.select("account_email", "user_id", "email", "signup_at", F.struct(F.col("signup_at").isNull().alias("undated"), *place, *ties).alias("place"))
     copies = ranked.groupBy(*ranked.columns).agg(F.count(F.lit(1)).alias("copies"))
-    kept = (
+    everyone = ranked.agg(F.greatest(F.count(F.lit(1)), F.lit(1))).scalar()
+    repeated = (
         ranked.groupBy("account_email")
         .agg(F.count(F.lit(1)).alias("rows_of_key"), F.min("place").alias("kept"))
         .filter(F.col("rows_of_key") > 1)
-        .select("account_email", "kept", F.explode(F.sequence(F.lit(0), F.lit(ACCOUNT_SALTS - 1))).alias("salt"))
+        .withColumn("salts", F.ceil(F.col("rows_of_key") * HOT_SHARE / everyone).cast("int"))
     )
-    salted = copies.withColumn("salt", F.pmod(F.xxhash64("place"), F.lit(ACCOUNT_SALTS)).cast("int"))
+    kept = repeated.select("account_email", "kept", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    hot = F.broadcast(repeated.filter(F.col("salts") > 1).select("account_email", "salts"))
+    dealt = F.pmod(F.xxhash64("place"), F.coalesce("salts", F.lit(1))).cast("int")
+    salted = copies.join(hot, "account_email", "left").withColumn("salt", dealt).drop("salts")
     dropped = F.col("copies") - F.when(F.col("place") == F.col("kept"), 1).otherwise(0)
     return (
         salted.join(kept, ["account_email", "salt"])
