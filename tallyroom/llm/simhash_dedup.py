@@ -11,7 +11,7 @@ are cut again by the same rule in the bits that the key leaves open: 32, then
 Defined results: a null, empty or blank text has fingerprint zero and is linked
 like any other.  Equal texts have equal fingerprints and are one class.  A null
 ``doc_id`` never is a component's smallest id unless all its ids are null.
-Repeated rows each get a row.  Extra columns are ignored, whatever their names;
+Texts are read whole, however long.  Repeated rows each get a row.  Extra columns are ignored, whatever their names;
 an empty table gives an empty result.
 """
 

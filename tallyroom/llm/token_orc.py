@@ -9,8 +9,8 @@ stripes.
 
 Defined results: a null or empty text has the end id alone.  Null ids come
 first; rows with the same id are ordered by their text's hash, and repeated
-rows are each written.  Extra columns are ignored, whatever their names; an
-empty table gives files without rows.
+rows are each written.  Texts are read whole, however long.  Extra columns are
+ignored, whatever their names; an empty table gives files without rows.
 """
 
 from __future__ import annotations
