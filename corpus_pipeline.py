@@ -21,22 +21,27 @@ PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass, without their frequent lines; null, empty and short texts go.  All columns stay."""
     return keep_quality(docs)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is found with a score of 0.5 or more; without labelled rows none is.  All columns stay."""
     return keep_identified(docs, fit(learnable(docs)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group: the smallest id, null last, and of those the smallest text hash.  All columns stay."""
     return keep_one_of_each(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document none, one or two times, so that sources come near their targets.  All columns stay."""
     return mix(docs)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per document with its ids and whether they decode to its text; a null text has null ids."""
     return round_trip(docs, Shared(spark, Pieces(public_tokenizers.path(PIECE_MODEL))))
 
 
