@@ -98,20 +98,21 @@ def _branch_names(branches: DataFrame, nodes: DataFrame, least_pages: int, devia
     node = ["host", "template"]
     shaped = branches.withColumn("shape", shape_of(F.col("segment")))
     variable = shaped.filter(F.col("shape").contains("#")).groupBy(*node, "shape").agg(F.count("*").alias("values")).filter(F.col("values") >= VARIABLE_VALUES)
-    share = F.col("all_bad_pages") / F.col("all_labelled")
+    share = F.try_divide("all_bad_pages", "all_labelled")
     excess = F.col("bad_pages") - F.col("labelled") * share
     differs = excess * excess > deviations**2 * F.col("labelled") * share * (1 - share)
     apart = join_per_key(shaped.filter(F.col("pages") >= least_pages), nodes, node).filter(differs)
     apart = join_per_key(apart, variable.drop("values"), [*node, "shape"], "left_anti")
-    apart = apart.withColumn("place", F.floor(100 * F.col("bad_pages") / F.col("labelled")))
+    apart = apart.withColumn("place", F.floor(F.try_divide(100 * F.col("bad_pages"), F.col("labelled"))))
     places = apart.groupBy(*node, "place").agg(
         F.sum("labelled").alias("labelled"), F.sum("bad_pages").alias("bad_pages"), F.min("segment").alias("first"), F.count("*").alias("members")
     )
     in_order = Window.partitionBy(*node).orderBy("place")
     other, other_bad = F.lag("labelled").over(in_order), F.lag("bad_pages").over(in_order)
-    gap = F.col("bad_pages") / F.col("labelled") - other_bad / other
-    pooled = (F.col("bad_pages") + other_bad) / (F.col("labelled") + other)
-    parts = gap * gap > deviations**2 * pooled * (1 - pooled) * (1 / F.col("labelled") + 1 / other)
+    one = F.lit(1.0)
+    gap = F.try_divide("bad_pages", "labelled") - F.try_divide(other_bad, other)
+    pooled = F.try_divide(F.col("bad_pages") + other_bad, F.col("labelled") + other)
+    parts = gap * gap > deviations**2 * pooled * (1 - pooled) * (F.try_divide(one, F.col("labelled")) + F.try_divide(one, other))
     classed = places.withColumn("parts", F.when(parts, 1).otherwise(0)).withColumn(
         "class", F.sum("parts").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
