@@ -44,17 +44,36 @@ MAX_PIVOTS = 1024
 BLOCK = 8192
 #: Rows of a block that are multiplied or followed at a time.
 STRIP = 512
-#: Room for rounding in the bounds, which only ever adds repetitions.
-SLACK = 1e-9
+#: Room for rounding in the bounds, which only ever adds repetitions; distances near zero are that inexact.
+SLACK = 1e-6
+#: Components of pairs at the threshold that are multiplied again at a time.
+AGAIN = 4_000_000
 
 
-def _matrix(vectors: pa.Array) -> np.ndarray:
-    """Unit vectors in double precision."""
+def _scaled(vectors: pa.Array) -> np.ndarray:
+    """Vectors in double precision, by powers of two made such that no square is lost or too large."""
     rows = np.frombuffer(b"".join(vectors.to_pylist()), "<f8").reshape(len(vectors), -1)
-    rows = rows / np.abs(rows).max(axis=1, keepdims=True)  # so that no square is lost or too large
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True))[1])
+
+
+def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
+def _matrix(vectors: pa.Array) -> np.ndarray:
+    """Unit vectors in double precision."""
+    return _unit(_scaled(vectors))
+
+
+def _cosines(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Cosine of each row with its partner, added up in order, so that it is the same in whatever block they meet."""
+
+    def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.add.accumulate(a * b, axis=1)[:, -1]
+
+    return product(left, right) / np.sqrt(product(left, left) * product(right, right))
+
+
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         packed = []
@@ -101,10 +120,22 @@ def _strips(rows: int) -> Iterator[slice]:
 
 
 def _near(left: np.ndarray, right: np.ndarray, cosine: float) -> np.ndarray:
-    """Which rows of two matrices of unit vectors are linked; products are made a strip at a time."""
+    """Which rows of two matrices of scaled vectors are linked; products are made a strip at a time.
+
+    A product of unit vectors is rounded differently from the cosine; where that may decide, the cosine does.
+    """
     near = np.empty((len(left), len(right)), bool)
+    unit_left, unit_right = _unit(left), _unit(right)
+    room = 4 * (left.shape[1] + 4) * np.finfo(float).eps
     for strip in _strips(len(left)):
-        near[strip] = left[strip] @ right.T >= cosine
+        products = unit_left[strip] @ unit_right.T
+        near[strip] = products >= cosine - room
+        at = np.flatnonzero(near[strip])
+        rows, columns = np.divmod(at[products.ravel()[at] < cosine + room], len(right))
+        rows += strip.start
+        many = max(1, AGAIN // left.shape[1])
+        for i, j in ((rows[k : k + many], columns[k : k + many]) for k in range(0, len(rows), many)):
+            near[i, j] = _cosines(left[i], right[j]) >= cosine
     return near
 
 
@@ -142,7 +173,7 @@ def _block_links(cosine: float):
         empty = pa.table({"cls": pa.array([], pa.string()), "links": pa.array([], pa.int64()), "peer": pa.array([], pa.string())})
         if not len(left) or not len(right):
             return empty
-        near = _near(_matrix(left.column("vec").combine_chunks()), _matrix(right.column("vec").combine_chunks()), cosine)
+        near = _near(_scaled(left.column("vec").combine_chunks()), _scaled(right.column("vec").combine_chunks()), cosine)
         if alone:
             np.fill_diagonal(near, False)
         rows, columns = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
@@ -150,8 +181,10 @@ def _block_links(cosine: float):
             return empty
         near = near[np.ix_(rows, columns)]
         some_left, some_right = left.take(pa.array(rows)), right.take(pa.array(columns))
-        least_left, least_right = _least_linked(near)
         links_left, links_right = _weighted(near, some_right.column("copies").to_numpy(), some_left.column("copies").to_numpy())
+        if alone:
+            np.fill_diagonal(near, True)  # a row and its column are one class; else two that link only each other stay apart
+        least_left, least_right = _least_linked(near)
         names = some_left.column("cls")
         sides = [(some_left, links_left, least_left)]
         if not alone:

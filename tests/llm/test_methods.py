@@ -1,6 +1,7 @@
 """Single operators against brute force, with small limits so that every branch is taken."""
 
 import itertools
+import math
 import random
 from collections import Counter
 
@@ -93,6 +94,32 @@ def test_vectors_by_all_pairs(spark, sizes):
         assert found[i]["kept"] == (found[i]["component_id"] == i)
 
 
+@pytest.mark.parametrize("sizes", [{}, {"cell": 4, "max_pivots": 9, "block": 3}])
+def test_pairs_and_chains_of_vectors_are_components(spark, sizes):
+    degrees = [0, 100, 117, 200, 217, 234, 251]  # cosine of 17 degrees: 0.956, of 34: 0.83
+    rows = [(i, [math.cos(math.radians(d)), math.sin(math.radians(d)), 0.0]) for i, d in enumerate(degrees)]
+    rows += [(7, [0.0, 0.0, 1.0]), (8, [0.0, 0.1, 1.0]), (8, [0.0, 0.1, 1.0])]
+    found = near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), **sizes).collect()
+    want = [(0, 0, 0), (1, 1, 1), (2, 1, 1), (3, 1, 3), (4, 2, 3), (5, 2, 3), (6, 1, 3), (7, 2, 7), (8, 2, 7), (8, 2, 7)]
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in found) == want
+
+
+@pytest.mark.parametrize("sizes", [{}, {"cell": 4, "max_pivots": 9, "block": 3}])
+def test_vectors_at_the_threshold_are_linked(spark, sizes):
+    vectors = [v for v in itertools.product(range(3, 16), repeat=4) if sum(v) == 38 and sum(x * x for x in v) in (396, 399, 400)]
+    vectors = [(10, 10, 10, 10, 0)] + [(*v, round((400 - sum(x * x for x in v)) ** 0.5)) for v in vectors]  # length 20, product 380 with the first
+    whole = [v for v in vectors if sum(x * x for x in v) == 400]
+    below = (10000, 9990, 10010, 10000, 6575)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate([*whole, below])]
+    found = {r["vec_id"]: r for r in near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), **sizes).collect()}
+    exact = np.array([*whole, below], dtype=object)
+    products, squares = exact @ exact.T, (exact * exact).sum(axis=1)
+    near = 400 * products * products >= 361 * np.outer(squares, squares)
+    assert len(whole) > 20 and near[0, : len(whole)].all() and not near[0, -1]
+    for i in found:
+        assert (found[i]["n_links"], found[i]["component_id"]) == (near[i].sum() - 1, 0 if near[i, : len(whole)].any() else i)
+
+
 def test_mixing_reaches_its_targets(spark):
     rng = random.Random(5)
     rows = [(i, " ".join(["w"] * rng.randrange(0, 40)), None, rng.choice(["a"] * 30 + ["b", "c", None])) for i in range(3000)]
