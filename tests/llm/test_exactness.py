@@ -61,6 +61,19 @@ def test_random_texts_with_blanks():
         assert not wrong(tokenizer, ["".join(rng.choice(letters) for _ in range(rng.randrange(15))) for _ in range(30)])
 
 
+def test_words_are_looked_up_once_and_letters_cut_without_the_library(monkeypatch):
+    tokenizer = TextTokenizer(public_tokenizers.path(queries.WORDS))
+    latin = "".join(chr(c) for c in range(0xC0, 0x100))
+    texts = ["", " ", "Élan naïve Straße, élan!\tnaïve ", "\x0b\x0cÀÿ\r\n", *latin, *(f"{c}{d}.{c}x" for c in latin for d in "éA×÷")]
+    assert not wrong(tokenizer, texts) and not wrong(tokenizer, [""])
+    fresh, asked = TextTokenizer(public_tokenizers.path(queries.WORDS)), []
+    index = fresh.table.index
+    monkeypatch.setattr(fresh.table, "index", lambda words: asked.extend(words) or index(words))
+    monkeypatch.setattr(fresh, "_split", None)
+    assert not wrong(fresh, [" Élan  naïve Straße, Élan!", "naïve Élan naïve "])
+    assert sorted(asked) == sorted(w.encode() for w in ("Élan", "naïve", "Straße,", "Élan!"))
+
+
 def test_a_mix_ends_among_repeated_rows(spark):
     """150 rows of one id and text, all with one place in the order, and rows that differ in another column only."""
     rows = [(1, "word " * 40, str(k % 2), "a") for k in range(150)] + [(i, "w " * (10 + i % 7), "x", "a") for i in range(2, 900)]
