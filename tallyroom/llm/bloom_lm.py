@@ -7,9 +7,11 @@ for level 1, 2, ... until the filter says no.  A pair's probability is smoothed
 towards its word's.
 
 The filter is built in shards by the n-grams' hash, each from its own counts,
-and holds every n-gram.  Up to ``MAX_FILTER_BYTES`` it is broadcast; a larger one
-stays in its shards, and the different n-grams of each block of texts go to
-them and their levels come back, which gives the same scores.  The exact base
+and holds every n-gram.  Up to ``MAX_FILTER_BYTES`` it is broadcast: it comes to
+the driver in parts, which keeps no copy of its own once the executors can fetch
+it, and is freed when the scores are stored.  A larger one stays in its shards,
+and the different n-grams of each block of texts go to them and their levels come
+back, which gives the same scores.  The exact base
 score needs every word's count, however many words there are: words at or above
 the smallest count that at most ``MAX_TOP_WORDS`` words reach are broadcast, all
 others are joined.
@@ -27,12 +29,12 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroom.operators.hot_keys import join_per_key
@@ -48,6 +50,8 @@ BITS_PER_ENTRY = 10
 PROBES = 4
 #: A larger filter is not broadcast.
 MAX_FILTER_BYTES = 96 << 20
+#: Bytes of the filter, about, that come to the driver at a time.
+PART_BYTES = 8 << 20
 MAX_TOP_WORDS = 1_000_000
 #: Tokens of training text per shard of the filter.
 SHARD_TOKENS = 1_000_000
@@ -245,11 +249,20 @@ class LogFrequencyFilter:
     """The Bloom filter's shards one after another."""
 
     def __init__(self, shards: int, segments: dict[int, np.ndarray]):
-        none = np.zeros(0, np.uint8)
-        self.shards = shards
-        self.sizes = np.array([8 * len(segments.get(s, none)) for s in range(shards)], np.uint64)
+        self._lay_out(np.array([len(segments.get(s, b"")) for s in range(shards)]))
+        for shard, segment in segments.items():
+            self._enter(shard, segment)
+
+    def _lay_out(self, lengths: np.ndarray) -> None:
+        """Room for as many bytes in each shard."""
+        self.shards = len(lengths)
+        self.sizes = 8 * lengths.astype(np.uint64)
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]]).astype(np.uint64)
-        self.bits = np.concatenate([none, *(segments.get(s, none) for s in range(shards))])
+        self.bits = np.zeros(int(lengths.sum()), np.uint8)
+
+    def _enter(self, shard: int, segment: np.ndarray) -> None:
+        start = int(self.starts[shard]) // 8
+        self.bits[start : start + len(segment)] = segment
 
     def levels(self, hashes: np.ndarray) -> np.ndarray:
         """For each n-gram the highest level up to which the filter has all; 0 if it has none."""
@@ -282,8 +295,13 @@ class FoundLevels:
 class Model(LogFrequencyFilter):
     """What scoring needs: the filter, if it is broadcast, N and V, and the exact counts of the most frequent words by hash."""
 
-    def __init__(self, shards: int, segments: dict[int, np.ndarray], total: int, distinct: int, top_hashes: np.ndarray, top_counts: np.ndarray):
-        super().__init__(shards, segments)
+    def __init__(
+        self, lengths: np.ndarray, segments: Iterable[tuple[int, np.ndarray]], total: int, distinct: int, top_hashes: np.ndarray, top_counts: np.ndarray
+    ):
+        """``lengths``: the bytes of each shard, which ``segments`` gives one after another, so that the filter is held once."""
+        self._lay_out(lengths)
+        for shard, segment in segments:
+            self._enter(shard, segment)
         order = np.argsort(top_hashes)
         self.total, self.distinct = total, distinct
         self.top_hashes, self.top_counts = top_hashes[order], top_counts[order]
@@ -322,38 +340,63 @@ class Model(LogFrequencyFilter):
         }
 
 
-def _cut(histogram: list[tuple[int, int]], most: int) -> int:
-    """The smallest count that at most ``most`` words reach, from (count, words with it)."""
-    reached, least = 0, 1 << 62
-    for count, words in sorted(histogram, reverse=True):
-        reached += words
-        if reached > most:
-            break
-        least = count
-    return least
+class Fitted:
+    """A model sent to the executors, and the figures of it that the driver keeps."""
+
+    def __init__(self, spark: SparkSession, model: Model):
+        self.shards, self.total, self.room = model.shards, model.total, model.room
+        self.shared = Shared(spark, model)
+
+
+def _cut(counts: np.ndarray, words: np.ndarray, most: int) -> int:
+    """The smallest count that at most ``most`` words reach, from different counts and the words with each."""
+    order = np.argsort(-counts)
+    reached = np.searchsorted(np.cumsum(words[order]), most, "right")
+    return int(counts[order[reached - 1]]) if reached else 1 << 62
+
+
+def _hashed_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(hash_all(batch.column("word")).view(np.int64)), batch.column("n")], ["hash", "n"])
+
+
+def _lengths(segments: DataFrame, shards: int) -> np.ndarray:
+    """The bytes of each shard of a filter."""
+    found, lengths = segments.select("shard", F.length("bits").alias("bytes")).toArrow(), np.zeros(shards, np.int64)
+    lengths[found.column("shard").to_numpy()] = found.column("bytes").to_numpy()
+    return lengths
+
+
+def _in_parts(segments: DataFrame, size: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The shards of a filter of ``size`` bytes, of which few are on their way to the driver at once."""
+    for row in segments.coalesce(max(1, -(-size // PART_BYTES))).toLocalIterator():
+        yield row["shard"], np.frombuffer(row["bits"], np.uint8)
 
 
 def fit(
     docs: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES, max_top_words: int = MAX_TOP_WORDS
-) -> tuple[Model, DataFrame, DataFrame | None]:
+) -> tuple[Fitted, DataFrame, DataFrame | None]:
     """The model learned from ``docs`` (``text``), the stored exact counts of its words that are not among the top, and a filter too large for the model."""
     docs = docs.select("text")
     words = settle(count_words(docs))
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    histogram = [(r["n"], r["words"]) for r in words.groupBy("n").agg(F.count("*").alias("words")).collect()]  # a row per distinct count
-    least = _cut(histogram, max_top_words)
+    histogram = words.groupBy("n").agg(F.count("*").alias("words")).toArrow()  # a row per distinct count
+    least = _cut(histogram.column("n").to_numpy(), histogram.column("words").to_numpy(), max_top_words)
     shards = max(1, -(-total // SHARD_TOKENS))
     blobs = docs.mapInArrow(_pair_counts(shards), _BLOBS).union(words.mapInArrow(_word_blobs(shards), _BLOBS))
     segments = settle(blobs.groupBy("shard").applyInArrow(_segments, "shard long, cutoff int, entries long, bits binary").select("shard", "bits"))
-    large = segments.agg(F.coalesce(F.sum(F.length("bits")), F.lit(0))).first()[0] > max_filter_bytes
-    bits = {}
-    if not large:
-        whole = segments.toArrow()
-        bits = {s.as_py(): np.frombuffer(b.as_buffer(), np.uint8) for s, b in zip(whole.column("shard"), whole.column("bits"), strict=True)}
-    top = words.filter(F.col("n") >= least).select("word", "n").toArrow().combine_chunks()
-    hashes = np.concatenate([np.zeros(0, np.uint64), *(hash_all(c) for c in top.column("word").chunks)])
-    model = Model(shards, bits, total, distinct, hashes, top.column("n").to_numpy())
-    return model, words.filter(F.col("n") < least), segments if large else None
+    size = segments.agg(F.coalesce(F.sum(F.length("bits")), F.lit(0))).first()[0]
+    large = size > max_filter_bytes
+    top = words.filter(F.col("n") >= least).mapInArrow(_hashed_words, "hash long, n long").toArrow()
+    model = Model(
+        np.zeros(shards, np.int64) if large else _lengths(segments, shards),
+        () if large else _in_parts(segments, size),
+        total,
+        distinct,
+        top.column("hash").to_numpy().view(np.uint64),
+        top.column("n").to_numpy(),
+    )
+    return Fitted(docs.sparkSession, model), words.filter(F.col("n") < least), segments if large else None
 
 
 _SCORED = "doc_id long, n_tokens long, top_known long, top_score double, score double, rest array<binary>"
@@ -439,9 +482,9 @@ def _scored_by_blocks(keyed: DataFrame, shared: Shared, shards: int, segments: D
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scored_block(shared), _SCORED)
 
 
-def score_texts(docs: DataFrame, model: Model, rest: DataFrame, segments: DataFrame | None = None) -> DataFrame:
+def score_texts(docs: DataFrame, model: Fitted, rest: DataFrame, segments: DataFrame | None = None) -> DataFrame:
     """Scores of ``doc_id``, ``text`` by a fitted model; ``rest`` and ``segments`` are what ``fit`` returned with it."""
-    shared = Shared(docs.sparkSession, model)
+    shared = model.shared
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = keyed.mapInArrow(_scored(shared), _SCORED) if segments is None else _scored_by_blocks(keyed, shared, model.shards, segments)
     scored = settle(found.withColumn("row", F.monotonically_increasing_id()))
@@ -470,4 +513,7 @@ def learnable(docs: DataFrame) -> DataFrame:
 
 def score_corpus(docs: DataFrame) -> DataFrame:
     """Scores of all documents by a model of those outside the held-out fold."""
-    return score_texts(docs, *fit(learnable(docs)))
+    model, rest, segments = fit(learnable(docs))
+    scored = score_texts(docs, model, rest, segments)
+    model.shared.drop()  # the scores are stored
+    return scored

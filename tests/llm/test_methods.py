@@ -348,6 +348,39 @@ def test_filter_of_any_size_gives_the_same_scores(spark, monkeypatch):
     assert all(a[-2:] == pytest.approx(b[-2:], rel=1e-9) for a, b in zip(*found, strict=True))
 
 
+def test_the_driver_keeps_no_filter(spark, monkeypatch):
+    """The filter comes in parts and goes out once: the fitted model has figures only, and no broadcast is left when the scores are stored."""
+    monkeypatch.setattr(bloom_lm, "SHARD_TOKENS", 1000)
+    monkeypatch.setattr(bloom_lm, "PART_BYTES", 2000)
+    rng = random.Random(11)
+    table = docs(spark, *((i, " ".join(f"w{int(rng.paretovariate(0.5))}" for _ in range(50))) for i in range(200))).repartition(3)
+    parts, dropped, in_parts, drop = [], [], bloom_lm._in_parts, Shared.drop
+    monkeypatch.setattr(bloom_lm, "_in_parts", lambda segments, size: (parts.append((segments.count(), part)) or part for part in in_parts(segments, size)))
+    monkeypatch.setattr(Shared, "drop", lambda self: dropped.append(self) or drop(self))
+    model, rest, segments = bloom_lm.fit(bloom_lm.learnable(table))
+    assert segments is None and not any(isinstance(v, np.ndarray | bytes | bytearray) for v in vars(model).values())
+    assert len(parts) == parts[0][0] > 5 and len({shard for _, (shard, _) in parts}) == len(parts)
+    sent = model.shared.value
+    for _, (shard, bits) in parts:
+        start = int(sent.starts[shard]) // 8
+        assert sent.bits[start : start + len(bits)].tolist() == bits.tolist() and 8 * len(bits) == sent.sizes[shard]
+    want = sorted(tuple(r) for r in bloom_lm.score_texts(table, model, rest).collect())
+    assert not dropped
+    found = bloom_lm.score_corpus(table)
+    assert len(dropped) == 1
+    assert [r[:-2] for r in want] == [tuple(r)[:-2] for r in sorted(map(tuple, found.collect()))]
+
+
+def test_the_smallest_count_of_the_broadcast_words():
+    rng = random.Random(12)
+    for most in (0, 1, 5, 30, 1000):
+        for _ in range(30):
+            histogram = {rng.randrange(1, 50): rng.randrange(1, 12) for _ in range(rng.randrange(12))}
+            reached = [c for c in histogram if sum(n for k, n in histogram.items() if k >= c) <= most]
+            found = bloom_lm._cut(np.array([*histogram], np.int64), np.array([*histogram.values()], np.int64), most)
+            assert found == min(reached, default=1 << 62)
+
+
 def test_frequent_lines_go(spark):
     body = lambda i: "\n".join(" ".join(f"w{i}x{j}x{k}" for k in range(12)) for j in range(6))
     rows = [(i, f"{body(i)}\n  COMMON   line number one\t", None, "a") for i in range(30)]
